@@ -67,6 +67,23 @@ def seconds_between(start: Column | str, end: Column | str) -> Column:
                             F.col(end) if isinstance(end, str) else end) / F.lit(1e6)
 
 
+def avg_seconds(sum_us: Column, n: Column, digits: int | None = None) -> Column:
+    """Average of microsecond durations, in seconds, from (exact sum, count).
+
+    With ``digits`` the average is rounded half away from zero exactly (as
+    NUMERIC rounding does), using integer division on DECIMAL(38,0), so no
+    binary floating-point error decides a tie.
+    """
+    if digits is None:
+        return sum_us.cast("double") / n.cast("double") / F.lit(1e6)
+    scale = 10 ** digits
+    n_dec = n.cast("decimal(38,0)")
+    num = F.abs(sum_us) * F.lit(2 * scale) + n_dec * F.lit(1_000_000)
+    den = n_dec * F.lit(2_000_000)
+    q = F.call_function("div", num, den)  # integral division, exact
+    return F.when(n > 0, F.signum(sum_us.cast("double")) * q.cast("double") / F.lit(float(scale)))
+
+
 def add_seconds(ts: Column | str, seconds: Column) -> Column:
     """ts + seconds (double), rounded to the microsecond."""
     ts = F.col(ts) if isinstance(ts, str) else ts

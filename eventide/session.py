@@ -43,6 +43,7 @@ def get_spark(app: str = "eventide", master: str | None = None,
     if master:
         b = b.master(master)
     b = (b.config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.driver.memory", os.environ.get("EVENTIDE_DRIVER_MEMORY", "16g"))
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions or 8)))
     for k, v in REQUIRED_CONF.items():
