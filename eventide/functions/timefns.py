@@ -142,3 +142,19 @@ def size_pretty(nbytes: Column | str) -> Column:
         cond = F.abs(b) < F.lit(10240.0 * 1024 ** i) if i < len(_SIZE_UNITS) - 1 else F.lit(True)
         out = F.when(cond, text) if out is None else out.when(cond, text)
     return out
+
+
+def exact_pct(part: Column, whole: Column, digits: int = 2) -> Column:
+    """round(100 * part / whole, digits) for non-negative integer counts,
+    half away from zero, exact (integer division), NULL when whole = 0."""
+    sc = 10 ** digits
+    p = part.cast("decimal(38,0)")
+    w = whole.cast("decimal(38,0)")
+    q = F.call_function("div", p * F.lit(200 * sc) + w, w * F.lit(2))
+    return F.when(w > 0, q.cast("double") / F.lit(float(sc)))
+
+
+def round_dec(x: Column, digits: int = 2) -> Column:
+    """ROUND(x::numeric, digits) for a DOUBLE: decimal rounding of the value,
+    half away from zero, returned as DOUBLE."""
+    return F.round(x.cast("decimal(38,10)"), digits).cast("double")

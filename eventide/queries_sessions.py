@@ -1 +1,121 @@
-"""Registry entries."""
+"""Registry: session and user derivation D1-D7."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from eventide.operators import sessions as S
+from eventide.registry import register, ts, cte, D, AS_OF
+
+# Driver event types standing in for page_view, click, form_submit.
+PAGE_VIEW, CLICK, FORM_SUBMIT = "view", "click", "signup"
+SPLIT = "2024-01-16 00:00:00"
+
+
+def _param_sql(url: str, name: str) -> str:
+    return f"nullif(regexp_extract({url}, '[?&]{name}=([^&#]*)', 1), '')"
+
+
+_SESSIONS_BODY = (
+    "s AS (SELECT session_id AS id, min(user_id) AS user_id, min(event_time) AS started_at, "
+    "max(event_time) AS ended_at, "
+    f"CAST(count_if(event_type = '{PAGE_VIEW}') AS BIGINT) AS page_views, CAST(count_if(event_type = '{CLICK}') AS BIGINT) AS clicks, "
+    f"CAST(count_if(event_type = '{FORM_SUBMIT}') AS BIGINT) AS form_submits, count(*) AS events_count, "
+    "arg_min(page_url, (event_time, id)) AS landing_page, arg_max(page_url, (event_time, id)) AS exit_page, "
+    "arg_min(device_type, (event_time, id)) AS device_type, CAST(NULL AS VARCHAR) AS browser, "
+    "arg_min(country_code, (event_time, id)) AS country_code FROM ev GROUP BY session_id), "
+    "sess AS (SELECT id, user_id, started_at, ended_at, "
+    "(epoch_us(ended_at) - epoch_us(started_at)) // 1000000 AS duration_seconds, page_views, clicks, "
+    "form_submits, events_count, landing_page, exit_page, device_type, browser, country_code, "
+    f"{_param_sql('landing_page', 'utm_source')} AS utm_source, "
+    f"{_param_sql('landing_page', 'utm_medium')} AS utm_medium, "
+    f"{_param_sql('landing_page', 'utm_campaign')} AS utm_campaign FROM s)")
+SESSIONS_WITH = f"WITH {cte(country=True, device=True, page=True, sessions=True)}, {_SESSIONS_BODY}"
+
+
+def _sessions(spark, sf):
+    ev = D.events(spark, sf, country=True, device=True, page=True, sessions=True)
+    return S.sessions(ev, page_view=PAGE_VIEW, click=CLICK, form_submit=FORM_SUBMIT)
+
+
+@register("d1_sessions", f"{SESSIONS_WITH} SELECT * FROM sess")
+def d1(spark, sf):
+    return _sessions(spark, sf)
+
+
+@register("d2_sessionize_4h",
+          f"WITH {cte(sessions=True)} SELECT id, user_id, event_time, session_id FROM ev")
+def d2(spark, sf):
+    return D.events(spark, sf, sessions=True).select("id", "user_id", "event_time", "session_id")
+
+
+@register("d2_session_windows_4h",
+          f"WITH {cte(sessions=True)} SELECT user_id, min(event_time) AS started_at, "
+          "max(event_time) + INTERVAL 4 HOUR AS window_end, count(*) AS events_count FROM ev "
+          "GROUP BY user_id, session_id")
+def d2w(spark, sf):
+    out = S.session_windows(D.events(spark, sf), "4 hours")
+    return out.select("user_id", F.col("started_at").cast("timestamp_ntz").alias("started_at"),
+                      F.col("window_end").cast("timestamp_ntz").alias("window_end"), "events_count")
+
+
+@register("d3_landing_exit",
+          f"WITH {cte(page=True, sessions=True)} SELECT session_id, arg_min(page_url, (event_time, id)) AS landing_page, "
+          "arg_max(page_url, (event_time, id)) AS exit_page FROM ev GROUP BY session_id")
+def d3(spark, sf):
+    return S.landing_exit(D.events(spark, sf, page=True, sessions=True))
+
+
+@register("d4_url_params",
+          f"SELECT page_id, {_param_sql('url', 'utm_source')} AS utm_source, {_param_sql('url', 'ref')} AS ref, "
+          f"{_param_sql('url', 'page')} AS page FROM pages")
+def d4(spark, sf):
+    pages = D.table(spark, sf, "pages").select("page_id", "url")
+    return S.utm(pages, "url", ["utm_source", "ref", "page"]).drop("url")
+
+
+_USERS_SQL = ("SELECT user_id AS id, min(event_time) AS first_seen, max(event_time) AS last_seen, "
+              "count(*) AS total_events, count(DISTINCT session_id) AS total_sessions, "
+              "arg_max(country_code, (event_time, id)) AS country_code FROM ev {where} GROUP BY user_id")
+
+
+@register("d5_users", f"WITH {cte(country=True, sessions=True)} {_USERS_SQL.format(where='')}")
+def d5(spark, sf):
+    return S.users(D.events(spark, sf, country=True, sessions=True))
+
+
+@register("d6_upsert_users",
+          f"WITH {cte(country=True, sessions=True)}, "
+          f"o AS (SELECT *, {ts(SPLIT)} AS created_at, {ts(SPLIT)} AS updated_at FROM "
+          f"({_USERS_SQL.format(where=f'WHERE event_time < {ts(SPLIT)}')})), "
+          f"n AS ({_USERS_SQL.format(where=f'WHERE event_time >= {ts(SPLIT)}')}) "
+          "SELECT coalesce(n.id, o.id) AS id, least(o.first_seen, n.first_seen) AS first_seen, "
+          "greatest(o.last_seen, n.last_seen) AS last_seen, "
+          "coalesce(o.total_events, 0) + coalesce(n.total_events, 0) AS total_events, "
+          "coalesce(o.total_sessions, 0) + coalesce(n.total_sessions, 0) AS total_sessions, "
+          "coalesce(n.country_code, o.country_code) AS country_code, "
+          f"CASE WHEN o.id IS NULL THEN {ts(AS_OF)} ELSE o.created_at END AS created_at, "
+          f"CASE WHEN n.id IS NOT NULL THEN {ts(AS_OF)} ELSE o.updated_at END AS updated_at "
+          "FROM o FULL JOIN n ON o.id = n.id")
+def d6(spark, sf):
+    from eventide.functions.timefns import ts_literal
+    ev = D.events(spark, sf, country=True, sessions=True)
+    cut = ts_literal(SPLIT, ev.schema["event_time"].dataType)
+    stored = (S.users(ev.where(F.col("event_time") < cut))
+              .withColumn("created_at", cut).withColumn("updated_at", cut))
+    new = S.users(ev.where(F.col("event_time") >= cut))
+    return S.upsert_users(stored, new, AS_OF, mode="accumulate")
+
+
+@register("d7_campaign_report",
+          f"{SESSIONS_WITH} SELECT utm_source, utm_campaign, CAST(started_at AS DATE) AS date, count(*) AS sessions "
+          "FROM sess GROUP BY 1, 2, 3")
+def d7(spark, sf):
+    return S.campaign_report(_sessions(spark, sf))
+
+
+@register("d7_country_report",
+          f"{SESSIONS_WITH} SELECT country_code, CAST(started_at AS DATE) AS date, count(*) AS sessions "
+          "FROM sess GROUP BY 1, 2")
+def d7c(spark, sf):
+    return S.campaign_report(_sessions(spark, sf), ["country_code"])
