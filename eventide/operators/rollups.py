@@ -50,22 +50,24 @@ def rollup(df: DataFrame, keys, measures: Sequence[tuple[str, str]], *, where: C
         df = df.where(where)
     kinds = {k for _, k in measures}
     keycols = _key_cols(keys)
-    if DELAY in kinds:
+    pre = PARTIAL_COLS[0] in df.columns
+    if DELAY in kinds and not pre:
         # Delay in whole microseconds; summed as DECIMAL(38,0), so the average is exact.
         df = df.withColumn("_delay", F.timestamp_diff("MICROSECOND", F.col(ts), F.col("created_at")).cast("decimal(38,0)"))
     # Materialize the key expressions once so both strategies group on names.
     keyed = df.select(*keycols)
     names = list(keyed.columns)
-    extra = [c for c in ("user_id", "session_id", "event_type", ts, "_delay") if c in df.columns and c not in names]
+    extra = [c for c in ("user_id", "session_id", "event_type", ts, "_delay", *PARTIAL_COLS)
+             if c in df.columns and c not in names]
     df = df.select(*keycols, *extra)
 
     use_nested = strategy == "nested" or (strategy == "auto" and TYPES not in kinds and (kinds & {USERS, SESSIONS}))
     if use_nested and TYPES in kinds:
         raise ValueError("nested strategy cannot count distinct event types")
     if use_nested:
-        out = _nested(df, names, kinds, sketch, ts)
+        out = _nested(df, names, kinds, sketch, ts, pre)
     else:
-        out = _flat(df, names, kinds, sketch, ts)
+        out = _flat(df, names, kinds, sketch, ts, pre)
     sel = [F.col(n) for n in names]
     for name, kind in measures:
         c = F.col(f"_m_{kind}")
@@ -77,8 +79,13 @@ def rollup(df: DataFrame, keys, measures: Sequence[tuple[str, str]], *, where: C
     return out.select(*sel)
 
 
-def _flat(df, names, kinds, sketch, ts):
-    aggs = [F.count(F.lit(1)).alias(f"_m_{COUNT}")]
+def _flat(df, names, kinds, sketch, ts, pre=False):
+    if pre:
+        aggs = [F.sum("_n").alias(f"_m_{COUNT}")]
+        ts_min, ts_max = "_min", "_max"
+    else:
+        aggs = [F.count(F.lit(1)).alias(f"_m_{COUNT}")]
+        ts_min = ts_max = ts
     if USERS in kinds:
         aggs.append(F.count_distinct("user_id").alias(f"_m_{USERS}"))
     if SESSIONS in kinds:
@@ -86,11 +93,14 @@ def _flat(df, names, kinds, sketch, ts):
     if TYPES in kinds:
         aggs.append(F.count_distinct("event_type").alias(f"_m_{TYPES}"))
     if FIRST in kinds:
-        aggs.append(F.min(ts).alias(f"_m_{FIRST}"))
+        aggs.append(F.min(ts_min).alias(f"_m_{FIRST}"))
     if LAST in kinds:
-        aggs.append(F.max(ts).alias(f"_m_{LAST}"))
+        aggs.append(F.max(ts_max).alias(f"_m_{LAST}"))
     if DELAY in kinds:
-        aggs += [F.sum("_delay").alias("_dsum"), F.count("_delay").alias("_dn")]
+        if pre:
+            aggs += [F.sum("_dsum").alias("_dsum"), F.sum("_dn").alias("_dn")]
+        else:
+            aggs += [F.sum("_delay").alias("_dsum"), F.count("_delay").alias("_dn")]
     if sketch:
         aggs.append(F.hll_sketch_agg("user_id").alias(sketch))
     return df.groupBy(*names).agg(*aggs) if names else df.agg(*aggs)
@@ -111,17 +121,18 @@ def _partials(kinds, ts, first: bool):
     return a
 
 
-def _nested(df, names, kinds, sketch, ts):
+def _nested(df, names, kinds, sketch, ts, pre=False):
     need_users = USERS in kinds or bool(sketch)
     need_sessions = SESSIONS in kinds
+    raw = not pre
     if need_sessions and need_users:
-        lvl = df.groupBy(*names, "user_id", "session_id").agg(*_partials(kinds, ts, True))
+        lvl = df.groupBy(*names, "user_id", "session_id").agg(*_partials(kinds, ts, raw))
         lvl = lvl.groupBy(*names, "user_id").agg(*_partials(kinds, ts, False),
                                                  F.count("session_id").alias("_s"))
     elif need_sessions:
-        lvl = df.groupBy(*names, "session_id").agg(*_partials(kinds, ts, True))
+        lvl = df.groupBy(*names, "session_id").agg(*_partials(kinds, ts, raw))
     else:
-        lvl = df.groupBy(*names, "user_id").agg(*_partials(kinds, ts, True))
+        lvl = df.groupBy(*names, "user_id").agg(*_partials(kinds, ts, raw))
     aggs = [F.sum("_n").alias(f"_m_{COUNT}")]
     if USERS in kinds:
         aggs.append(F.count("user_id").alias(f"_m_{USERS}"))
@@ -138,6 +149,29 @@ def _nested(df, names, kinds, sketch, ts):
     return lvl.groupBy(*names).agg(*aggs) if names else lvl.agg(*aggs)
 
 
+# Partial measures of a pre-aggregated input (see `base_cube`).
+PARTIAL_COLS = ("_n", "_min", "_max", "_dsum", "_dn")
+
+
+def base_cube(events: DataFrame, ts: str = "event_time",
+              dims: Sequence[str] = ("event_type", "country_code", "user_id", "session_id")) -> DataFrame:
+    """Pre-aggregate events to (hour, dims...) with partial measures.
+
+    The hour bucket keeps the name ``event_time``, so every preset keyed by
+    hour or day, or filtered on a day boundary, runs unchanged on the cube;
+    first/last event and the delay come from the partial columns.  The
+    refresh job scans the raw events once into this cube and derives all
+    rollups from it.
+    """
+    typ = events.schema[ts].dataType
+    present = [d for d in dims if d in events.columns]
+    aggs = [F.count(F.lit(1)).alias("_n"), F.min(ts).alias("_min"), F.max(ts).alias("_max")]
+    if "created_at" in events.columns:
+        us = F.timestamp_diff("MICROSECOND", F.col(ts), F.col("created_at")).cast("decimal(38,0)")
+        aggs += [F.sum(us).alias("_dsum"), F.count(us).alias("_dn")]
+    return events.groupBy(trunc_ts("hour", ts, typ).alias(ts), *present).agg(*aggs)
+
+
 # --------------------------------------------------------------------------
 # Presets R1-R8.
 

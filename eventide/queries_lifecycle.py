@@ -1 +1,286 @@
-"""Registry entries."""
+"""Registry: ingest S1-S8, partition lifecycle P1-P7, refresh M1-M5.
+
+Round-trip entries write to a fresh directory under the session's shared
+checkpoint folder and return the data read back.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from eventide.operators import partitions as P
+from eventide.operators import queries as Q
+from eventide.operators import refresh as M
+from eventide.operators import rollups as R
+from eventide.operators import sessions as S
+from eventide.registry import register, ts, cte, D, AS_OF
+from eventide.session import scratch_dir
+from eventide.sources import ingest as I
+
+ORDERS_AS_OF = "2001-08-31"
+
+
+def _orders_as_events(spark, sf):
+    """Orders bound onto the canonical schema: the month logic needs data
+    spanning many months (events cover one)."""
+    o = D.table(spark, sf, "orders")
+    return I.bind(o, {"id": "o_orderkey", "event_time": F.col("o_orderdate").cast("timestamp"),
+                      "user_id": "o_custkey", "session_id": "o_orderkey", "event_type": "o_orderstatus",
+                      "properties": F.to_json(F.struct(F.col("o_orderpriority").alias("priority"))),
+                      "created_at": F.col("o_orderdate").cast("timestamp")})
+
+
+# ---- partition lifecycle -------------------------------------------------
+
+@register("p1_month_calendar",
+          "WITH b AS (SELECT min(o_orderdate) AS lo, max(o_orderdate) AS hi FROM orders), "
+          "m AS (SELECT unnest(generate_series(date_trunc('month', lo), hi, INTERVAL 1 MONTH)) AS d FROM b) "
+          "SELECT 'events_' || strftime(d, '%Y_%m') AS partition_name, CAST(d AS DATE) AS start_date, "
+          "CAST(d + INTERVAL 1 MONTH AS DATE) AS end_date FROM m")
+def p1(spark, sf):
+    b = D.table(spark, sf, "orders").agg(F.min("o_orderdate").alias("lo"), F.max("o_orderdate").alias("hi"))
+    return P.month_calendar(b, F.col("lo"), F.col("hi"))
+
+
+@register("p2_partition_names",
+          "SELECT DISTINCT 'events_' || strftime(o_orderdate, '%Y_%m') AS partition_name, "
+          "CAST(date_trunc('month', o_orderdate) AS DATE) AS start_date FROM orders")
+def p2(spark, sf):
+    names = P.present_months(D.table(spark, sf, "orders"), ts="o_orderdate")
+    return names.withColumn("start_date", P.partition_start("partition_name"))
+
+
+@register("p3_missing_months",
+          "WITH b AS (SELECT min(o_orderdate) AS lo, max(o_orderdate) + INTERVAL 6 MONTH AS hi FROM orders), "
+          "m AS (SELECT unnest(generate_series(date_trunc('month', lo), hi, INTERVAL 1 MONTH)) AS d FROM b), "
+          "cal AS (SELECT 'events_' || strftime(d, '%Y_%m') AS partition_name, CAST(d AS DATE) AS start_date, "
+          "CAST(d + INTERVAL 1 MONTH AS DATE) AS end_date FROM m) "
+          "SELECT * FROM cal WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE "
+          "'events_' || strftime(o.o_orderdate, '%Y_%m') = cal.partition_name)")
+def p3(spark, sf):
+    o = D.table(spark, sf, "orders")
+    b = o.agg(F.min("o_orderdate").alias("lo"), F.add_months(F.max("o_orderdate"), 6).alias("hi"))
+    cal = P.month_calendar(b, F.col("lo"), F.col("hi"))
+    return P.missing_months(cal, P.present_months(o, ts="o_orderdate"))
+
+
+@register("p4_expired_months",
+          "SELECT DISTINCT 'events_' || strftime(o_orderdate, '%Y_%m') AS partition_name, "
+          "CAST(date_trunc('month', o_orderdate) AS DATE) AS start_date FROM orders "
+          f"WHERE CAST(date_trunc('month', o_orderdate) AS DATE) < DATE '{ORDERS_AS_OF}' - INTERVAL 12 MONTH")
+def p4(spark, sf):
+    present = P.present_months(D.table(spark, sf, "orders"), ts="o_orderdate")
+    return P.expired_months(present, ORDERS_AS_OF, 12)
+
+
+_P5_SQL = ("SELECT 'events_' || strftime(o_orderdate, '%Y_%m') AS partition_name, count(*) AS row_count, "
+           "min(o_orderdate) AS first_event, max(o_orderdate) AS last_event FROM orders GROUP BY 1")
+
+
+@register("p5_list_partitions", _P5_SQL)
+def p5(spark, sf):
+    return P.list_partitions(D.table(spark, sf, "orders"), ts="o_orderdate")
+
+
+@register("p6_partition_ranking",
+          f"WITH inv AS ({_P5_SQL}) SELECT *, row_number() OVER (ORDER BY row_count DESC, partition_name) AS rank, "
+          "count(*) OVER () AS partitions FROM inv WHERE row_count > 0")
+def p6(spark, sf):
+    return P.partition_ranking(P.list_partitions(D.table(spark, sf, "orders"), ts="o_orderdate"))
+
+
+def _stored_orders(spark, sf):
+    path = scratch_dir(spark, "orders-store")
+    I.append_events(_orders_as_events(spark, sf), path)
+    return I.read_store(spark, path)
+
+
+@register("p7_pruned_window_count",
+          "SELECT count(*) AS count FROM orders WHERE o_orderdate >= TIMESTAMP '2001-01-15 00:00:00'")
+def p7(spark, sf):
+    return Q.count_rows(Q.in_window(_stored_orders(spark, sf), "2001-01-15 00:00:00"))
+
+
+@register("p5_partition_bytes")
+def p5b(spark, sf):
+    return P.list_partitions(_stored_orders(spark, sf), with_bytes=True)
+
+
+# ---- ingest ---------------------------------------------------------------
+
+_BOUND_SQL = ("SELECT event_id AS id, ts AS event_time, CAST(user_id AS VARCHAR) AS user_id, event_type, "
+              "props AS properties FROM events")
+
+
+@register("s1_typed_json_roundtrip", _BOUND_SQL)
+def s1(spark, sf):
+    raw = D.table(spark, sf, "events")
+    bound = I.bind(raw, {"id": "event_id", "event_time": "ts", "user_id": "user_id",
+                         "event_type": "event_type", "properties": "props"})
+    path = scratch_dir(spark, "json-load")
+    bound.write.mode("errorifexists").option("timestampFormat", I.TS_FORMAT).json(path)
+    back = I.read_events(spark, path, fmt="json")
+    return back.select("id", F.col("event_time").cast("timestamp_ntz").alias("event_time"), "user_id",
+                       "event_type", "properties")
+
+
+@register("s2_bind_canonical",
+          "SELECT event_id AS id, ts AS event_time, CAST(user_id AS VARCHAR) AS user_id, "
+          "CAST(NULL AS VARCHAR) AS session_id, event_type, props AS properties, CAST(NULL AS VARCHAR) AS page_url, "
+          "CAST(NULL AS VARCHAR) AS referrer, CAST(NULL AS VARCHAR) AS device_type, CAST(NULL AS VARCHAR) AS browser, "
+          "CAST(NULL AS VARCHAR) AS os, CAST(NULL AS VARCHAR) AS country_code, CAST(NULL AS VARCHAR) AS city, "
+          "ts + to_microseconds(CAST(round(value * 1000000) AS BIGINT)) AS created_at FROM events")
+def s2(spark, sf):
+    from eventide.functions.timefns import add_seconds
+    raw = D.table(spark, sf, "events")
+    out = I.bind(raw, {"id": "event_id", "event_time": "ts", "user_id": "user_id", "event_type": "event_type",
+                       "properties": "props", "created_at": add_seconds("ts", F.col("value"))})
+    return (out.withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
+            .withColumn("created_at", F.col("created_at").cast("timestamp_ntz")))
+
+
+@register("s3_ingest_defaults",
+          f"SELECT event_id AS id, ts AS event_time, {ts(AS_OF)} AS created_at, "
+          "CASE WHEN event_id % 2 = 0 THEN props ELSE '{}' END AS properties FROM events")
+def s3(spark, sf):
+    raw = D.table(spark, sf, "events")
+    # odd ids arrive without payload; no row carries created_at
+    df = raw.select(F.col("event_id").alias("id"), F.col("ts").alias("event_time"),
+                    F.lit(None).cast("timestamp_ntz").alias("created_at"),
+                    F.when(F.col("event_id") % 2 == 0, F.col("props")).alias("properties"))
+    return I.with_defaults(df, AS_OF).select("id", "event_time", "created_at", "properties")
+
+
+def _load_to_validate(spark, sf):
+    o = D.table(spark, sf, "orders")
+    return o.select(F.col("o_custkey").alias("id"), F.col("o_orderdate").alias("event_time"),
+                    F.col("o_custkey").cast("string").alias("user_id"),
+                    F.col("o_orderkey").cast("string").alias("session_id"),
+                    F.col("o_orderpriority").alias("event_type"), F.lit("{}").alias("properties"),
+                    F.col("o_orderpriority").alias("device_type"),
+                    F.col("o_orderstatus").alias("country_code"),
+                    F.col("o_orderdate").alias("created_at"))
+
+
+_S4_SQL = ("WITH d AS (SELECT o_custkey, o_orderdate FROM orders GROUP BY 1, 2 HAVING count(*) > 1), "
+           "r AS (SELECT o.o_custkey AS id, o.o_orderdate AS event_time, concat_ws(',', "
+           "CASE WHEN length(o.o_orderpriority) > 10 THEN 'too_long:event_type' END, "
+           "CASE WHEN o.o_orderdate < TIMESTAMP '1996-01-01 00:00:00' OR o.o_orderdate >= TIMESTAMP "
+           "'2001-01-01 00:00:00' THEN 'no_partition' END, "
+           "CASE WHEN d.o_custkey IS NOT NULL THEN 'duplicate_key' END) AS reasons "
+           "FROM orders o LEFT JOIN d ON d.o_custkey = o.o_custkey AND d.o_orderdate = o.o_orderdate) ")
+
+
+def _validated(spark, sf):
+    return I.validate(_load_to_validate(spark, sf), max_lengths={"event_type": 10, "device_type": 20,
+                                                                 "country_code": 2},
+                      time_range=("1996-01-01 00:00:00", "2001-01-01 00:00:00"))
+
+
+@register("s4_validate_rejected", _S4_SQL + "SELECT * FROM r WHERE reasons <> ''")
+def s4(spark, sf):
+    _, bad = _validated(spark, sf)
+    return bad.select("id", "event_time", F.array_join("reasons", ",").alias("reasons"))
+
+
+@register("s4_validate_accepted_count", _S4_SQL + "SELECT count(*) AS count FROM r WHERE reasons = ''")
+def s4ok(spark, sf):
+    ok, _ = _validated(spark, sf)
+    return Q.count_rows(ok)
+
+
+@register("s5_append_partitioned",
+          "SELECT strftime(o_orderdate, '%Y_%m') AS event_month, count(*) AS rows, min(o_orderdate) AS first_event "
+          "FROM orders GROUP BY 1")
+def s5(spark, sf):
+    back = _stored_orders(spark, sf)
+    return back.groupBy("event_month").agg(F.count(F.lit(1)).alias("rows"),
+                                           F.min("event_time").cast("timestamp_ntz").alias("first_event"))
+
+
+@register("s7_enrich_from_sessions",
+          "WITH " + cte(country=True, device=True, page=True, sessions=True) + ", "
+          + __import__("eventide.queries_sessions", fromlist=["x"])._SESSIONS_BODY +
+          " SELECT e.id, e.session_id, s.device_type, s.country_code, "
+          "CASE WHEN e.event_type IN ('purchase', 'signup') THEN 'conversion' ELSE 'engagement' END AS kind, "
+          "to_json({'event_type': e.event_type, 'user_id': e.user_id}) AS properties "
+          "FROM ev e LEFT JOIN sess s ON s.id = e.session_id")
+def s7(spark, sf):
+    ev = D.events(spark, sf, country=True, device=True, page=True, sessions=True)
+    sess = S.sessions(ev, page_view="view", click="click", form_submit="signup")
+    base = ev.select("id", "session_id", "event_type", "user_id")
+    kind = F.when(F.col("event_type").isin("purchase", "signup"), "conversion").otherwise("engagement")
+    out = I.enrich(base, sess, inherit=("device_type", "country_code"), derived={"kind": kind},
+                   payload=("event_type", "user_id"))
+    return out.select("id", "session_id", "device_type", "country_code", "kind", "properties")
+
+
+@register("s8_insert_partial_rows",
+          "SELECT '2024_01' AS event_month, count(*) AS rows, count(*) AS default_properties, "
+          "count(*) AS default_time FROM events")
+def s8(spark, sf):
+    raw = D.table(spark, sf, "events")
+    rows = raw.select(F.col("event_id").alias("id"), F.col("user_id").cast("string").alias("user_id"),
+                      "event_type")
+    path = scratch_dir(spark, "insert")
+    I.insert_rows(rows, path, AS_OF)
+    back = I.read_store(spark, path)
+    asof = F.lit(AS_OF).cast("timestamp")
+    return back.groupBy("event_month").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col("properties") == "{}").alias("default_properties"),
+        F.count_if(F.col("event_time") == asof).alias("default_time"))
+
+
+# ---- refresh --------------------------------------------------------------
+
+from eventide.queries_rollup import R2_SQL, R3_SQL  # noqa: E402
+
+_M_OPTIONS = {"stats_hourly": {"delay_digits": 6}}
+
+
+@register("m1_refresh_all_hourly", R2_SQL)
+def m1(spark, sf):
+    store = scratch_dir(spark, "rollups")
+    ev = D.events(spark, sf, country=True, sessions=True)
+    M.refresh_all(spark, ev, store, AS_OF, options=_M_OPTIONS)
+    return M.read_rollup(spark, store, "stats_hourly")
+
+
+@register("m2_refresh_dates_daily_users", R3_SQL)
+def m2(spark, sf):
+    store = scratch_dir(spark, "rollups")
+    ev = D.events(spark, sf, sessions=True)
+    cut = F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
+    M.refresh_all(spark, ev.where(F.col("event_time") < cut), store, AS_OF, names=["stats_daily_users"])
+    dates = [f"2024-01-{d:02d}" for d in range(16, 31)]
+    return M.refresh_dates(spark, store, "stats_daily_users", ev, dates, AS_OF)
+
+
+@register("m3_duplicate_keys",
+          f"WITH d AS ({R3_SQL}) SELECT date, user_id, count(*) AS count FROM d GROUP BY 1, 2 HAVING count(*) > 1")
+def m3(spark, sf):
+    return M.duplicate_keys(R.stats_daily_users(D.events(spark, sf, sessions=True)), ["date", "user_id"])
+
+
+@register("m4_freshness",
+          "SELECT 'stats_totals' AS view_name, TIMESTAMP '2024-01-31 00:00:00' AS last_refresh, "
+          "CAST(3600 AS BIGINT) AS age_seconds, CAST(300 AS BIGINT) AS allowance_seconds, 'STALE' AS status "
+          "FROM (SELECT count(*) FROM events) "
+          "UNION ALL SELECT 'mv_stats_total', TIMESTAMP '2024-01-31 00:00:00', 3600, 3600, 'FRESH' "
+          "FROM (SELECT count(*) FROM events)")
+def m4(spark, sf):
+    ev = D.events(spark, sf, sessions=True)
+    r1 = R.stats_totals(ev, AS_OF).select(F.lit("stats_totals").alias("view_name"),
+                                          F.col("updated_at").alias("last_refresh"))
+    r7 = R.mv_stats_total(D.events(spark, sf), AS_OF).select(F.lit("mv_stats_total").alias("view_name"),
+                                                             F.col("refreshed_at").alias("last_refresh"))
+    return M.freshness(r1.unionByName(r7), "2024-01-31 01:00:00",
+                       {"stats_totals": 300, "mv_stats_total": 3600})
+
+
+@register("m5_rollup_inventory")
+def m5(spark, sf):
+    store = scratch_dir(spark, "rollups")
+    M.refresh_all(spark, D.events(spark, sf, country=True, sessions=True), store, AS_OF)
+    return M.inventory(spark, store)
