@@ -45,7 +45,7 @@ LO_90D = "2023-11-02 00:00:00"
 def _load_all() -> None:
     # Importing the modules registers their queries.
     from eventide import queries_raw, queries_rollup, queries_sessions, queries_profile  # noqa: F401
-    from eventide import queries_lifecycle  # noqa: F401
+    from eventide import queries_lifecycle, queries_streaming  # noqa: F401
 
 
 _load_all()
