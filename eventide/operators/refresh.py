@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eventide.functions.timefns import ts_literal
 from eventide.operators import rollups as R
-from eventide.plans.lineage import cut_lineage
+from eventide.plans.lineage import materialize
 
 MANIFEST = "_manifest"
 MANIFEST_SCHEMA = "rollup string, version long, path string, rows long, refreshed_at timestamp_ntz"
@@ -61,17 +61,27 @@ def read_rollup(spark: SparkSession, store: str, name: str) -> DataFrame:
     return spark.read.parquet(cur[1])
 
 
-def _commit(spark: SparkSession, store: str, name: str, df: DataFrame, as_of, sort_cols=()) -> tuple[int, str, int]:
-    cur = current_version(spark, store, name)
-    version = (cur[0] if cur else 0) + 1
+def _commit(spark: SparkSession, store: str, name: str, df: DataFrame, as_of, *,
+            version: int | None = None, sort_cols=()) -> tuple[int, str]:
+    """Write a new version directory, then append its manifest row."""
+    if version is None:
+        cur = current_version(spark, store, name)
+        version = (cur[0] if cur else 0) + 1
     path = f"{store}/{name}/v{version:06d}"
     out = df.sortWithinPartitions(*sort_cols) if sort_cols else df
     out.write.mode("errorifexists").parquet(path)
-    rows = spark.read.parquet(path).count()
     ts = str(as_of) if as_of is not None else datetime.utcnow().strftime("%Y-%m-%d %H:%M:%S")
-    (spark.createDataFrame([(name, version, path, rows, datetime.fromisoformat(ts))], MANIFEST_SCHEMA)
+    (spark.createDataFrame([(name, version, path, None, datetime.fromisoformat(ts))], MANIFEST_SCHEMA)
      .coalesce(1).write.mode("append").parquet(f"{store}/{MANIFEST}"))
-    return version, path, rows
+    return version, path
+
+
+def _versions(spark: SparkSession, store: str) -> dict[str, int]:
+    """Newest version per rollup (the manifest has one row per version)."""
+    m = _manifest(spark, store)
+    if m is None:
+        return {}
+    return {r[0]: r[1] for r in m.groupBy("rollup").agg(F.max("version")).collect()}
 
 
 def _build(name: str, src: DataFrame, as_of, options: Mapping) -> DataFrame:
@@ -87,20 +97,24 @@ def _build(name: str, src: DataFrame, as_of, options: Mapping) -> DataFrame:
 def refresh_all(spark: SparkSession, events: DataFrame, store: str, as_of,
                 names: Sequence[str] = ("stats_totals", "stats_hourly", "stats_daily_users", "stats_geo_events"),
                 options: Mapping[str, Mapping] | None = None, use_cube: bool = True) -> DataFrame:
-    """M1: full refresh of ``names`` in order; returns (rollup, version, rows, seconds).
+    """M1: full refresh of ``names`` in order; returns (rollup, version, seconds)
+    (rows and bytes per rollup: :func:`inventory`).
 
     With ``use_cube`` the raw events are scanned once into the hourly base
-    cube, which is checkpointed to the shared folder (a lost executor does
-    not lose it) and from which every rollup is derived.
+    cube, which is written as Parquet to the shared folder (a lost executor
+    does not lose it; later scans are columnar) and from which every rollup
+    is derived.
     """
     options = options or {}
-    src = cut_lineage(R.base_cube(events)) if use_cube else events
+    src = materialize(R.base_cube(events), "cube") if use_cube else events
+    versions = _versions(spark, store)
     report = []
     for name in names:
         t0 = time.time()
-        version, _, rows = _commit(spark, store, name, _build(name, src, as_of, options), as_of)
-        report.append((name, version, rows, round(time.time() - t0, 3)))
-    return spark.createDataFrame(report, "rollup string, version long, rows long, seconds double")
+        version, _ = _commit(spark, store, name, _build(name, src, as_of, options), as_of,
+                             version=versions.get(name, 0) + 1)
+        report.append((name, version, round(time.time() - t0, 3)))
+    return spark.createDataFrame(report, "rollup string, version long, seconds double")
 
 
 def refresh_dates(spark: SparkSession, store: str, name: str, events: DataFrame, dates: Sequence[str],

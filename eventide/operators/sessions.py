@@ -33,9 +33,10 @@ def sessionize(events: DataFrame, gap: str | int = "30 minutes", *, user: str =
     e = events.withColumn(b, trunc_ts(bucket, ts, typ))
 
     w = Window.partitionBy(user, b).orderBy(F.col(ts), F.col(tiebreak))
-    prev = F.lag(ts).over(w)
+    e = e.withColumn("_ssn_prev", F.lag(ts).over(w))
+    prev = F.col("_ssn_prev")
     internal = F.when(prev.isNotNull() & (F.timestamp_diff("MICROSECOND", prev, F.col(ts)) > gap_us), 1).otherwise(0)
-    e = e.withColumn("_ssn_flag", internal)
+    e = e.withColumn("_ssn_flag", internal).drop("_ssn_prev")
     e = e.withColumn("_ssn_run", F.sum("_ssn_flag").over(w.rowsBetween(Window.unboundedPreceding, 0)))
 
     # One row per (user, bucket): the state carried across bucket borders.

@@ -2,4 +2,4 @@
 
 from eventide.plans.broadcast import bounded_broadcast, join_dimension  # noqa: F401
 from eventide.plans.inspect import plan_text, assert_plan  # noqa: F401
-from eventide.plans.lineage import cut_lineage  # noqa: F401
+from eventide.plans.lineage import cut_lineage, materialize  # noqa: F401

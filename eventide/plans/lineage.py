@@ -17,3 +17,12 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     spark = df.sparkSession
     scratch_dir(spark, "ckpt")  # makes sure a checkpoint dir is registered
     return df.checkpoint(eager=eager)
+
+
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` as Parquet to a fresh directory in the shared folder and
+    read it back: cuts the lineage, survives executor loss, and later scans
+    are columnar with pushdown (unlike a checkpointed RDD)."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -94,18 +94,21 @@ def validate(df: DataFrame, *, not_null: Sequence[str] = tuple(NOT_NULL),
 
 
 def append_events(df: DataFrame, path: str, *, ts: str = "event_time", month_col: str = MONTH_COL,
-                  partitions: int | None = None, mode: str = "append") -> None:
-    """Append to a month-partitioned Parquet table.
-
-    Rows are range-partitioned by (month, time) — each write task covers a
-    contiguous time range, so it writes into one or two month directories
-    and a busy month is spread over many tasks — and sorted by time inside
-    each file, so Parquet min/max statistics prune row groups on time
-    predicates (what a block-range index gives a row store).
+                  cluster: int | None = None, mode: str = "append") -> None:
+    """Append to a month-partitioned Parquet table (routing by month).
+
+    By default no shuffle is added: each task sorts its rows by (month,
+    time) and writes one file per month it holds, so rows inside every file
+    are time-ordered and Parquet min/max statistics prune row groups on
+    time predicates (what a block-range index gives a row store); skew of
+    the input is not concentrated anywhere.  ``cluster=n`` range-partitions
+    by (month, time) into n tasks first — fewer, time-disjoint files, at
+    the cost of a sampling pass over the input.
     """
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     out = df.withColumn(month_col, month_key(ts))
-    out = out.repartitionByRange(n, month_col, ts).sortWithinPartitions(month_col, ts)
+    if cluster:
+        out = out.repartitionByRange(int(cluster), month_col, ts)
+    out = out.sortWithinPartitions(month_col, ts)
     out.write.mode(mode).partitionBy(month_col).parquet(path)
 
 
@@ -119,7 +122,7 @@ def insert_rows(rows: DataFrame, path: str, as_of, schema: T.StructType = EVENT_
     canonical schema, fill defaults, append.  Returns the aligned rows."""
     aligned = bind(rows, {c: c for c in rows.columns if c in schema.fieldNames()}, schema)
     aligned = with_defaults(aligned, as_of)
-    append_events(aligned, path, partitions=1)
+    append_events(aligned, path)
     return aligned
 
 
