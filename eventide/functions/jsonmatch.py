@@ -57,6 +57,11 @@ def _scalar_eq(node: Column, pat: Any) -> Column:
     raise TypeError(f"unsupported JSON pattern value {pat!r}")
 
 
+def _element_matcher(elem: Any):
+    # A one-argument lambda (Spark passes an index to two-argument ones).
+    return lambda x: _contains(x, elem)
+
+
 def _contains(node: Column, pat: Any, top: bool = False) -> Column:
     if isinstance(pat, dict):
         cond = _is_object(node)
@@ -68,7 +73,7 @@ def _contains(node: Column, pat: Any, top: bool = False) -> Column:
         arr = _array_of(node)
         cond = arr.isNotNull()
         for elem in pat:
-            cond = cond & F.exists(arr, lambda x, e=elem: _contains(x, e))
+            cond = cond & F.exists(arr, _element_matcher(elem))
         return cond
     eq = _scalar_eq(node, pat)
     if top:
