@@ -85,8 +85,11 @@ def drop_expired(df: DataFrame, out_path: str, as_of, keep_months: int = 12,
     """P4 delete: write the kept months to ``out_path`` (a new version
     directory) and return the kept table read back.  The old version is
     never modified, so readers of it are not disturbed."""
-    cutoff_key = F.date_format(F.add_months(_date_col(as_of), -keep_months), "yyyy_MM")
-    kept = df.where(F.col(month_col) >= cutoff_key)
+    cutoff = F.add_months(_date_col(as_of), -keep_months)
+    # Same rule as expired_months: a month is kept when it starts at or
+    # after the cutoff.  The predicate is on the partition column only, so
+    # expired months are pruned from the scan, not read and filtered.
+    kept = df.where(F.to_date(F.col(month_col), "yyyy_MM") >= cutoff)
     kept.write.mode("errorifexists").partitionBy(month_col).parquet(out_path)
     return df.sparkSession.read.parquet(out_path)
 
