@@ -142,3 +142,14 @@ def x9(spark, sf):
 def m7(spark, sf):
     hourly = R.mv_hourly_stats(_ev(spark, sf), sketch="users_sketch")
     return R.merge_uniques(hourly, ["event_type"])
+
+
+@register("x7_first50_users_events",
+          "WITH s AS (SELECT DISTINCT user_id FROM events ORDER BY user_id LIMIT 50) "
+          "SELECT e.user_id, count(*) AS events, min(e.ts) AS first_event FROM events e "
+          "WHERE e.user_id IN (SELECT user_id FROM s) GROUP BY e.user_id")
+def x7(spark, sf):
+    from eventide.operators.subsets import first_keys, restrict_to
+    ev = _ev(spark, sf)
+    sub = restrict_to(ev, first_keys(ev, "user_id", 50), "user_id")
+    return sub.groupBy("user_id").agg(F.count(F.lit(1)).alias("events"), F.min("event_time").alias("first_event"))
