@@ -22,7 +22,6 @@ from typing import Any
 
 from pyspark.sql import Column, functions as F
 
-_NUMERIC_TYPES = r"^(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL.*)$"
 
 
 def _path_key(key: str) -> str:
@@ -42,6 +41,14 @@ def _array_of(node: Column) -> Column:
     return F.try_variant_get(node, "$", "array<variant>")
 
 
+_NUMERIC = ["TINYINT", "SMALLINT", "INT", "BIGINT", "FLOAT", "DOUBLE"]
+
+
+def _is_number(node: Column) -> Column:
+    k = _kind(node)
+    return k.isin(_NUMERIC) | k.startswith("DECIMAL")
+
+
 def _scalar_eq(node: Column, pat: Any) -> Column:
     if pat is None:
         return F.is_variant_null(node)
@@ -49,7 +56,7 @@ def _scalar_eq(node: Column, pat: Any) -> Column:
         return (_kind(node) == F.lit("BOOLEAN")) & (
             F.try_variant_get(node, "$", "boolean") == F.lit(pat))
     if isinstance(pat, (int, float)):
-        return _kind(node).rlike(_NUMERIC_TYPES) & (
+        return _is_number(node) & (
             F.try_variant_get(node, "$", "decimal(38,10)") == F.lit(pat).cast("decimal(38,10)"))
     if isinstance(pat, str):
         return (_kind(node) == F.lit("STRING")) & (
@@ -64,7 +71,9 @@ def _element_matcher(elem: Any):
 
 def _contains(node: Column, pat: Any, top: bool = False) -> Column:
     if isinstance(pat, dict):
-        cond = _is_object(node)
+        # A member lookup only succeeds on an object, so the explicit object
+        # test is needed for the empty pattern alone.
+        cond = _is_object(node) if not pat else F.lit(True)
         for k, v in pat.items():
             child = F.try_variant_get(node, _path_key(k), "variant")
             cond = cond & child.isNotNull() & _contains(child, v)
@@ -82,13 +91,47 @@ def _contains(node: Column, pat: Any, top: bool = False) -> Column:
     return eq
 
 
+def _literal_tokens(pat: Any) -> list[str]:
+    """Text that must occur verbatim in any matching document written
+    without escapes: every key, every string value, and true/false/null
+    (numbers have many spellings and give no token)."""
+    out: list[str] = []
+    if isinstance(pat, dict):
+        for k, v in pat.items():
+            out.append(json.dumps(k, ensure_ascii=False))
+            out += _literal_tokens(v)
+    elif isinstance(pat, list):
+        for v in pat:
+            out += _literal_tokens(v)
+    elif isinstance(pat, str):
+        out.append(json.dumps(pat, ensure_ascii=False))
+    elif pat is None or isinstance(pat, bool):
+        out.append(json.dumps(pat))
+    return out
+
+
 def json_contains(col: Column | str, pattern: Any) -> Column:
-    """``col @> pattern`` where ``pattern`` is a dict/list/scalar or JSON text."""
+    """``col @> pattern`` where ``pattern`` is a dict/list/scalar or JSON text.
+
+    A cheap text pre-check runs first: a document without any backslash
+    (so without escaped characters) can only match if every key and string
+    of the pattern occurs in it verbatim.  Documents failing it are false
+    without being parsed; documents with escapes are always parsed, so the
+    result is exact.
+    """
     if isinstance(pattern, str):
         pattern = json.loads(pattern)
     c = F.col(col) if isinstance(col, str) else col
     doc = F.try_parse_json(c)
     match = F.coalesce(_contains(doc, pattern, top=True), F.lit(False))
+    tokens = sorted(set(_literal_tokens(pattern)))
+    if tokens:
+        present = None
+        for t in tokens:
+            p = c.contains(t)
+            present = p if present is None else present & p
+        cannot = ~c.contains("\\") & ~present
+        match = F.when(cannot, F.lit(False)).otherwise(match)
     return F.when(c.isNull(), F.lit(None).cast("boolean")).otherwise(match)
 
 

@@ -5,6 +5,10 @@ event of type steps[k-1] strictly after the user's step k-1 time (and
 within ``horizon`` of it when given).  Each step is one join of the
 step-k events with the per-user step-(k-1) times (one row per user) and
 one map-side-combined min per user; no per-user event lists are built.
+
+Each step's per-user table feeds both its count and the next step, so it
+is written once to the shared folder (``materialize``); otherwise every
+later step would recompute all earlier ones (quadratic in the steps).
 """
 
 from __future__ import annotations
@@ -13,6 +17,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from eventide.plans.lineage import materialize
+
 from eventide.functions.timefns import interval_micros
 
 
@@ -21,15 +27,15 @@ def funnel(events: DataFrame, steps: Sequence[str], horizon: str | None = None,
     if not steps:
         raise ValueError("funnel needs at least one step")
     ev = events.select(user, ts, type_col)
-    reached = (ev.where(F.col(type_col) == steps[0]).groupBy(user)
-               .agg(F.min(ts).alias("_t")))
+    reached = materialize(ev.where(F.col(type_col) == steps[0]).groupBy(user)
+                          .agg(F.min(ts).alias("_t")), "funnel-step")
     counts = [reached.agg(F.count(F.lit(1)).alias("users")).withColumn("step", F.lit(1))
               .withColumn("event_type", F.lit(steps[0]))]
     for k, step in enumerate(steps[1:], start=2):
         cand = ev.where(F.col(type_col) == step).join(reached, user, "inner").where(F.col(ts) > F.col("_t"))
         if horizon:
             cand = cand.where(F.timestamp_diff("MICROSECOND", F.col("_t"), F.col(ts)) <= interval_micros(horizon))
-        reached = cand.groupBy(user).agg(F.min(ts).alias("_t"))
+        reached = materialize(cand.groupBy(user).agg(F.min(ts).alias("_t")), "funnel-step")
         counts.append(reached.agg(F.count(F.lit(1)).alias("users")).withColumn("step", F.lit(k))
                       .withColumn("event_type", F.lit(step)))
     out = counts[0]

@@ -91,3 +91,11 @@ def test_no_python_udf_in_plan(spark):
     text = plan_text(df)
     assert "BatchEvalPython" not in text and "ArrowEvalPython" not in text
     assert F  # keep import
+
+
+def test_escaped_keys_still_match(spark):
+    df = spark.createDataFrame([('{"\\u0074est": true}',), ('{"best": true}',), ('{"test": "tr\\u0075e"}',)], "doc string")
+    got = [r.m for r in df.select(json_contains("doc", {"test": True}).alias("m")).collect()]
+    assert got == [True, False, False]
+    got = [r.m for r in df.select(json_contains("doc", {"test": "true"}).alias("m")).collect()]
+    assert got == [False, False, True]
