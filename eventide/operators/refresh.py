@@ -9,7 +9,8 @@ Layout under ``store``:
 A version becomes visible when its manifest row is committed, which
 happens after its data files are committed, so readers always see a
 complete version and never a half-written one; nothing is overwritten or
-deleted in place.  All paths live in the shared store (on a cluster: the
+deleted in place.  A full refresh publishes all its rollups in one
+manifest append, so they switch together.  All paths live in the shared store (on a cluster: the
 folder named by ``spark.checkpoint.dir`` or a table location), never in a
 machine-local folder.
 """
@@ -61,19 +62,21 @@ def read_rollup(spark: SparkSession, store: str, name: str) -> DataFrame:
     return spark.read.parquet(cur[1])
 
 
-def _commit(spark: SparkSession, store: str, name: str, df: DataFrame, as_of, *,
-            version: int | None = None, sort_cols=()) -> tuple[int, str]:
-    """Write a new version directory, then append its manifest row."""
-    if version is None:
-        cur = current_version(spark, store, name)
-        version = (cur[0] if cur else 0) + 1
+def _write_version(store: str, name: str, df: DataFrame, version: int, sort_cols=()) -> str:
+    """Write one version directory (invisible until published)."""
     path = f"{store}/{name}/v{version:06d}"
     out = df.sortWithinPartitions(*sort_cols) if sort_cols else df
     out.write.mode("errorifexists").parquet(path)
+    return path
+
+
+def _publish(spark: SparkSession, store: str, entries, as_of) -> None:
+    """Append one manifest row per (name, version, path) in one small write:
+    all listed versions become visible together."""
     ts = str(as_of) if as_of is not None else datetime.utcnow().strftime("%Y-%m-%d %H:%M:%S")
-    (spark.createDataFrame([(name, version, path, None, datetime.fromisoformat(ts))], MANIFEST_SCHEMA)
-     .coalesce(1).write.mode("append").parquet(f"{store}/{MANIFEST}"))
-    return version, path
+    when = datetime.fromisoformat(ts)
+    rows = [(name, version, path, None, when) for name, version, path in entries]
+    spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1).write.mode("append").parquet(f"{store}/{MANIFEST}")
 
 
 def _versions(spark: SparkSession, store: str) -> dict[str, int]:
@@ -98,7 +101,8 @@ def refresh_all(spark: SparkSession, events: DataFrame, store: str, as_of,
                 names: Sequence[str] = ("stats_totals", "stats_hourly", "stats_daily_users", "stats_geo_events"),
                 options: Mapping[str, Mapping] | None = None, use_cube: bool = True) -> DataFrame:
     """M1: full refresh of ``names`` in order; returns (rollup, version, seconds)
-    (rows and bytes per rollup: :func:`inventory`).
+    (rows and bytes per rollup: :func:`inventory`).  The new versions are
+    published together by one manifest append after all are written.
 
     With ``use_cube`` the raw events are scanned once into the hourly base
     cube, which is written as Parquet to the shared folder (a lost executor
@@ -108,12 +112,14 @@ def refresh_all(spark: SparkSession, events: DataFrame, store: str, as_of,
     options = options or {}
     src = materialize(R.base_cube(events), "cube") if use_cube else events
     versions = _versions(spark, store)
-    report = []
+    report, entries = [], []
     for name in names:
         t0 = time.time()
-        version, _ = _commit(spark, store, name, _build(name, src, as_of, options), as_of,
-                             version=versions.get(name, 0) + 1)
+        version = versions.get(name, 0) + 1
+        path = _write_version(store, name, _build(name, src, as_of, options), version)
+        entries.append((name, version, path))
         report.append((name, version, round(time.time() - t0, 3)))
+    _publish(spark, store, entries, as_of)
     return spark.createDataFrame(report, "rollup string, version long, seconds double")
 
 
@@ -142,7 +148,8 @@ def refresh_dates(spark: SparkSession, store: str, name: str, events: DataFrame,
     touched = events.where(F.to_date("event_time").isin(*date_lits))
     fresh = _build(name, touched, as_of, options)
     new = kept.unionByName(fresh.select(*old.columns))
-    _commit(spark, store, name, new, as_of)
+    version = current_version(spark, store, name)[0] + 1
+    _publish(spark, store, [(name, version, _write_version(store, name, new, version))], as_of)
     return read_rollup(spark, store, name)
 
 
