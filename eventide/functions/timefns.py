@@ -124,24 +124,38 @@ def pct(part: Column, whole: Column, digits: int = 2) -> Column:
     return F.round(F.lit(100.0) * part.cast("double") / F.nullif(whole.cast("double"), F.lit(0.0)), digits)
 
 
-# The unit ladder of a human-readable byte size.
+# The unit ladder of a human-readable byte size, and the
+# limit below which a unit is kept (10 * 1024 of it).
 _SIZE_UNITS = ["bytes", "kB", "MB", "GB", "TB", "PB"]
+_SIZE_LIMIT = 10 * 1024
 
 
 def size_pretty(nbytes: Column | str) -> Column:
-    """Human-readable byte size: '812 bytes', '10 kB', '3 MB' (1024 steps).
+    """Human-readable byte size ('812 bytes', '10 kB', '3 MB', ...).
 
-    Values are rounded to an integer in the chosen unit and a unit is kept
-    while the rounded value stays below 10240 of it.
+    Integer rule: bytes are shown below 10240; otherwise the value is
+    halved-and-rounded in the next unit (shift by 9 bits, then +1 and
+    halve, rounding half away from zero) and a unit is kept while that
+    pre-rounding value stays below 2 * 10240 - 1; each further unit
+    shifts by another 10 bits.
     """
-    b = (F.col(nbytes) if isinstance(nbytes, str) else nbytes).cast("double")
-    out = None
-    for i, unit in enumerate(_SIZE_UNITS):
-        scaled = F.round(b / F.lit(float(1024 ** i)))
-        text = F.concat(scaled.cast("long").cast("string"), F.lit(" " + unit))
-        cond = F.abs(b) < F.lit(10240.0 * 1024 ** i) if i < len(_SIZE_UNITS) - 1 else F.lit(True)
-        out = F.when(cond, text) if out is None else out.when(cond, text)
-    return out
+    b = (F.col(nbytes) if isinstance(nbytes, str) else nbytes).cast("long")
+    limit2 = 2 * _SIZE_LIMIT - 1
+
+    def half_round(x: Column) -> Column:
+        return F.when(x >= 0, F.floor((x + F.lit(1)) / F.lit(2))).otherwise(-F.floor((-x + F.lit(1)) / F.lit(2)))
+
+    def text(v: Column, unit: str) -> Column:
+        return F.concat(v.cast("long").cast("string"), F.lit(" " + unit))
+
+    out = F.when(F.abs(b) < F.lit(_SIZE_LIMIT), text(b, _SIZE_UNITS[0]))
+    x = F.shiftright(b, 9)
+    for i, unit in enumerate(_SIZE_UNITS[1:], start=1):
+        last = i == len(_SIZE_UNITS) - 1
+        cond = F.lit(True) if last else (F.abs(x) < F.lit(limit2))
+        out = out.when(cond, text(half_round(x), unit))
+        x = F.shiftright(x, 10)
+    return F.when(b.isNotNull(), out)
 
 
 def exact_pct(part: Column, whole: Column, digits: int = 2) -> Column:

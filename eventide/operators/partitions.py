@@ -73,6 +73,15 @@ def missing_months(calendar: DataFrame, present: DataFrame) -> DataFrame:
     return calendar.join(present.select("partition_name"), "partition_name", "left_anti")
 
 
+def months_to_create(spark: SparkSession, present: DataFrame, as_of, ahead: int = 2,
+                     prefix: str = PREFIX) -> DataFrame:
+    """P3 maintenance: the months of as_of + 1 .. as_of + ``ahead`` that
+    have no partition yet (the monthly "create the next months" job)."""
+    d = _date_col(as_of)
+    cal = month_calendar(spark, F.add_months(d, 1), F.add_months(d, ahead), prefix)
+    return missing_months(cal, present)
+
+
 def expired_months(present: DataFrame, as_of, keep_months: int = 12, prefix: str = PREFIX) -> DataFrame:
     """Partitions whose month starts before as_of - keep_months."""
     cutoff = F.add_months(_date_col(as_of), -keep_months)

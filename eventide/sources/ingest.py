@@ -56,13 +56,15 @@ def with_defaults(df: DataFrame, as_of, properties_default: str = "{}") -> DataF
 
 def validate(df: DataFrame, *, not_null: Sequence[str] = tuple(NOT_NULL),
              max_lengths: Mapping[str, int] = MAX_LENGTHS, key: Sequence[str] = tuple(PRIMARY_KEY),
-             time_range: tuple | None = None, ts: str = "event_time") -> tuple[DataFrame, DataFrame]:
+             time_range: tuple | None = None, partitions: DataFrame | None = None,
+             ts: str = "event_time") -> tuple[DataFrame, DataFrame]:
     """Split a load into (accepted, rejected) — rejected rows carry
     ``reasons`` (array of strings).
 
     Rules: NOT NULL columns, maximum text lengths, key unique within the
     load (every copy of a repeated key is rejected), event time inside the
-    known partitions ``[lo, hi)``.  Key counts come from an aggregation
+    known partitions — a range ``time_range=(lo, hi)`` or a ``partitions``
+    calendar (``partition_name`` column, one row per month, broadcast).  Key counts come from an aggregation
     (map-side combined) joined back, so a heavily repeated key is not
     funnelled through a window in one task.
     """
@@ -75,6 +77,11 @@ def validate(df: DataFrame, *, not_null: Sequence[str] = tuple(NOT_NULL),
         checks.append(F.when((F.col(ts) < ts_literal(lo, typ)) | (F.col(ts) >= ts_literal(hi, typ)),
                              F.lit("no_partition")))
     out = df
+    if partitions is not None and ts in cols:
+        # One row per month: a bounded calendar, broadcast into a left join.
+        known = partitions.select(F.col("partition_name").alias("_known")).distinct()
+        out = out.join(F.broadcast(known), F.concat(F.lit("events_"), month_key(ts)) == F.col("_known"), "left")
+        checks.append(F.when(F.col("_known").isNull() & F.col(ts).isNotNull(), F.lit("no_partition")))
     key = [k for k in key if k in cols]
     if key:
         alias = {k: f"_key{i}" for i, k in enumerate(key)}
@@ -82,12 +89,11 @@ def validate(df: DataFrame, *, not_null: Sequence[str] = tuple(NOT_NULL),
                .agg(F.count(F.lit(1)).alias("_copies")).where(F.col("_copies") > 1))
         # Null-safe join so rows with a NULL key part match their copies too.
         cond = [F.col(k).eqNullSafe(F.col(a)) for k, a in alias.items()]
-        out = df.join(dup, cond, "left").drop(*alias.values())
+        out = out.join(dup, cond, "left").drop(*alias.values())
         checks.append(F.when(F.col("_copies").isNotNull(), F.lit("duplicate_key")))
     reasons = F.array_compact(F.array(*checks)) if checks else F.array().cast("array<string>")
     out = out.withColumn("reasons", reasons)
-    if "_copies" in out.columns:
-        out = out.drop("_copies")
+    out = out.drop(*[c for c in ("_copies", "_known") if c in out.columns])
     ok = out.where(F.size("reasons") == 0).drop("reasons")
     bad = out.where(F.size("reasons") > 0)
     return ok, bad
