@@ -79,3 +79,13 @@ def test_stream_ingest_round_trip(spark):
     n_ok, n_bad = spark.read.parquet(out).count(), spark.read.parquet(bad).count()
     assert n_ok + n_bad == ev.count()
     assert n_ok == ev.where("event_time < timestamp_ntz'2024-01-15 00:00:00'").count()
+
+
+def test_in_place_refresh_replaces_only_touched_days(spark):
+    ev = D.events(spark, SF_SMALL, country=True, sessions=True)
+    cut = F.lit("2024-01-20 00:00:00").cast("timestamp_ntz")
+    path = scratch_dir(spark, "t-inplace")
+    M.write_partitioned(R.stats_daily_users(ev.where(F.col("event_time") < cut)), path, "date")
+    dates = [f"2024-01-{d}" for d in range(20, 31)]
+    out = M.refresh_dates_in_place(spark, path, "stats_daily_users", ev, dates, D.AS_OF).drop("day")
+    assert _rows(out.select(*R.stats_daily_users(ev).columns)) == _rows(R.stats_daily_users(ev))
