@@ -82,7 +82,8 @@ def main() -> None:
 
     # Refresh the rollups (one scan into the base cube, then each rollup).
     rstores = []
-    names = ["stats_totals", "stats_hourly", "stats_daily_users", "stats_geo_events"]
+    names = ["stats_totals", "stats_hourly", "stats_daily_users", "stats_geo_events", "mv_stats_total",
+             "mv_hourly_stats"]
 
     def refresh():
         rstores.append(scratch_dir(spark, "bench-rollups"))
@@ -94,12 +95,16 @@ def main() -> None:
     hourly = M.read_rollup(spark, rstore, "stats_hourly")
     daily = M.read_rollup(spark, rstore, "stats_daily_users")
     geo = M.read_rollup(spark, rstore, "stats_geo_events")
+    mv_hourly = M.read_rollup(spark, rstore, "mv_hourly_stats")
 
     timed("rq1_totals", lambda: R.rq1_totals(totals))
     timed("rq2_recent_7d", lambda: R.rq2_recent(hourly, as_of, 7))
     timed("rq3_by_type_24h", lambda: R.rq3_by_type(hourly, as_of, 24))
     timed("rq4_top_users_30d", lambda: R.rq4_top_users(daily, as_of, 30, 100))
     timed("rq6_geo_7d", lambda: R.rq6_geo(geo, as_of, 7, ("view", "click"), 50))
+    # The README's hourly view: computed from raw events vs read from the rollup.
+    timed("hourly_agg_raw", lambda: R.mv_hourly_stats(ev))
+    timed("rq_hourly_agg_read", lambda: mv_hourly)
 
     # Heavier derived work over the whole store.
     timed("d1_sessions", lambda: S.sessions(ev, page_view="view", click="click", form_submit="signup"), "noop")
