@@ -99,8 +99,14 @@ def validate(df: DataFrame, *, not_null: Sequence[str] = tuple(NOT_NULL),
     return ok, bad
 
 
+# Point lookups by user (journey) and by session (session replay) skip row
+# groups through Parquet bloom filters on these columns.
+BLOOM_COLUMNS = ("user_id", "session_id")
+
+
 def append_events(df: DataFrame, path: str, *, ts: str = "event_time", month_col: str = MONTH_COL,
-                  cluster: int | None = None, mode: str = "append") -> None:
+                  cluster: int | None = None, mode: str = "append",
+                  bloom: tuple[str, ...] = BLOOM_COLUMNS) -> None:
     """Append to a month-partitioned Parquet table (routing by month).
 
     By default no shuffle is added: each task sorts its rows by (month,
@@ -115,7 +121,11 @@ def append_events(df: DataFrame, path: str, *, ts: str = "event_time", month_col
     if cluster:
         out = out.repartitionByRange(int(cluster), month_col, ts)
     out = out.sortWithinPartitions(month_col, ts)
-    out.write.mode(mode).partitionBy(month_col).parquet(path)
+    w = out.write.mode(mode).partitionBy(month_col)
+    for c in bloom:
+        if c in df.columns:
+            w = w.option(f"parquet.bloom.filter.enabled#{c}", "true")
+    w.parquet(path)
 
 
 def read_store(spark: SparkSession, path: str) -> DataFrame:
