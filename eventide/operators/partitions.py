@@ -124,5 +124,5 @@ def partition_ranking(inventory: DataFrame) -> DataFrame:
     per month, so the ranking window is over a tiny table)."""
     w = Window.orderBy(F.desc("row_count"), F.asc("partition_name"))
     return (inventory.where(F.col("row_count") > 0)
-            .withColumn("rank", F.row_number().over(w))
+            .withColumn("rank", F.row_number().over(w).cast("long"))
             .withColumn("partitions", F.count(F.lit(1)).over(Window.partitionBy())))

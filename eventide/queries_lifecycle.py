@@ -203,7 +203,7 @@ def s5(spark, sf):
           + __import__("eventide.queries_sessions", fromlist=["x"])._SESSIONS_BODY +
           " SELECT e.id, e.session_id, s.device_type, s.country_code, "
           "CASE WHEN e.event_type IN ('purchase', 'signup') THEN 'conversion' ELSE 'engagement' END AS kind, "
-          "to_json({'event_type': e.event_type, 'user_id': e.user_id}) AS properties "
+          "CAST(to_json({'event_type': e.event_type, 'user_id': e.user_id}) AS VARCHAR) AS properties "
           "FROM ev e LEFT JOIN sess s ON s.id = e.session_id")
 def s7(spark, sf):
     ev = D.events(spark, sf, country=True, device=True, page=True, sessions=True)
