@@ -14,7 +14,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from eventide.functions.timefns import interval_micros, seconds_between, trunc_ts, day_of, ts_literal
+from eventide.functions.timefns import interval_micros, trunc_ts, day_of, ts_literal
 
 
 def sessionize(events: DataFrame, gap: str | int = "30 minutes", *, user: str = "user_id",

@@ -60,11 +60,14 @@ def scratch_dir(spark: SparkSession, name: str = "") -> str:
     ``setCheckpointDir``).  Only when neither is set — local tests — a
     private folder under the system temp dir is created and registered.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if base and not sc.getCheckpointDir():
+        sc.setCheckpointDir(base)  # so DataFrame.checkpoint() writes there too
     if not base:
-        base = spark.sparkContext.getCheckpointDir()
+        base = sc.getCheckpointDir()
     if not base:
         base = tempfile.mkdtemp(prefix="eventide-ckpt-")
-        spark.sparkContext.setCheckpointDir(base)
+        sc.setCheckpointDir(base)
     base = base.rstrip("/")
     return f"{base}/{name or 'work'}-{uuid.uuid4().hex[:12]}"
