@@ -20,6 +20,8 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pyspark.sql import functions as F  # noqa: E402
+
 from eventide.session import get_spark, scratch_dir  # noqa: E402
 
 
@@ -113,6 +115,20 @@ def main() -> None:
     timed("v6_pareto", lambda: V.pareto(ev, "user_id", 20.0))
     timed("r2_hourly_from_raw", lambda: R.stats_hourly(ev), "noop")
 
+    # Other operator families over the whole store.
+    from eventide.operators import oplog as L
+    from eventide.operators import partitions as P
+    timed("u5_dau_by_country", lambda: Q.u5_dau_by_country(ev))
+    timed("v1_share_by_type", lambda: V.share(ev, "event_type", 2))
+    timed("p5_partitions_with_bytes", lambda: P.list_partitions(ev, with_bytes=True))
+    timed("s4_validate", lambda: I.validate(ev.drop("event_month"), time_range=("2024-01-01 00:00:00",
+                                                                                "2024-02-01 00:00:00"))[1], "noop")
+    timed("l1_slow_operations", lambda: L.slow_operations(
+        L.statement_stats(ev.withColumn("ms", F.timestamp_diff("MICROSECOND", "event_time", "created_at") / 1000.0),
+                          op="event_type", ms="ms")))
+    days = [f"2024-01-{d}" for d in range(24, 31)]
+    timed("m2_refresh_7_days", lambda: M.refresh_dates(spark, rstore, "stats_daily_users", ev, days, as_of), "noop")
+
     raw = sum(times[k] for k in times if k.startswith("q"))
     rolled = sum(times[k] for k in times if k.startswith("rq"))
     print(json.dumps({
