@@ -14,6 +14,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from eventide.functions.timefns import round_dec
 
+# Statements of the statistics collector itself are noise and
+# are left out of the slow-operation list and of the per-class summary.
+SLOW_NOISE_LIKE = "%pg_stat_statements%"
+CLASS_NOISE_LIKE = "%pg_stat%"
+
 
 def statement_stats(timings: DataFrame, *, op: str, ms: str, rows: str | None = None,
                     hit: str | None = None, read: str | None = None) -> DataFrame:
@@ -39,7 +44,7 @@ def _ratio(hit: Column, read: Column, digits: int = 2) -> Column:
     return round_dec(num / den, digits)
 
 
-def slow_operations(stats: DataFrame, n: int = 20, exclude_like: str | None = "%pg_stat_statements%",
+def slow_operations(stats: DataFrame, n: int = 20, exclude_like: str | None = SLOW_NOISE_LIKE,
                     preview: int = 100) -> DataFrame:
     """L1: the n slowest statements by mean time (ties by statement text)."""
     df = stats if exclude_like is None else stats.where(~F.col("query").like(exclude_like))
@@ -59,7 +64,7 @@ STATEMENT_CLASSES = {"SELECT": "SELECT%", "INSERT": "INSERT%", "UPDATE": "UPDATE
 
 
 def stats_by_class(stats: DataFrame, classes: Mapping[str, str] = STATEMENT_CLASSES,
-                   exclude_like: str | None = "%pg_stat%", other: str = "OTHER") -> DataFrame:
+                   exclude_like: str | None = CLASS_NOISE_LIKE, other: str = "OTHER") -> DataFrame:
     """L2: statistics per statement class (first matching LIKE pattern wins)."""
     df = stats if exclude_like is None else stats.where(~F.col("query").like(exclude_like))
     cls = None
