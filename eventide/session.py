@@ -20,6 +20,9 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # JSONB keeps the last of duplicate keys; Variant does too with this.
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # Answer count(*) from Parquet footers when read through the DSv2
+    # reader (see sources.ingest.read_store(footer_aggregates=True)).
+    "spark.sql.parquet.aggregatePushdown": "true",
 }
 
 

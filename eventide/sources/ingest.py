@@ -128,9 +128,24 @@ def append_events(df: DataFrame, path: str, *, ts: str = "event_time", month_col
     w.parquet(path)
 
 
-def read_store(spark: SparkSession, path: str) -> DataFrame:
-    """Read a table written by append_events (partition column included)."""
-    return spark.read.parquet(path)
+def read_store(spark: SparkSession, path: str, *, footer_aggregates: bool = False) -> DataFrame:
+    """Read a table written by append_events (partition column included).
+
+    ``footer_aggregates=True`` reads through the DSv2 Parquet reader, so
+    ``count(*)`` — also under a filter on the month column only — is
+    answered from file footers without reading any data page (the
+    index-only count of a row store).  The switch is scoped to building
+    the relation; the session keeps its reader settings.
+    """
+    if not footer_aggregates:
+        return spark.read.parquet(path)
+    key = "spark.sql.sources.useV1SourceList"
+    old = spark.conf.get(key)
+    spark.conf.set(key, ",".join(x for x in old.split(",") if x.strip().lower() != "parquet"))
+    try:
+        return spark.read.parquet(path)
+    finally:
+        spark.conf.set(key, old)
 
 
 def insert_rows(rows: DataFrame, path: str, as_of, schema: T.StructType = EVENT_SCHEMA) -> DataFrame:

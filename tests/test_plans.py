@@ -27,6 +27,21 @@ def test_partition_pruning_on_store(spark):
     assert ev is not None
 
 
+def test_footer_count_on_store(spark):
+    from pyspark.sql import functions as F
+    ev = D.events(spark, SF_SMALL)
+    path = scratch_dir(spark, "plan-footer")
+    I.append_events(ev, path)
+    store = I.read_store(spark, path, footer_aggregates=True)
+    q1 = Q.q1_total(store)
+    assert "PushedAggregation: [COUNT(*)]" in plan_text(q1)
+    assert q1.collect()[0][0] == ev.count()
+    by_month = store.where(F.col("event_month") == "2024_01").agg(F.count(F.lit(1)))
+    assert "PushedAggregation: [COUNT(*)]" in plan_text(by_month)
+    # the session still reads Parquet with the default reader afterwards
+    assert "BatchScan" not in plan_text(Q.q1_total(I.read_store(spark, path)))
+
+
 def test_top_k_is_take_ordered(spark):
     text = plan_text(Q.q4_top_users(D.events(spark, SF_SMALL), D.AS_OF))
     assert "TakeOrderedAndProject" in text
