@@ -12,6 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from eventide.functions.timefns import exact_pct, hour_of
+from eventide.plans.broadcast import bounded_broadcast
 
 
 def counts(df: DataFrame, key: str | Sequence[str], name: str = "count") -> DataFrame:
@@ -113,10 +114,10 @@ def compare_share(df: DataFrame, key: str, expected: DataFrame, digits: int = 2)
 
     ``expected`` has (key, expected_pct).  Categories missing on one side
     count as 0 there.  The expectation is a small table of published
-    weights, so it is joined without a shuffle of the observed side.
+    weights; it is broadcast once its size is checked.
     """
     obs = share(df, key, digits, "observed_pct").select(key, "observed_pct")
-    j = obs.join(F.broadcast(expected), key, "full_outer")
+    j = obs.join(bounded_broadcast(expected), key, "full_outer")
     o = F.coalesce(F.col("observed_pct"), F.lit(0.0))
     e = F.coalesce(F.col("expected_pct").cast("double"), F.lit(0.0))
     return j.select(key, o.alias("observed_pct"), e.alias("expected_pct"),

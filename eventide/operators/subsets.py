@@ -2,13 +2,15 @@
 
 The reference takes "some" rows with an unordered LIMIT; here the subset
 is the first ``n`` distinct keys in key order, so reruns agree.  The
-subset has at most ``n`` rows by construction, so it is broadcast into the
-semi join without a size check.
+subset has at most ``n`` rows, so the size check before the broadcast
+into the semi join always passes for it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
+
+from eventide.plans.broadcast import bounded_broadcast
 
 
 def first_keys(df: DataFrame, key: str, n: int) -> DataFrame:
@@ -17,5 +19,6 @@ def first_keys(df: DataFrame, key: str, n: int) -> DataFrame:
 
 
 def restrict_to(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    """Rows of ``df`` whose key is in ``keys`` (a bounded subset)."""
-    return df.join(F.broadcast(keys), key, "left_semi")
+    """Rows of ``df`` whose key is in ``keys``: a semi join, broadcast when
+    the key set is within the checked bound (always for ``first_keys``)."""
+    return df.join(bounded_broadcast(keys), key, "left_semi")

@@ -78,9 +78,11 @@ def validate(df: DataFrame, *, not_null: Sequence[str] = tuple(NOT_NULL),
                              F.lit("no_partition")))
     out = df
     if partitions is not None and ts in cols:
-        # One row per month: a bounded calendar, broadcast into a left join.
+        # One row per month: a calendar, broadcast after its size check.
+        from eventide.plans.broadcast import bounded_broadcast
         known = partitions.select(F.col("partition_name").alias("_known")).distinct()
-        out = out.join(F.broadcast(known), F.concat(F.lit("events_"), month_key(ts)) == F.col("_known"), "left")
+        out = out.join(bounded_broadcast(known), F.concat(F.lit("events_"), month_key(ts)) == F.col("_known"),
+                       "left")
         checks.append(F.when(F.col("_known").isNull() & F.col(ts).isNotNull(), F.lit("no_partition")))
     key = [k for k in key if k in cols]
     if key:
