@@ -2,7 +2,7 @@
 and inventory (M1-M5).
 
 Layout under ``store``:
-    <name>/v000001/…parquet      one directory per version (never modified)
+    <name>/v000001-<id>/…parquet one directory per version (never modified)
     _manifest/…parquet           append-only rows (rollup, version, path,
                                   rows, refreshed_at)
 
@@ -18,6 +18,7 @@ machine-local folder.
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
@@ -71,8 +72,13 @@ def read_rollup(spark: SparkSession, store: str, name: str) -> DataFrame:
 
 
 def _write_version(store: str, name: str, df: DataFrame, version: int, sort_cols=()) -> str:
-    """Write one version directory (invisible until published)."""
-    path = f"{store}/{name}/v{version:06d}"
+    """Write one version directory (invisible until published).
+
+    The directory name carries a unique suffix: if a refresh dies after
+    writing data but before publishing, the orphan stays invisible and a
+    rerun writes a fresh directory for the same version number.
+    """
+    path = f"{store}/{name}/v{version:06d}-{uuid.uuid4().hex[:8]}"
     out = df.sortWithinPartitions(*sort_cols) if sort_cols else df
     out.write.mode("errorifexists").parquet(path)
     return path
