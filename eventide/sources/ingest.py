@@ -108,7 +108,7 @@ BLOOM_COLUMNS = ("user_id", "session_id")
 
 def append_events(df: DataFrame, path: str, *, ts: str = "event_time", month_col: str = MONTH_COL,
                   cluster: int | None = None, mode: str = "append",
-                  bloom: tuple[str, ...] = BLOOM_COLUMNS) -> None:
+                  bloom: tuple[str, ...] = BLOOM_COLUMNS, overwrite_months: bool = False) -> None:
     """Append to a month-partitioned Parquet table (routing by month).
 
     By default no shuffle is added: each task sorts its rows by (month,
@@ -118,12 +118,21 @@ def append_events(df: DataFrame, path: str, *, ts: str = "event_time", month_col
     the input is not concentrated anywhere.  ``cluster=n`` range-partitions
     by (month, time) into n tasks first — fewer, time-disjoint files, at
     the cost of a sampling pass over the input.
+
+    ``overwrite_months=True`` makes a load idempotent per month: the months
+    present in ``df`` are replaced (dynamic partition overwrite), others
+    are untouched, so re-running a failed or repeated load of whole months
+    does not duplicate rows.  Plain append is for new rows only.
     """
     out = df.withColumn(month_col, month_key(ts))
     if cluster:
         out = out.repartitionByRange(int(cluster), month_col, ts)
     out = out.sortWithinPartitions(month_col, ts)
-    w = out.write.mode(mode).partitionBy(month_col)
+    w = out.write.partitionBy(month_col)
+    if overwrite_months:
+        w = w.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    else:
+        w = w.mode(mode)
     for c in bloom:
         if c in df.columns:
             w = w.option(f"parquet.bloom.filter.enabled#{c}", "true")

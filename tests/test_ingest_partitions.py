@@ -102,3 +102,15 @@ def test_enrich_inherits_from_session(spark):
     assert out[1].country_code == "US" and out[1].device_type == "mobile" and out[1].user_id == "u1"
     assert out[2].country_code == "CA" and out[2].device_type is None
     assert out[1].properties == '{"event_type":"view"}' and out[2].k == "CLICK"
+
+
+def test_month_reload_is_idempotent(spark):
+    rows = [(1, datetime(2024, 1, 5), "u", "s", "view", "{}"), (2, datetime(2024, 2, 5), "u", "s", "view", "{}")]
+    df = I.with_defaults(_canon(spark, rows), "2024-03-01 00:00:00")
+    path = scratch_dir(spark, "t-reload")
+    I.append_events(df, path)
+    jan = df.where(F.col("event_time") < F.lit("2024-02-01 00:00:00").cast("timestamp_ntz"))
+    I.append_events(jan, path, overwrite_months=True)
+    I.append_events(jan, path, overwrite_months=True)
+    back = I.read_store(spark, path)
+    assert sorted(r.id for r in back.collect()) == [1, 2]
