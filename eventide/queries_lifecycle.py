@@ -13,6 +13,7 @@ from eventide.operators import queries as Q
 from eventide.operators import refresh as M
 from eventide.operators import rollups as R
 from eventide.operators import sessions as S
+from eventide.queries_sessions import SESSIONS_BODY
 from eventide.registry import register, ts, cte, D, AS_OF
 from eventide.session import scratch_dir
 from eventide.sources import ingest as I
@@ -199,8 +200,7 @@ def s5(spark, sf):
 
 
 @register("s7_enrich_from_sessions",
-          "WITH " + cte(country=True, device=True, page=True, sessions=True) + ", "
-          + __import__("eventide.queries_sessions", fromlist=["x"])._SESSIONS_BODY +
+          "WITH " + cte(country=True, device=True, page=True, sessions=True) + ", " + SESSIONS_BODY +
           " SELECT e.id, e.session_id, s.device_type, s.country_code, "
           "CASE WHEN e.event_type IN ('purchase', 'signup') THEN 'conversion' ELSE 'engagement' END AS kind, "
           "CAST(to_json({'event_type': e.event_type, 'user_id': e.user_id}) AS VARCHAR) AS properties "

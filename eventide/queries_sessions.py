@@ -16,7 +16,7 @@ def _param_sql(url: str, name: str) -> str:
     return f"nullif(regexp_extract({url}, '[?&]{name}=([^&#]*)', 1), '')"
 
 
-_SESSIONS_BODY = (
+SESSIONS_BODY = (
     "s AS (SELECT session_id AS id, min(user_id) AS user_id, min(event_time) AS started_at, "
     "max(event_time) AS ended_at, "
     f"CAST(count_if(event_type = '{PAGE_VIEW}') AS BIGINT) AS page_views, CAST(count_if(event_type = '{CLICK}') AS BIGINT) AS clicks, "
@@ -30,7 +30,7 @@ _SESSIONS_BODY = (
     f"{_param_sql('landing_page', 'utm_source')} AS utm_source, "
     f"{_param_sql('landing_page', 'utm_medium')} AS utm_medium, "
     f"{_param_sql('landing_page', 'utm_campaign')} AS utm_campaign FROM s)")
-SESSIONS_WITH = f"WITH {cte(country=True, device=True, page=True, sessions=True)}, {_SESSIONS_BODY}"
+SESSIONS_WITH = f"WITH {cte(country=True, device=True, page=True, sessions=True)}, {SESSIONS_BODY}"
 
 
 def _sessions(spark, sf):
