@@ -53,6 +53,7 @@ def test_count_reads_no_columns(spark):
 
 
 @pytest.mark.parametrize("name", sorted(k for k in E.queries() if not k.startswith(("s1_", "s5_", "s6_", "s8_", "m1_", "m2_", "m5_", "m6_", "p5_partition_bytes", "p7_"))))
-def test_no_python_udf(spark, name):
+def test_no_python_udf_and_no_cross_join(spark, name):
     text = plan_text(E.queries()[name](spark, SF_SMALL))
     assert "BatchEvalPython" not in text and "ArrowEvalPython" not in text
+    assert "CartesianProduct" not in text and "NestedLoopJoin" not in text
