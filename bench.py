@@ -22,7 +22,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from eventide.session import get_spark, scratch_dir  # noqa: E402
+from eventide.session import get_spark, input_size, scratch_dir, tune_for_input  # noqa: E402
 
 
 def main() -> None:
@@ -30,6 +30,8 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     spark = get_spark("eventide-bench", master=f"local[{cpus}]", shuffle_partitions=int(cpus))
+    # Partition sizing from the input size (at sf0.1 this stays at one partition per core).
+    tune_for_input(spark, input_size(sf_dir), min_partitions=int(cpus))
 
     from eventide.operators import queries as Q
     from eventide.operators import refresh as M

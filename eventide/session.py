@@ -56,6 +56,45 @@ def get_spark(app: str = "eventide", master: str | None = None,
     return configure(spark)
 
 
+def tune_for_input(spark: SparkSession, input_bytes: int, *, target_partition_bytes: int = 256 << 20,
+                   min_partitions: int | None = None, max_partitions: int = 100_000) -> dict[str, str]:
+    """Size shuffles and scans from the input size (spill-aware defaults).
+
+    Initial shuffle partitions = input / target (at least the cluster's
+    default parallelism, at most ``max_partitions``); AQE then coalesces small ones toward the
+    advisory size and splits skewed join partitions above it.  Scans split
+    files at the same target.  Returns the settings applied.
+    """
+    cores = min_partitions or spark.sparkContext.defaultParallelism
+    # Capped: the shuffle's map-output bookkeeping grows with maps x reducers,
+    # so at ~100 TB each reducer takes ~1 GB (sorted/aggregated with spill).
+    n = min(max_partitions, max(int(cores), -(-int(input_bytes) // target_partition_bytes)))
+    conf = {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+    }
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    return conf
+
+
+def input_size(paths) -> int:
+    """Total bytes of local input files/directories (for tune_for_input);
+    on a cluster pass the size known from the catalog or the listing."""
+    total = 0
+    for p in ([paths] if isinstance(paths, str) else paths):
+        p = p.replace("file:", "")
+        if os.path.isdir(p):
+            for root, _, files in os.walk(p):
+                total += sum(os.path.getsize(os.path.join(root, f)) for f in files)
+        elif os.path.exists(p):
+            total += os.path.getsize(p)
+    return total
+
+
 def scratch_dir(spark: SparkSession, name: str = "") -> str:
     """A fresh directory under the cluster's shared checkpoint folder.
 
