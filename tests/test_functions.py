@@ -54,3 +54,16 @@ def test_months_to_create_and_known_partition_check(spark):
     ok, bad = I.validate(load, partitions=cal)
     assert [r.id for r in ok.collect()] == [1]
     assert [(r.id, r.reasons) for r in bad.collect()] == [(2, ["no_partition"])]
+
+
+def test_partition_sizing(spark):
+    from eventide.session import tune_for_input
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert tune_for_input(spark, 10, min_partitions=8)["spark.sql.shuffle.partitions"] == "8"
+        assert tune_for_input(spark, 10 * (256 << 20))["spark.sql.shuffle.partitions"] == str(
+            max(10, spark.sparkContext.defaultParallelism))
+        assert tune_for_input(spark, 100 * 10 ** 12)["spark.sql.shuffle.partitions"] == "100000"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", old)
