@@ -116,7 +116,8 @@ def list_partitions(df: DataFrame, ts: str = "event_time", month_col: str = MONT
         files = (df.select(name, F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("s"))
                  .distinct().groupBy("partition_name").agg(F.sum("s").cast("long").alias("total_size")))
         inv = inv.join(files, "partition_name", "left")
-    return inv.orderBy("partition_name")
+    # One row per month: sorted in one task, no global sort needed.
+    return inv.coalesce(1).sortWithinPartitions("partition_name")
 
 
 def partition_ranking(inventory: DataFrame) -> DataFrame:
