@@ -57,3 +57,17 @@ def test_no_python_udf_and_no_cross_join(spark, name):
     text = plan_text(E.queries()[name](spark, SF_SMALL))
     assert "BatchEvalPython" not in text and "ArrowEvalPython" not in text
     assert "CartesianProduct" not in text and "NestedLoopJoin" not in text
+
+
+def test_bounded_broadcast_checks_rows_and_bytes(spark):
+    from pyspark.sql import functions as F
+    from eventide.plans.broadcast import bounded_broadcast, side_size
+    small = spark.range(10).select(F.col("id"), F.lit("x" * 100).alias("s"))
+    assert side_size(small) == (10, 10 * (8 + 100))
+    big = spark.range(10)
+    facts = spark.range(1000).withColumnRenamed("id", "k")
+    hinted = facts.join(bounded_broadcast(big), facts.k == big.id)
+    assert "BroadcastHashJoin" in plan_text(hinted) or "broadcast" in plan_text(hinted, "extended").lower()
+    wide = spark.range(10).select(F.col("id"), F.lit("y" * 1000).alias("s"))
+    assert bounded_broadcast(wide, max_bytes=5000) is wide          # 10 kB > 5 kB bound: no hint
+    assert bounded_broadcast(big, max_rows=5) is big                 # 10 rows > 5: no hint
