@@ -56,6 +56,14 @@ def get_spark(app: str = "eventide", master: str | None = None,
     return configure(spark)
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None under Spark Connect."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect sessions have no SparkContext
+        return None
+
+
 def tune_for_input(spark: SparkSession, input_bytes: int, *, target_partition_bytes: int = 256 << 20,
                    min_partitions: int | None = None, max_partitions: int = 100_000) -> dict[str, str]:
     """Size shuffles and scans from the input size (spill-aware defaults).
@@ -65,7 +73,8 @@ def tune_for_input(spark: SparkSession, input_bytes: int, *, target_partition_by
     advisory size and splits skewed join partitions above it.  Scans split
     files at the same target.  Returns the settings applied.
     """
-    cores = min_partitions or spark.sparkContext.defaultParallelism
+    sc = _context(spark)
+    cores = min_partitions or (sc.defaultParallelism if sc is not None else 8)
     # Capped: the shuffle's map-output bookkeeping grows with maps x reducers,
     # so at ~100 TB each reducer takes ~1 GB (sorted/aggregated with spill).
     n = min(max_partitions, max(int(cores), -(-int(input_bytes) // target_partition_bytes)))
@@ -102,14 +111,19 @@ def scratch_dir(spark: SparkSession, name: str = "") -> str:
     ``setCheckpointDir``).  Only when neither is set — local tests — a
     private folder under the system temp dir is created and registered.
     """
-    sc = spark.sparkContext
-    base = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if base and not sc.getCheckpointDir():
-        sc.setCheckpointDir(base)  # so DataFrame.checkpoint() writes there too
-    if not base:
-        base = sc.getCheckpointDir()
+    sc = _context(spark)
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if sc is not None:
+        base = base or sc.getConf().get("spark.checkpoint.dir", None)
+        if base and not sc.getCheckpointDir():
+            sc.setCheckpointDir(base)  # so DataFrame.checkpoint() writes there too
+        if not base:
+            base = sc.getCheckpointDir()
     if not base:
         base = tempfile.mkdtemp(prefix="eventide-ckpt-")
-        sc.setCheckpointDir(base)
+        if sc is not None:
+            sc.setCheckpointDir(base)
+        else:
+            spark.conf.set("spark.checkpoint.dir", base)
     base = base.rstrip("/")
     return f"{base}/{name or 'work'}-{uuid.uuid4().hex[:12]}"
