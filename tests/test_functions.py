@@ -67,3 +67,14 @@ def test_partition_sizing(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
         spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", old)
+
+
+def test_lineage_cuts_write_to_the_shared_folder(spark):
+    from eventide.plans.inspect import plan_text
+    from eventide.plans.lineage import cut_lineage, materialize
+    df = spark.range(100).selectExpr("id", "id % 7 AS k")
+    cut = cut_lineage(df.groupBy("k").count())
+    assert cut.count() == 7 and "HashAggregate" not in plan_text(cut)  # lineage replaced by the checkpoint
+    m = materialize(df.where("k = 3"), "t-mat")
+    assert m.count() == len([i for i in range(100) if i % 7 == 3])
+    assert "Scan parquet" in plan_text(m)
