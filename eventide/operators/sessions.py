@@ -19,13 +19,20 @@ from eventide.functions.timefns import interval_micros, trunc_ts, day_of, ts_lit
 
 def sessionize(events: DataFrame, gap: str | int = "30 minutes", *, user: str = "user_id",
                ts: str = "event_time", tiebreak: str = "id", bucket: str = "hour",
-               out: str = "session_id", number_col: str | None = None) -> DataFrame:
+               out: str = "session_id", number_col: str | None = None,
+               state: DataFrame | None = None) -> DataFrame:
     """Label events with sessions: a new session starts when the gap to the
     user's previous event (order ``(ts, tiebreak)``) is strictly greater
     than ``gap``.  ``out`` = ``user || '-' || n`` with n = 1, 2, ... per user.
 
     ``bucket`` is the date_trunc unit that splits a user's events across
     tasks ('minute', 'hour', 'day').
+
+    ``state`` continues an earlier load instead of re-labelling history:
+    one row per user (``user``, ``last_time``, ``last_number``) as made by
+    :func:`session_state`.  The new events must be later than the user's
+    ``last_time``; a user's first new event then joins the stored session
+    when within ``gap`` and numbering continues from ``last_number``.
     """
     gap_us = interval_micros(gap)
     typ = events.schema[ts].dataType
@@ -42,14 +49,25 @@ def sessionize(events: DataFrame, gap: str | int = "30 minutes", *, user: str =
     # One row per (user, bucket): the state carried across bucket borders.
     a = e.groupBy(user, b).agg(F.min(ts).alias("_ssn_min"), F.max(ts).alias("_ssn_max"),
                                F.sum("_ssn_flag").alias("_ssn_inner"))
-    wa = Window.partitionBy(user).orderBy(b)
+    a = a.withColumn("_ssn_stored", F.lit(0))
+    if state is not None:
+        # A stored user becomes one leading pseudo-bucket: its last event time
+        # and (last_number - 1) inner starts, so the offset of the first new
+        # bucket is last_number and its gap is measured from last_time.
+        st = state.select(F.col(user), trunc_ts(bucket, F.col("last_time").cast(typ), typ).alias(b),
+                          F.col("last_time").cast(typ).alias("_ssn_min"),
+                          F.col("last_time").cast(typ).alias("_ssn_max"),
+                          (F.col("last_number") - 1).cast("long").alias("_ssn_inner"),
+                          F.lit(1).alias("_ssn_stored"))
+        a = a.unionByName(st)
+    wa = Window.partitionBy(user).orderBy(b, F.desc("_ssn_stored"))
     prev_max = F.lag("_ssn_max").over(wa)
     first = F.when(prev_max.isNull() | (F.timestamp_diff("MICROSECOND", prev_max, F.col("_ssn_min")) > gap_us), 1).otherwise(0)
     a = a.withColumn("_ssn_first", first)
     a = a.withColumn("_ssn_offset", F.coalesce(
         F.sum(F.col("_ssn_first") + F.col("_ssn_inner")).over(wa.rowsBetween(Window.unboundedPreceding, -1)),
         F.lit(0)))
-    a = a.select(user, b, "_ssn_first", "_ssn_offset")
+    a = a.where(F.col("_ssn_stored") == 0).select(user, b, "_ssn_first", "_ssn_offset")
 
     e = e.join(a, [user, b], "inner")
     n = (F.col("_ssn_offset") + F.col("_ssn_first") + F.col("_ssn_run")).cast("long")
@@ -59,6 +77,22 @@ def sessionize(events: DataFrame, gap: str | int = "30 minutes", *, user: str =
     return e.drop(b, "_ssn_flag", "_ssn_run", "_ssn_first", "_ssn_offset")
 
 
+def session_state(labelled: DataFrame, number_col: str, previous: DataFrame | None = None, *,
+                  user: str = "user_id", ts: str = "event_time") -> DataFrame:
+    """Per-user state after a load: (user, last_time, last_number).
+
+    One map-side-combined aggregate of the labelled load; users absent from
+    the load keep their previous state (full outer join on the user)."""
+    cur = labelled.groupBy(user).agg(F.max(ts).alias("last_time"), F.max(number_col).alias("last_number"))
+    if previous is None:
+        return cur
+    p = previous.select(F.col(user).alias("_u"), F.col("last_time").alias("_t"), F.col("last_number").alias("_n"))
+    j = cur.join(p, cur[user] == p["_u"], "full_outer")
+    return j.select(F.coalesce(F.col(user), F.col("_u")).alias(user),
+                    F.coalesce(F.col("last_time"), F.col("_t")).alias("last_time"),
+                    F.coalesce(F.col("last_number"), F.col("_n")).alias("last_number"))
+
+
 def session_windows(events: DataFrame, gap: str = "30 minutes", *, user: str = "user_id",
                     ts: str = "event_time") -> DataFrame:
     """Aggregate form of sessionization (Spark's ``session_window``):

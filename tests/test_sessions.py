@@ -99,3 +99,23 @@ def test_upsert_both_directions(spark):
     assert out["c"].created_at == datetime(2024, 1, 5)                         # new only: inserted
     rep = {r.id: r for r in S.upsert_users(old, new, "2024-01-05 00:00:00", mode="replace").collect()}
     assert rep["b"].total_events == 3
+
+
+def test_incremental_sessionize_equals_full(spark):
+    from tests.conftest import SF_CHECK
+    from eventide.sources import driver as D
+    ev = D.events(spark, SF_CHECK)
+    full = {r.id: r.session_id for r in S.sessionize(ev, "4 hours").collect()}
+    cuts = ["2024-01-10 00:00:00", "2024-01-20 13:00:00"]
+    state, got = None, {}
+    bounds = [None] + cuts + [None]
+    for lo, hi in zip(bounds[:-1], bounds[1:]):
+        part = ev
+        if lo:
+            part = part.where(F.col("event_time") >= F.lit(lo).cast("timestamp_ntz"))
+        if hi:
+            part = part.where(F.col("event_time") < F.lit(hi).cast("timestamp_ntz"))
+        lab = S.sessionize(part, "4 hours", number_col="n", state=state)
+        got.update({r.id: r.session_id for r in lab.collect()})
+        state = S.session_state(lab, "n", state)
+    assert got == full
