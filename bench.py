@@ -114,6 +114,13 @@ def main() -> None:
     # Heavier derived work over the whole store.
     timed("d1_sessions", lambda: S.sessions(ev, page_view="view", click="click", form_submit="signup"), "noop")
     timed("d2_sessionize", lambda: S.sessionize(ev.drop("session_id"), "4 hours"), "noop")
+    # Incremental sessionization: label the last day given the state of the days before it.
+    last_day = F.col("event_time") >= F.lit("2024-01-30 00:00:00").cast("timestamp_ntz")
+    earlier = S.sessionize(ev.where(~last_day).drop("session_id"), "4 hours", number_col="n")
+    state = S.session_state(earlier, "n").cache()
+    state.count()
+    timed("d2_sessionize_last_day_incremental",
+          lambda: S.sessionize(ev.where(last_day).drop("session_id"), "4 hours", state=state), "noop")
     timed("u4_funnel", lambda: funnel(ev, ["view", "click", "purchase"], "24 hours"))
     timed("v6_pareto", lambda: V.pareto(ev, "user_id", 20.0))
     timed("r2_hourly_from_raw", lambda: R.stats_hourly(ev), "noop")
