@@ -73,12 +73,15 @@ def missing_months(calendar: DataFrame, present: DataFrame) -> DataFrame:
     return calendar.join(present.select("partition_name"), "partition_name", "left_anti")
 
 
-def months_to_create(spark: SparkSession, present: DataFrame, as_of, ahead: int = 2,
+def months_to_create(spark_or_df, present: DataFrame, as_of, ahead: int = 2,
                      prefix: str = PREFIX) -> DataFrame:
     """P3 maintenance: the months of as_of + 1 .. as_of + ``ahead`` that
-    have no partition yet (the monthly "create the next months" job)."""
+    have no partition yet (the monthly "create the next months" job).
+
+    ``as_of`` may be a Column of a one-row DataFrame passed first (e.g. the
+    latest event date), as in :func:`month_calendar`."""
     d = _date_col(as_of)
-    cal = month_calendar(spark, F.add_months(d, 1), F.add_months(d, ahead), prefix)
+    cal = month_calendar(spark_or_df, F.add_months(d, 1), F.add_months(d, ahead), prefix)
     return missing_months(cal, present)
 
 

@@ -284,3 +284,51 @@ def m5(spark, sf):
     store = scratch_dir(spark, "rollups")
     M.refresh_all(spark, D.events(spark, sf, country=True, sessions=True), store, AS_OF)
     return M.inventory(spark, store)
+
+
+# ---- operator variants over whole tables ---------------------------------
+
+@register("p3_months_to_create",
+          "WITH m AS (SELECT max(o_orderdate) AS hi FROM orders), "
+          "cal AS (SELECT unnest(generate_series(date_trunc('month', hi) + INTERVAL 1 MONTH, "
+          "date_trunc('month', hi) + INTERVAL 2 MONTH, INTERVAL 1 MONTH)) AS d FROM m) "
+          "SELECT 'events_' || strftime(d, '%Y_%m') AS partition_name, CAST(d AS DATE) AS start_date, "
+          "CAST(d + INTERVAL 1 MONTH AS DATE) AS end_date FROM cal WHERE NOT EXISTS (SELECT 1 FROM orders o "
+          "WHERE 'events_' || strftime(o.o_orderdate, '%Y_%m') = 'events_' || strftime(cal.d, '%Y_%m'))")
+def p3b(spark, sf):
+    o = D.table(spark, sf, "orders")
+    present = P.present_months(o, ts="o_orderdate")
+    latest = o.agg(F.max("o_orderdate").alias("hi"))  # maintenance date = the latest order
+    return P.months_to_create(latest, present, F.col("hi"), ahead=2)
+
+
+@register("p4_drop_expired_rewrite",
+          "SELECT strftime(o_orderdate, '%Y_%m') AS event_month, count(*) AS rows FROM orders "
+          f"WHERE CAST(date_trunc('month', o_orderdate) AS DATE) >= DATE '{ORDERS_AS_OF}' - INTERVAL 12 MONTH "
+          "GROUP BY 1")
+def p4b(spark, sf):
+    kept = P.drop_expired(_stored_orders(spark, sf), scratch_dir(spark, "orders-kept"), ORDERS_AS_OF, 12)
+    return kept.groupBy("event_month").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("s6_stream_rejected",
+          "SELECT event_id AS id, 'no_partition' AS reasons FROM events "
+          "WHERE ts >= TIMESTAMP '2024-01-15 00:00:00'")
+def s6b(spark, sf):
+    from eventide.queries_streaming import _canonical_files
+    from eventide.streaming import jobs as St
+    src = _canonical_files(spark, sf)
+    out, bad, ck = scratch_dir(spark, "stream-ok"), scratch_dir(spark, "stream-bad"), scratch_dir(spark, "stream-ck")
+    St.stream_ingest(spark, src, out, ck, max_files_per_trigger=2, rejected_path=bad,
+                     time_range=("2024-01-01 00:00:00", "2024-01-15 00:00:00"))
+    return spark.read.parquet(bad).select("id", "reasons")
+
+
+@register("m2_refresh_dates_in_place", R3_SQL)
+def m2b(spark, sf):
+    path = scratch_dir(spark, "rollup-days")
+    ev = D.events(spark, sf, sessions=True)
+    cut = F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
+    M.write_partitioned(R.stats_daily_users(ev.where(F.col("event_time") < cut)), path, "date")
+    dates = [f"2024-01-{d:02d}" for d in range(16, 31)]
+    return M.refresh_dates_in_place(spark, path, "stats_daily_users", ev, dates, AS_OF).drop("day")

@@ -119,3 +119,16 @@ def d7(spark, sf):
           "FROM sess GROUP BY 1, 2")
 def d7c(spark, sf):
     return S.campaign_report(_sessions(spark, sf), ["country_code"])
+
+
+@register("d2_sessionize_incremental",
+          f"WITH {cte(sessions=True)} SELECT id, user_id, event_time, session_id FROM ev")
+def d2i(spark, sf):
+    """Two loads (before / from 2024-01-16); the second continues the first's sessions."""
+    ev = D.events(spark, sf)
+    cut = F.lit(SPLIT).cast("timestamp_ntz")
+    first = S.sessionize(ev.where(F.col("event_time") < cut), "4 hours", number_col="n")
+    state = S.session_state(first, "n")
+    second = S.sessionize(ev.where(F.col("event_time") >= cut), "4 hours", number_col="n", state=state)
+    cols = ["id", "user_id", "event_time", "session_id"]
+    return first.select(*cols).unionByName(second.select(*cols))
