@@ -96,3 +96,11 @@ def test_report_sections(spark):
     secs = {(r.section, r.metric): r.value for r in rep.collect()}
     assert secs[("ROW COUNTS", "Total events")] == str(ev.count())
     assert secs[("PARTITIONS", "Total partitions")] == "1"
+
+
+def test_report_with_sizes_section(spark):
+    ev = D.events(spark, SF_SMALL)
+    sizes = spark.createDataFrame([("Events table size", 10752), ("Total size", 5 * 1024 ** 3)], "name string, bytes long")
+    rep = {(r.section, r.metric): r.value for r in V.report(ev, {"events": ev}, sizes=sizes).collect()}
+    assert rep[("DATA SIZE", "Events table size")] == "11 kB"
+    assert rep[("DATA SIZE", "Total size")] == "5120 MB"
