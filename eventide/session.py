@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -64,6 +65,27 @@ def _context(spark: SparkSession):
         return None
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per context.
+
+    Python code that runs in tasks is pickled by reference, so the workers
+    must be able to import it wherever the driver found it.
+    """
+    sc = _context(spark)
+    if sc is None or getattr(sc, "_eventide_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="eventide-code-"), "eventide.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, files in os.walk(root):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    z.write(full, os.path.join("eventide", os.path.relpath(full, root)))
+    sc.addPyFile(path)
+    sc._eventide_shipped = True
+
+
 def tune_for_input(spark: SparkSession, input_bytes: int, *, target_partition_bytes: int = 256 << 20,
                    min_partitions: int | None = None, max_partitions: int = 100_000) -> dict[str, str]:
     """Size shuffles and scans from the input size (spill-aware defaults).

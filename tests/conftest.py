@@ -8,7 +8,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import SparkSession  # noqa: E402
 
-from eventide.session import configure  # noqa: E402
+from eventide.session import configure, ship_package  # noqa: E402
 
 SF_SMALL = "/root/testdata/sf0.001"
 SF_CHECK = "/root/testdata/sf0.01"
@@ -24,6 +24,7 @@ def spark():
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     configure(s)
+    ship_package(s)
     if not s.sparkContext.getCheckpointDir():
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="eventide-test-ckpt-"))
     yield s
