@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
@@ -62,3 +63,41 @@ def slices(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
             start, total = i + 1, 0
     if start < batch.num_rows:
         yield batch.slice(start)
+
+
+class Numbers(dict):
+    """Keys numbered in order of first use; ``new`` lists those not seen before."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, key: str) -> int:
+        n = self[key] = len(self)
+        self.new.append(key)
+        return n
+
+    def of(self, keys: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, keys), np.int64, len(keys))
+
+
+class Remembered:
+    """Rows of numbers per key, computed once by ``make(keys)``; emptied when over ``limit`` keys."""
+
+    def __init__(self, make: Callable[[list[str]], np.ndarray], width: int, dtype, limit: int):
+        self.make, self.limit = make, limit
+        self.ids, self.rows = Numbers(), np.zeros((0, width), dtype=dtype)
+
+    def of(self, keys: list[str]) -> np.ndarray:
+        if len(self.ids) > self.limit:
+            self.ids = Numbers()
+        at, new = self.ids.of(keys), self.ids.new
+        if new:
+            n = len(self.ids) - len(new)
+            if len(self.ids) > len(self.rows):
+                grown = np.zeros((2 * len(self.ids), self.rows.shape[1]), dtype=self.rows.dtype)
+                grown[:n] = self.rows[:n]
+                self.rows = grown
+            self.rows[n:n + len(new)] = self.make(new)
+            self.ids.new = []
+        return self.rows[at]

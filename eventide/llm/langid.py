@@ -25,7 +25,7 @@ from dataclasses import dataclass, field
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from eventide.llm.batches import append
+from eventide.llm.batches import Remembered, append
 
 UNKNOWN = "und"
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -255,35 +255,20 @@ def sample(rows: DataFrame, text: str = "text", label: str = "lang", doc_id: str
     return out
 
 
-class _Memory:
-    """Scores of words seen by this worker."""
+def memory_of(model: Crf) -> Remembered:
+    """Exp scores of words, remembered by a worker."""
+    return Remembered(lambda words: _exp(model.emissions(words)), len(model.labels), np.float64, REMEMBER)
 
-    def __init__(self, model: Crf):
-        self.model, self.place, self.rows = model, {}, np.zeros((0, len(model.labels)))
 
-    def scores(self, words: list[str]) -> np.ndarray:
-        if len(self.place) > REMEMBER:
-            self.place, self.rows = {}, self.rows[:0]
-        place = self.place
-        new = [w for w in dict.fromkeys(words) if w not in place]
-        if new:
-            n = len(place)
-            place.update(zip(new, range(n, n + len(new))))
-            if n + len(new) > len(self.rows):
-                self.rows = np.concatenate([self.rows, np.zeros((n + len(new), self.rows.shape[1]))])
-            self.rows[n:n + len(new)] = _exp(self.model.emissions(new))
-        return self.rows[np.array([place[w] for w in words], dtype=np.int64)]
-
-
-def label_texts(model: Crf, texts: list[str | None], memory: _Memory | None = None) -> tuple[list[str], list[float]]:
+def label_texts(model: Crf, texts: list[str | None], memory: Remembered | None = None) -> tuple[list[str], list[float]]:
     """(label, score) of every text."""
-    memory = memory or _Memory(model)
+    memory = memory or memory_of(model)
     words = [words_of(t) if t else [] for t in texts]
     lengths = np.array([len(w) for w in words], dtype=np.int64)
     labels, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
     full = np.flatnonzero(lengths)
     if len(full):
-        alpha, beta = forward_backward(memory.scores([w for ws in words for w in ws]), lengths[full],
+        alpha, beta = forward_backward(memory.of([w for ws in words for w in ws]), lengths[full],
                                        np.exp(model.trans), np.exp(model.start))
         post = _norm(alpha * beta)
         means = np.add.reduceat(post, np.cumsum(lengths[full]) - lengths[full], axis=0) / lengths[full][:, None]
@@ -297,11 +282,11 @@ def predict(docs: DataFrame, model: Crf | None, text: str = "text",
     """``docs`` with the predicted label and its score."""
     if model is None:
         return docs.withColumns({out[0]: F.lit(UNKNOWN), out[1]: F.lit(0.0)})
-    memory: list[_Memory] = []
+    memory: list[Remembered] = []
 
     def make(texts):
         if not memory:
-            memory.append(_Memory(model))
+            memory.append(memory_of(model))
         return list(label_texts(model, [t.decode("utf-8", "replace") if t else t for t in texts], memory[0]))
 
     return append(docs, [(out[0], "string"), (out[1], "double")], make, [F.col(text).cast("binary")])

@@ -59,7 +59,7 @@ def mix(docs: DataFrame, size: str = "size", source: str = "source", doc_id: str
     text_id = F.coalesce(F.col(doc_id).cast("string"), F.lit(""))
     key = F.coalesce(F.concat(F.lit("s"), F.col(source)), F.lit("n"))
     bits = F.bin(F.col(size))
-    band = F.concat(F.lpad(F.length(bits).cast("string"), 2, "0"), F.substring(bits, 1, 3))
+    band = F.concat(F.lpad(F.length(bits).cast("string"), 2, "0"), F.substring(bits, 1, 5))
     digest = F.md5(F.concat(F.lit(seed + ":"), text_id))
     docs = docs.drop("source_size", "target", "copies")
     rows = docs.withColumns({"__key": key, "__band": band, "__sub": F.substring(digest, 1, 2), "__md5": digest})

@@ -25,7 +25,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from eventide.llm.batches import append
+from eventide.llm.batches import Remembered, append
 from eventide.llm.langid import held_out
 
 BUCKETS = 1 << 18
@@ -55,25 +55,10 @@ def _code(text: str) -> int:
     return h
 
 
-class Coder:
-    """Token codes (word, shape), remembered."""
-
-    def __init__(self):
-        self.place: dict[str, int] = {}
-        self.codes = np.zeros((0, 2), dtype=np.uint64)
-
-    def of(self, tokens: list[str]) -> np.ndarray:
-        if len(self.place) > REMEMBER:
-            self.place, self.codes = {}, self.codes[:0]
-        place = self.place
-        new = [t for t in dict.fromkeys(tokens) if t not in place]
-        if new:
-            n = len(place)
-            place.update(zip(new, range(n, n + len(new))))
-            if n + len(new) > len(self.codes):
-                self.codes = np.concatenate([self.codes, np.zeros((n + len(new), 2), dtype=np.uint64)])
-            self.codes[n:n + len(new)] = [(hash_word(t), hash_shape(shape(t))) for t in new]
-        return self.codes[np.array([place[t] for t in tokens], dtype=np.int64)]
+def coder() -> Remembered:
+    """Token codes (word, shape), remembered by a worker."""
+    return Remembered(lambda tokens: np.array([(hash_word(t), hash_shape(shape(t))) for t in tokens], dtype=np.uint64),
+                      2, np.uint64, REMEMBER)
 
 
 _SHAPES: dict[str, int] = {}
@@ -100,13 +85,13 @@ def _mix(*parts: np.ndarray | int) -> np.ndarray:
     return (h >> np.uint64(46)).astype(np.int64)
 
 
-def features(texts: list[str | None], coder: Coder) -> tuple[np.ndarray, np.ndarray]:
+def features(texts: list[str | None], codes_of: Remembered) -> tuple[np.ndarray, np.ndarray]:
     """(text index, bucket) of every distinct feature, ordered by text."""
     tokens = [TOKEN.findall(t) if t else [] for t in texts]
     sizes = np.array([len(t) for t in tokens], dtype=np.int64)
     if not sizes.sum():
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    codes = coder.of([t for ts in tokens for t in ts])
+    codes = codes_of.of([t for ts in tokens for t in ts])
     w, s = codes[:, 0], codes[:, 1]
     doc = np.repeat(np.arange(len(texts)), sizes)
     pair = doc[1:] == doc[:-1]
@@ -117,7 +102,9 @@ def features(texts: list[str | None], coder: Coder) -> tuple[np.ndarray, np.ndar
             (doc[2:][triple], _mix(s[:-2][triple], s[1:-1][triple], s[2:][triple], 5)),
             (doc[1:][same], _mix(s[1:][same], 6)),
             (doc[2:][triple & same[1:] & same[:-1]], _mix(s[2:][triple & same[1:] & same[:-1]], 7))]
-    both = np.unique(np.concatenate([d * BUCKETS + b for d, b in keys]))
+    both = np.concatenate([d * BUCKETS + b for d, b in keys])
+    both.sort()
+    both = both[np.concatenate([[True], both[1:] != both[:-1]])]
     return both // BUCKETS, both % BUCKETS
 
 
@@ -227,7 +214,7 @@ def sample(docs: DataFrame, labels: DataFrame, label: str = "quality", text: str
     texts = texts.filter(F.col("n") < len(kept))
 
     def make(values):
-        doc, bucket = features(values, Coder())
+        doc, bucket = features(values, coder())
         cuts = np.searchsorted(doc, np.arange(1, len(values)))
         return [[x.tolist() for x in np.split(bucket.astype(np.int32), cuts)]]
 
@@ -245,12 +232,12 @@ def fit(docs: DataFrame, labels: DataFrame, **kw) -> Nbsvm:
 
 def score(docs: DataFrame, model: Nbsvm, text: str = "text", out: str = "score") -> DataFrame:
     """``docs`` with the score of every whole text."""
-    coder: list[Coder] = []
+    memory: list[Remembered] = []
 
     def make(texts):
-        if not coder:
-            coder.append(Coder())
-        doc, bucket = features([t.decode("utf-8", "replace") if t else t for t in texts], coder[0])
+        if not memory:
+            memory.append(coder())
+        doc, bucket = features([t.decode("utf-8", "replace") if t else t for t in texts], memory[0])
         return [model.scores(model.margins(doc, bucket, len(texts)))]
 
     return append(docs, [(out, "double")], make, [F.col(text).cast("binary")])

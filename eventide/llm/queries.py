@@ -29,3 +29,75 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from eventide.llm import simhash
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@register("op8_langid")
+def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document by the word-level field."""
+    from eventide.llm import langid
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = langid.predict(docs.select("doc_id", "text"), langid.fit(docs))
+    return found.select("doc_id", langid.held_out(F.col("doc_id"), 4, 2).alias("held_out"), "lang_pred", "score")
+
+
+@register("op2_quality")
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    from eventide.llm import langid, quality
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+    return found.select("doc_id", langid.held_out(F.col("doc_id"), 5, 0).alias("held_out"), "score",
+                        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
+@register("op7_byte_bpe")
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token count, id digest and decoded digest of every document."""
+    import public_tokenizers as P
+
+    from eventide.llm import bpe
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.tokenize(docs, P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN).drop("text")
+
+
+_OP6 = r"""
+WITH docs AS (
+  SELECT doc_id, source, coalesce('s' || source, 'n') AS k,
+         coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+         md5('mix:' || coalesce(doc_id::VARCHAR, '')) AS m
+  FROM documents),
+per AS (
+  SELECT k, source, sum(size)::BIGINT AS s,
+         CASE (row_number() OVER (ORDER BY source IS NULL, source COLLATE "C") - 1) % 3 WHEN 0 THEN 3.0::DOUBLE WHEN 1 THEN 1.0 ELSE 2.0 END AS w
+  FROM docs GROUP BY k, source),
+lvl AS (
+  SELECT *, (sum(s) OVER ()::DOUBLE * 1.5 - (sum(s) OVER upto::DOUBLE * 2 - s * 2.0::DOUBLE)) / sum(w) OVER onward AS level,
+         row_number() OVER (ORDER BY s * 2.0::DOUBLE / w, source IS NULL, source) AS pos
+  FROM per
+  WINDOW upto AS (ORDER BY s * 2.0::DOUBLE / w, source IS NULL, source ROWS UNBOUNDED PRECEDING),
+         onward AS (ORDER BY s * 2.0::DOUBLE / w, source IS NULL, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+free AS (SELECT min_by(level, pos) AS level FROM lvl WHERE s * 2.0::DOUBLE / w > level),
+tgt AS (
+  SELECT k, s, coalesce(least(s * 2.0::DOUBLE, (SELECT level FROM free) * w), s * 2.0::DOUBLE) AS target,
+         (('0x' || substr(md5('mix/' || k), 1, 4))::INTEGER)::DOUBLE / 65536 AS u
+  FROM lvl),
+ranked AS (
+  SELECT docs.*, row_number() OVER (PARTITION BY k ORDER BY lpad(length(bin(size))::VARCHAR, 2, '0') || substr(bin(size), 1, 5),
+                                    substr(m, 1, 2), size, m, doc_id) AS r
+  FROM docs),
+rated AS (
+  SELECT ranked.*, s, target, u, CASE WHEN s > 0 THEN target / s ELSE 0.0::DOUBLE END AS c FROM ranked JOIN tgt USING (k))
+SELECT doc_id, size, s AS source_size, target,
+       least(floor(c * r + u) - floor(c * (r - 1) + u), ceil(c))::BIGINT * size AS taken
+FROM rated
+"""
+
+
+@register("op6_mixing", _OP6)
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that the mix of sources takes."""
+    from eventide.llm import mixing
+    from eventide.plans.lineage import materialize
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", mixing.word_count(F.col("text")).alias("size"))
+    mixed = mixing.mix(materialize(docs, "mix-sizes"))
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
