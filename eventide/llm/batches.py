@@ -22,7 +22,7 @@ def append(df: DataFrame, fields: list[tuple[str, str]],
            make: Callable[[Iterator[list]], Iterator[list]], inputs: list[Column]) -> DataFrame:
     """``df`` with new columns ``fields`` (name, DDL type) computed from ``inputs``.
 
-    ``make(values...)`` gets the inputs of a slice of rows as Python lists
+    ``make(values...)`` gets the inputs (the first one text or binary) of a slice of rows as lists
     and returns one list (or numpy array) per field.  The rows themselves
     pass through as Arrow data, without a shuffle.  An input column of the
     same name as a new one is replaced.

@@ -101,3 +101,10 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", mixing.word_count(F.col("text")).alias("size"))
     mixed = mixing.mix(materialize(docs, "mix-sizes"))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+@register("op4_imatch")
+def op4_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I-Match fingerprint of every document and of its edited text."""
+    from eventide.llm import imatch
+    return imatch.compare(table(spark, sf_dir, "documents").select("doc_id", "text"))
