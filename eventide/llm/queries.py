@@ -108,3 +108,10 @@ def op4_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """I-Match fingerprint of every document and of its edited text."""
     from eventide.llm import imatch
     return imatch.compare(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@register("op5_ann")
+def op5_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five nearest vectors of every fiftieth one."""
+    from eventide.llm import ann
+    return ann.search(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
