@@ -115,3 +115,121 @@ def op5_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five nearest vectors of every fiftieth one."""
     from eventide.llm import ann
     return ann.search(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+def _sql_text(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _sql_canonical(t: str) -> str:
+    """The canonical form of licenses.with_canonical in DuckDB SQL."""
+    from eventide.llm import licenses as L
+    t = f"lower(coalesce({t}, ''))"
+    for pattern in (L._COPYRIGHT, L._RESERVED, L._OTHER):
+        t = f"regexp_replace({t}, {_sql_text(pattern)}, ' ', 'g')"
+    t = f"trim({t})"
+    for a, b in L.EQUIVALENT:
+        t = f"regexp_replace({t}, '\\b{a}\\b', '{b}', 'g')"
+    return t
+
+
+def _op1_sql() -> str:
+    from eventide.llm import licenses as L
+    values = lambda rows: ", ".join(f"({_sql_text(a)}, {_sql_text(b)})" for a, b in rows)
+    known = "SELECT sha256({0}) AS digest, min(license) AS license FROM (VALUES {1}) v(license, t) GROUP BY 1"
+    return f"""
+WITH whole AS ({known.format(_sql_canonical('t'), values(L.LICENSES))}),
+line AS ({known.format(_sql_canonical('t'), values(L.NOTICES))}),
+docs AS (SELECT doc_id, text, {_sql_canonical('text')} AS form FROM documents),
+lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS t FROM documents),
+hits AS (SELECT doc_id, string_agg(DISTINCT license, ',' ORDER BY license) AS notices
+         FROM lines JOIN line ON sha256({_sql_canonical('t')}) = digest GROUP BY doc_id)
+SELECT docs.doc_id, sha256(form) AS digest, license, notices,
+       CASE WHEN form = '' THEN 0 ELSE length(form) - length(replace(form, ' ', '')) + 1 END::BIGINT AS n_words
+FROM docs LEFT JOIN whole ON sha256(form) = digest LEFT JOIN hits USING (doc_id)
+"""
+
+
+@register("op1_licenses", _op1_sql())
+def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence of every document's whole text, and the licence notices among its lines."""
+    from eventide.llm import licenses
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def _op3_sql(rare: int = 5) -> str:
+    from eventide.llm import urls as U
+    rules = sorted(U.RULES, key=lambda r: (-len(r[1] + r[2]), -len(r[1])))
+    when = lambda of: " ".join(
+        f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN '{of(v, h, p)}'" for v, h, p in rules)
+    seg = ("CASE WHEN regexp_matches(s, '^[0-9]+$') THEN '{n}' WHEN regexp_matches(s, '^[0-9a-fA-F-]{16,}$') THEN '{hex}' "
+           "ELSE regexp_replace(s, '[0-9]+', '{n}', 'g') END")
+    return f"""
+WITH hp AS (
+  SELECT page_id, translate(coalesce(regexp_extract(url, '{U._URL}', 1), ''), '{U.UPPER}', '{U.LOWER}') AS host,
+         coalesce(regexp_extract(url, '{U._URL}', 2), '') AS path FROM pages),
+rows0 AS (
+  SELECT *, CASE {when(lambda v, h, p: h + p)} END AS rule, CASE {when(lambda v, h, p: v)} END AS rv,
+         list_filter(string_split(path, '/'), lambda s: s <> '') AS parts FROM hp),
+r AS (SELECT *, array_to_string(list_transform(parts[1:{U.DEPTH}], lambda s: {seg})
+                || CASE WHEN len(parts) > {U.DEPTH} THEN ['**'] ELSE [] END, '/') AS t FROM rows0),
+seen AS (SELECT host, t, count(*) AS n, count(rule) AS l, count(*) FILTER (rv = 'block') AS b FROM r GROUP BY ALL),
+paths AS (SELECT 'h:' || host AS scope, * EXCLUDE (host) FROM seen
+          UNION ALL SELECT 'all', t, sum(n), sum(l), sum(b) FROM seen GROUP BY t),
+steps AS (
+  SELECT scope, t, n, l, b, i AS d, string_split(t, '/')[i] AS seg,
+         coalesce(array_to_string(string_split(t, '/')[1:i - 1], '/'), '') AS parent
+  FROM (SELECT *, unnest(range(1, len(string_split(t, '/')) + 1)) AS i FROM paths WHERE t <> '')),
+nodes AS (SELECT scope, parent, seg, sum(n) AS n, sum(l)::DOUBLE AS l, sum(b)::DOUBLE AS b FROM steps GROUP BY ALL),
+fam AS (SELECT scope, parent, sum(l) AS fl, sum(b) AS fb FROM nodes GROUP BY ALL),
+node AS (
+  SELECT scope, parent, seg, CASE WHEN n < {rare} OR (l >= {rare} AND fl - l >= {rare}
+      AND (b / l - (fb - b) / (fl - l)) * (b / l - (fb - b) / (fl - l))
+          <= 3.8416::DOUBLE * (fb / fl) * (1 - fb / fl) * (1 / l + 1 / (fl - l))) THEN '*' ELSE seg END AS g
+  FROM nodes JOIN fam USING (scope, parent)),
+tmpl AS (SELECT scope, t, string_agg(g, '/' ORDER BY d) AS template FROM steps JOIN node USING (scope, parent, seg) GROUP BY ALL),
+named AS (SELECT paths.*, coalesce(template, '') AS template FROM paths LEFT JOIN tmpl USING (scope, t)),
+pur AS (SELECT scope, template, sum(l)::DOUBLE AS tl, sum(b)::DOUBLE AS tb FROM named GROUP BY ALL),
+base AS (SELECT CASE WHEN sum(l) > 0 THEN sum(b)::DOUBLE / sum(l)::DOUBLE ELSE 0.0::DOUBLE END AS p FROM seen),
+overall AS (SELECT t, (tb + 2.0::DOUBLE * p) / (tl + 2.0::DOUBLE) AS pg FROM named JOIN pur USING (scope, template), base WHERE scope = 'all'),
+judged AS (SELECT substr(scope, 3) AS host, t, template, (tb + 2.0::DOUBLE * pg) / (tl + 2.0::DOUBLE) AS blocked_share
+           FROM named JOIN pur USING (scope, template) JOIN overall USING (t) WHERE scope <> 'all')
+SELECT page_id, host, path, rule, coalesce(rv, CASE WHEN blocked_share > 0.5 THEN 'block' ELSE 'allow' END) AS verdict,
+       template, blocked_share
+FROM r JOIN judged USING (host, t)
+"""
+
+
+@register("op3_urls", _op3_sql())
+def op3_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's url."""
+    from eventide.llm import urls
+    return urls.judge(table(spark, sf_dir, "pages").select("page_id", "url"))
+
+
+_OP9 = """
+WITH t AS (
+  SELECT conv_id, floor(turn / 256.0)::BIGINT AS part, turn, coalesce(role, 'unknown') AS role,
+         replace(coalesce(text, ''), '<|', '< |') AS said FROM conversations),
+p AS (SELECT DISTINCT conv_id, part, role AS participant FROM t WHERE role <> 'system'),
+s AS (
+  SELECT p.conv_id, p.part, participant, turn, role, said, role = participant AS own,
+         '<|im_start|>' || CASE WHEN role = 'system' THEN 'system' WHEN role = participant THEN 'assistant'
+                                ELSE 'user name=' || role END || chr(10) AS head, said || '<|im_end|>' AS body
+  FROM p JOIN t ON p.conv_id IS NOT DISTINCT FROM t.conv_id AND p.part IS NOT DISTINCT FROM t.part),
+o AS (
+  SELECT *, (sum(length(head) + length(body) + 1) OVER w - length(body) - 1)::BIGINT AS begin FROM s
+  WINDOW w AS (PARTITION BY conv_id, part, participant ORDER BY turn NULLS FIRST, role, said ROWS UNBOUNDED PRECEDING))
+SELECT conv_id, part, participant, count(*) AS n_turns,
+       string_agg(head || body || chr(10), '' ORDER BY turn NULLS FIRST, role, said) AS text,
+       string_agg(CASE WHEN own THEN begin || '-' || (begin + length(body)) END, ',' ORDER BY begin) AS loss_spans,
+       sum(CASE WHEN own THEN length(body) ELSE 0 END)::BIGINT AS loss_chars
+FROM o GROUP BY conv_id, part, participant
+"""
+
+
+@register("op9_chat", _OP9)
+def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every participant's perspective of every conversation."""
+    from eventide.llm import chat
+    return chat.perspectives(table(spark, sf_dir, "conversations"))
