@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # Words of equal meaning in licence texts, and what they are written as here.
 EQUIVALENT = [
@@ -31,7 +31,6 @@ EQUIVALENT = [
 _COPYRIGHT = r"(?m)^[^\p{L}\p{N}\n]*(copyright|\(c\)|©)[^\n]*([0-9]{4}|year|yyyy)[^\n]*$"
 _RESERVED = r"(?m)^[^\p{L}\p{N}\n]*all rights reserved[^\p{L}\p{N}\n]*$"
 _OTHER, _OTHER_IN_LINE = r"[^\p{L}\p{N}]+", r"[^\p{L}\p{N}\n]+"
-_ANY = r"\b(" + "|".join(a for a, _ in EQUIVALENT) + r")\b"
 
 _WARRANTY = """THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT
 LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT."""
@@ -123,10 +122,11 @@ def with_canonical(rows: DataFrame, text: str) -> DataFrame:
     """
     t = F.col("__t")
     steps = [F.lower(F.coalesce(F.col(text), F.lit(""))),
-             F.when(t.rlike(r"(copyright|\(c\)|©|all rights reserved)"),
+             F.when(reduce(Column.__or__, [t.contains(x) for x in ("copyright", "(c)", "©", "all rights reserved")]),
                     F.regexp_replace(F.regexp_replace(t, _COPYRIGHT, " "), _RESERVED, " ")).otherwise(t),
              F.regexp_replace(t, _OTHER_IN_LINE, " "),
-             F.when(t.rlike(_ANY), reduce(lambda c, w: F.regexp_replace(c, rf"\b{w[0]}\b", w[1]), EQUIVALENT, t)).otherwise(t)]
+             F.when(F.arrays_overlap(F.split(F.translate(t, "\n", " "), " "), F.array(*[F.lit(a) for a, _ in EQUIVALENT])),
+                    reduce(lambda c, w: F.regexp_replace(c, rf"\b{w[0]}\b", w[1]), EQUIVALENT, t)).otherwise(t)]
     for step in steps:
         rows = rows.withColumn("__t", step)
     return (rows.withColumn("__form", F.trim(F.regexp_replace(t, "[ \n]+", " ")))
