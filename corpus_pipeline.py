@@ -45,9 +45,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document with the digests of op7."""
-    out = bpe.tokenize(docs.select("doc_id", "text"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
-                       public_tokenizers.PATTERN, with_ids=True)
-    return out.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "token_ids")
+    return bpe.tokenize(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN,
+                        with_ids=True, keep=["doc_id"])
 
 
 STAGES = [

@@ -11,49 +11,69 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
 #: Characters of text that a task holds as Python objects at a time.
-SLICE_CHARS = 1 << 20
+SLICE_CHARS = 1 << 19
 
 
 def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def append(df: DataFrame, fields: list[tuple[str, str]],
-           make: Callable[[Iterator[list]], Iterator[list]], inputs: list[Column]) -> DataFrame:
-    """``df`` with new columns ``fields`` (name, DDL type) computed from ``inputs``.
+#: Rows of an Arrow batch (a few MB of text).
+BATCH_ROWS = 1000
 
-    ``make(values...)`` gets the inputs (the first one text or binary) of a slice of rows as lists
-    and returns one list (or numpy array) per field.  The rows themselves
-    pass through as Arrow data, without a shuffle.  An input column of the
-    same name as a new one is replaced.
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, whose session sends tasks' Python code at most BATCH_ROWS rows at a time."""
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) <= BATCH_ROWS:
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return df
+
+
+def append(df: DataFrame, fields: list[tuple[str, str]], make: Callable[..., list],
+           inputs: list[str], keep: list[str] | None = None) -> DataFrame:
+    """``df`` (or its columns ``keep``) with new columns ``fields`` (name, DDL type) computed from ``inputs``.
+
+    ``make(values...)`` gets the input columns of a slice of rows as lists, text as bytes (the
+    first input must be text or binary; slices are cut by its size), and returns one list or
+    array per field.  The rows themselves pass through as Arrow data, without a
+    shuffle.  A column of the same name as a new one is replaced.
     """
     new = {n.lower() for n, _ in fields}
-    kept = [c for c in df.columns if c.lower() not in new]
-    args = [f"__arg{i}" for i in range(len(inputs))]
-    frame = df.select(*[quoted(c) for c in kept], *[c.alias(a) for c, a in zip(inputs, args)])
+    kept = [c for c in (df.columns if keep is None else keep) if c.lower() not in new]
+    sent = kept + [c for c in inputs if c not in kept]
+    places = [sent.index(c) for c in inputs]
     out = T.StructType([df.schema[c] for c in kept]
                        + [T.StructField(n, T._parse_datatype_string(t)) for n, t in fields])
-    n_kept = len(kept)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pa.set_memory_pool(pa.system_memory_pool())      # gives freed memory back
         for batch in batches:
-            for part in slices(batch, n_kept):
-                values = make(*[part.column(n_kept + i).to_pylist() for i in range(len(args))])
-                arrays = [part.column(i) for i in range(n_kept)]
-                for v, (_, t) in zip(values, fields):
-                    arrays.append(pa.array(v, type=_ARROW[t]))
+            for part in slices(batch, places[0]):
+                values = make(*[_list(part.column(i)) for i in places])
+                arrays = [part.column(i) for i in range(len(kept))]
+                arrays += [pa.array(v, type=_ARROW[t]) for v, (_, t) in zip(values, fields)]
                 yield pa.RecordBatch.from_arrays(arrays, names=out.fieldNames())
 
-    return frame.mapInArrow(run, out)
+    return small_batches(df).select(*[quoted(c) for c in sent]).mapInArrow(run, out)
+
+
+def _list(column: pa.Array) -> list:
+    return (column.cast(pa.binary()) if pa.types.is_string(column.type) else column).to_pylist()
+
+
+def text(raw: bytes | None) -> str:
+    """Null is the empty text; ill-formed bytes become replacement characters."""
+    return raw.decode("utf-8", "replace") if raw else ""
 
 
 _ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(),
           "string": pa.string(), "binary": pa.binary(), "array<int>": pa.list_(pa.int32())}
 
 
-def slices(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
-    """The batch in runs of rows whose texts (column ``text``) have about SLICE_CHARS bytes."""
-    column = batch.column(text)
+def slices(batch: pa.RecordBatch, by: int) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows whose texts (column ``by``) have about SLICE_CHARS bytes."""
+    column = batch.column(by)
     sizes = pc.fill_null(pc.binary_length(column), 0).to_pylist()
     start = total = 0
     for i, n in enumerate(sizes):

@@ -22,14 +22,14 @@ from itertools import chain
 
 import numpy as np
 import regex
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
-from eventide.llm.batches import append
+from eventide.llm import batches
 
 _NONE = 1 << 62
 _POS = (1 << 32) - 1
-#: Runs and pre-tokens that a worker remembers; the memory is emptied when full.
-REMEMBER = 300_000
+#: Runs that a worker remembers as recently used, and as many older ones.
+REMEMBER = 150_000
 #: Bytes up to which pre-tokens are merged many at a time.
 SHORT = 64
 _WS = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -48,8 +48,9 @@ class Encoder:
         self.ranks, self.split = ranks, regex.compile(pattern)
         self.runs = re.compile(runs) if runs else self.split
         self.token = {i: b for b, i in ranks.items()}
-        self.known: dict[str, tuple[tuple[int, ...], str]] = {}
-        self.pieces: dict[str, tuple[int, ...]] = {}
+        self.bytes_of = [self.token.get(i, b"") for i in range(max(self.token) + 1)]
+        self.known: dict[str, str] = {}          # run -> its ids, as one character each
+        self.older: dict[str, str] = {}
         self.byte = np.array([ranks[bytes([i])] for i in range(256)], dtype=np.int64)
         self.base = max(ranks.values()) + 1
         pairs = [(ranks[b[:k]] * self.base + ranks[b[k:]], r) for b, r in ranks.items()
@@ -111,14 +112,14 @@ class Encoder:
         at = np.minimum(np.searchsorted(self.pair, key), len(self.pair) - 1)
         return np.where(self.pair[at] == key, self.pair_rank[at], _NONE)
 
-    def merge_many(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
-        """Ids of pre-tokens of at most SHORT bytes."""
+    def merge_many(self, pieces: list[bytes]) -> list[str]:
+        """Ids (as characters) of pre-tokens of at most SHORT bytes."""
         out: list = [None] * len(pieces)
         groups: dict[int, list[int]] = {}
         for n, p in enumerate(pieces):
             whole = self.ranks.get(p)
             if whole is not None:
-                out[n] = (whole,)
+                out[n] = chr(whole)
             else:
                 groups.setdefault(1 << (len(p) - 1).bit_length(), []).append(n)
         for width, members in groups.items():
@@ -126,7 +127,7 @@ class Encoder:
                 out[n] = ids
         return out
 
-    def _merge_rows(self, pieces: list[bytes], width: int) -> list[tuple[int, ...]]:
+    def _merge_rows(self, pieces: list[bytes], width: int) -> list[str]:
         rows = len(pieces)
         size = np.array([len(p) for p in pieces])
         flat = np.frombuffer(b"".join(p.ljust(width, b"\0") for p in pieces), dtype=np.uint8)
@@ -140,6 +141,7 @@ class Encoder:
         tree = [leaf]
         while tree[-1].shape[1] > 1:
             tree.append(np.minimum(tree[-1][:, 0::2], tree[-1][:, 1::2]))
+        stands = np.arange(width) < size[:, None]
         live = np.flatnonzero(tree[-1][:, 0] < _NONE)
         while len(live):
             root = tree[-1][live, 0]
@@ -151,6 +153,7 @@ class Encoder:
             before[live, end] = i
             r = self._ranks(merged, token[live, end])
             leaf[live, gone] = _NONE
+            stands[live, gone] = False
             leaf[live, i] = np.where((end < size[live]) & (r < _NONE), r << 32 | i, _NONE)
             left = before[live, i]
             at = np.maximum(left, 0)
@@ -162,43 +165,50 @@ class Encoder:
                 for p in paths:
                     level[live, p] = np.minimum(below[live, 2 * p], below[live, 2 * p + 1])
             live = live[tree[-1][live, 0] < _NONE]
-        out = []
-        for ids, nxt, n in zip(token.tolist(), after.tolist(), size.tolist()):
-            i, got = 0, []
-            while i < n:
-                got.append(ids[i])
-                i = nxt[i]
-            out.append(tuple(got))
-        return out
-
-    def encode_all(self, texts: list[str]) -> list[list[tuple[tuple[int, ...], str]]]:
-        """Per text, per run: its ids, and the same in decimal joined by commas."""
-        if len(self.known) >= REMEMBER:
-            self.known.clear()
-        if len(self.pieces) >= REMEMBER:
-            self.pieces.clear()
-        known, pieces, long = self.known, self.pieces, {}
+        chars = _chars(token[:, :width][stands])
+        cuts = np.concatenate([[0], np.cumsum(stands.sum(axis=1))]).tolist()
+        return [chars[i:j] for i, j in zip(cuts, cuts[1:])]
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of every text."""
+        if len(self.known) > REMEMBER:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
         cut = [self.runs.findall(t) for t in texts]
-        new = {r: self.split.findall(r) for r in set(chain.from_iterable(cut)) if r not in known}
-        fresh = list({p for found in new.values() for p in found if p not in pieces})
-        data = [p.encode() for p in fresh]
+        new = {}
+        for r in set(chain.from_iterable(cut)):
+            if r not in known:
+                old = older.get(r)
+                if old is None:
+                    new[r] = self.split.findall(r)
+                else:
+                    known[r] = old
+        pieces = list(set(chain.from_iterable(new.values())))
+        data = [p.encode() for p in pieces]
         short = [n for n, b in enumerate(data) if len(b) <= SHORT]
-        for n, ids in zip(short, self.merge_many([data[n] for n in short])):
-            pieces[fresh[n]] = ids
-        for p, b in zip(fresh, data):
-            if len(b) > SHORT:
-                long[p] = tuple(self.merge(b))
-        wide = {}
+        ids = dict(zip([pieces[n] for n in short], self.merge_many([data[n] for n in short])))
+        ids.update((p, "".join(map(chr, self.merge(b)))) for p, b in zip(pieces, data) if len(b) > SHORT)
         for r, found in new.items():
-            ids = tuple(chain.from_iterable([pieces[p] if p in pieces else long[p] for p in found]))
-            (known if len(r) <= SHORT else wide)[r] = ids, ",".join(map(str, ids))
-        return [[known[r] if r in known else wide[r] for r in found] for found in cut]
+            known[r] = "".join([ids[p] for p in found])
+        out = [_numbers("".join([known[r] for r in found])) for found in cut]
+        for r in new:
+            if len(r) > SHORT:
+                del known[r]
+        return out
 
     def encode(self, text: str) -> list[int]:
-        return [i for ids, _ in self.encode_all([text])[0] for i in ids]
+        return self.encode_all([text])[0].tolist()
 
     def decode(self, ids) -> bytes:
-        return b"".join(map(self.token.__getitem__, ids))
+        return b"".join(map(self.bytes_of.__getitem__, ids))
+
+
+def _chars(ids: np.ndarray) -> str:
+    return ids.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
+
+
+def _numbers(chars: str) -> np.ndarray:
+    return np.frombuffer(chars.encode("utf-32-le", "surrogatepass"), dtype="<u4")
 
 
 @lru_cache(maxsize=4)
@@ -209,8 +219,9 @@ def load(path: str, pattern: str) -> Encoder:
     return Encoder(ranks, pattern)
 
 
-def tokenize(docs: DataFrame, path: str, pattern: str, text: str = "text", with_ids: bool = False) -> DataFrame:
-    """``docs`` with n_tokens, ids_sha256, decoded_sha256 and, if asked, token_ids.
+def tokenize(docs: DataFrame, path: str, pattern: str, text: str = "text", with_ids: bool = False,
+             keep: list[str] | None = None) -> DataFrame:
+    """``docs`` (or its columns ``keep``) with n_tokens, ids_sha256, decoded_sha256 and, if asked, token_ids.
 
     ``path`` must be readable on every executor (the vocabulary is installed
     there like the library itself).
@@ -221,13 +232,13 @@ def tokenize(docs: DataFrame, path: str, pattern: str, text: str = "text", with_
     def make(texts):
         encoder = load(path, pattern)
         counts, digests, decoded, kept = [], [], [], []
-        for found in encoder.encode_all([(raw or b"").decode("utf-8", "replace") for raw in texts]):
-            ids = list(chain.from_iterable([x[0] for x in found]))
+        for found in encoder.encode_all([batches.text(raw) for raw in texts]):
+            ids = found.tolist()
             counts.append(len(ids))
-            digests.append(hashlib.sha256(",".join([x[1] for x in found]).encode()).hexdigest())
+            digests.append(hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
             decoded.append(hashlib.sha256(encoder.decode(ids)).hexdigest())
             if with_ids:
-                kept.append(ids)
+                kept.append(found.astype(np.int32))
         return [counts, digests, decoded, *([kept] if with_ids else [])]
 
-    return append(docs, fields, make, [F.col(text).cast("binary")])
+    return batches.append(docs, fields, make, [text], keep)

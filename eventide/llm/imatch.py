@@ -30,13 +30,14 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from eventide.llm.batches import Remembered, SLICE_CHARS, append, slices
+from eventide.llm import batches
+from eventide.llm.batches import Remembered, SLICE_CHARS
 
 TERM = re.compile(r"\w+")
 SUBSETS, LEVELS = 48, 4
 CODES = SUBSETS * LEVELS
 #: Terms whose codes a worker remembers, and terms a task counts before it hands them on.
-REMEMBER, FLUSH = 400_000, 300_000
+REMEMBER, FLUSH = 150_000, 200_000
 #: Rows per part of the id order.
 PART_ROWS = 500
 _M = np.uint64(0x9E3779B97F4A7C15)
@@ -48,23 +49,22 @@ def terms_of(text: str) -> list[str]:
 
 def document_frequency(docs: DataFrame, text: str = "text") -> DataFrame:
     """(term, df) over all documents; tasks pre-aggregate before the shuffle."""
-    def run(batches):
+    def run(chunks):
         seen: Counter = Counter()
 
         def out():
             return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())],
                                               names=["term", "df"])
-        for batch in batches:
-            for part in slices(batch, 0):
+        for batch in chunks:
+            for part in batches.slices(batch, 0):
                 for t in part.column(0).to_pylist():
-                    if t:
-                        seen.update(set(TERM.findall(t.decode("utf-8", "replace").lower())))
+                    seen.update(set(TERM.findall(batches.text(t).lower())))
                 if len(seen) >= FLUSH:
                     yield out()
                     seen.clear()
         yield out()
 
-    return (docs.select(F.col(text).cast("binary").alias("t")).mapInArrow(run, "term string, df long")
+    return (batches.small_batches(docs).select(F.col(text).cast("binary").alias("t")).mapInArrow(run, "term string, df long")
             .groupBy("term").agg(F.sum("df").alias("df")))
 
 
@@ -171,8 +171,8 @@ def in_order(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
         at = np.searchsorted(bounds, np.array([v if v is not None else 0 for v in values], dtype=np.int64), side="left")
         return np.where(known, at, len(bounds) + 1)
 
-    dealt = append(ids, [("part", "int")], lambda _, v: [part_of(v).astype(np.int32)],
-                   [F.lit("").cast("binary"), F.col("doc_id")])
+    dealt = batches.append(ids.withColumn("none", F.lit("")), [("part", "int")],
+                           lambda _, v: [part_of(v).astype(np.int32)], ["none", "doc_id"])
     firsts = {r["part"]: r["first"] for r in dealt.groupBy("part").agg(F.min("doc_id").alias("first")).collect()}
     parts = sorted(firsts)
     before = {firsts[p]: parts[i - 1] for i, p in enumerate(parts)}
@@ -181,8 +181,8 @@ def in_order(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
         pack = zstandard.ZstdCompressor(level=3)
         return [part_of(values).astype(np.int32), [before.get(v) for v in values], [pack.compress(t or b"") for t in texts]]
 
-    rows = append(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")),
-                  [("part", "int"), ("mark", "int"), ("packed", "binary")], make, [F.col("text").cast("binary"), F.col("doc_id")])
+    rows = batches.append(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")),
+                          [("part", "int"), ("mark", "int"), ("packed", "binary")], make, ["text", "doc_id"], ["doc_id"])
     return rows.select("doc_id", "packed", F.explode(F.array_compact(F.array(
         F.struct(F.col("part"), F.lit(0).alias("tail")),
         F.when(F.col("mark").isNotNull(), F.struct(F.col("mark").alias("part"), F.lit(1).alias("tail")))))).alias("p")).select(
@@ -196,10 +196,10 @@ def compare(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **band)
     rows = (in_order(docs, doc_id, text).repartition("part")
             .sortWithinPartitions("part", "tail", F.col("doc_id").asc_nulls_last(), "packed"))
 
-    def run(batches):
+    def run(chunks):
         codes = term_codes(set(known.value))
         pending, todo, held = None, [], 0
-        for batch in batches:
+        for batch in chunks:
             for part, tail, i, raw in zip(*[batch.column(c).to_pylist() for c in ("part", "tail", "doc_id", "packed")]):
                 own = zstandard.ZstdDecompressor().decompress(raw).decode("utf-8", "replace")
                 if pending is not None and pending[0] == part:

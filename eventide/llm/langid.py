@@ -25,14 +25,15 @@ from dataclasses import dataclass, field
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from eventide.llm.batches import Remembered, append
+from eventide.llm import batches
+from eventide.llm.batches import Remembered
 
 UNKNOWN = "und"
 LETTERS = re.compile(r"[^\W\d_]+")
 BUCKETS = 1 << 16
 NGRAMS = 4
 #: Words whose scores a worker remembers; the memory is emptied when full.
-REMEMBER = 500_000
+REMEMBER = 120_000
 _P = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -238,14 +239,14 @@ def sample(rows: DataFrame, text: str = "text", label: str = "lang", doc_id: str
     def cut(texts, hashes):
         out = []
         for t, h in zip(texts, hashes):
-            w = words_of(t or "")
+            w = words_of(batches.text(t))
             at = h % max(1, len(w) - span + 1)
             out.append(" ".join(w[at:at + span]))
         return [out]
 
     drawn = drawn.select(F.col(label).alias("l"), F.col(text).alias("t"), draw.alias("u"),
                          F.abs(F.hash(F.col(doc_id), F.length(text))).cast("long").alias("h"))
-    got = append(drawn, [("words", "string")], cut, [F.col("t"), F.col("h")]).select("l", "u", "words")
+    got = batches.append(drawn, [("words", "string")], cut, ["t", "h"], ["l", "u"])
     got = got.orderBy("u", "l", "words").limit(2 * per_label * len(top)).collect()
     out, taken = [], dict.fromkeys((lab for lab, _ in top), 0)
     for r in got:
@@ -278,18 +279,18 @@ def label_texts(model: Crf, texts: list[str | None], memory: Remembered | None =
 
 
 def predict(docs: DataFrame, model: Crf | None, text: str = "text",
-            out: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
-    """``docs`` with the predicted label and its score."""
+            out: tuple[str, str] = ("lang_pred", "score"), keep: list[str] | None = None) -> DataFrame:
+    """``docs`` (or its columns ``keep``) with the predicted label and its score."""
     if model is None:
-        return docs.withColumns({out[0]: F.lit(UNKNOWN), out[1]: F.lit(0.0)})
+        return docs.select(*(keep or docs.columns)).withColumns({out[0]: F.lit(UNKNOWN), out[1]: F.lit(0.0)})
     memory: list[Remembered] = []
 
     def make(texts):
         if not memory:
             memory.append(memory_of(model))
-        return list(label_texts(model, [t.decode("utf-8", "replace") if t else t for t in texts], memory[0]))
+        return list(label_texts(model, [batches.text(t) for t in texts], memory[0]))
 
-    return append(docs, [(out[0], "string"), (out[1], "double")], make, [F.col(text).cast("binary")])
+    return batches.append(docs, [(out[0], "string"), (out[1], "double")], make, [text], keep)
 
 
 def held_out(doc_id: Column, folds: int, fold: int) -> Column:

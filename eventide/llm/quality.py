@@ -25,14 +25,15 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from eventide.llm.batches import Remembered, append
+from eventide.llm import batches
+from eventide.llm.batches import Remembered
 from eventide.llm.langid import held_out
 
 BUCKETS = 1 << 18
 THRESHOLD = 0.3
 TOKEN = re.compile(r"\w+|[^\w\s]+")
 #: Tokens whose codes a worker remembers; the memory is emptied when full.
-REMEMBER = 500_000
+REMEMBER = 150_000
 _M = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -214,11 +215,11 @@ def sample(docs: DataFrame, labels: DataFrame, label: str = "quality", text: str
     texts = texts.filter(F.col("n") < len(kept))
 
     def make(values):
-        doc, bucket = features(values, coder())
+        doc, bucket = features([batches.text(v) for v in values], coder())
         cuts = np.searchsorted(doc, np.arange(1, len(values)))
         return [[x.tolist() for x in np.split(bucket.astype(np.int32), cuts)]]
 
-    got = append(texts.select("n", "t", "y"), [("f", "array<int>")], make, [F.col("t")]).select("n", "y", "f")
+    got = batches.append(texts, [("f", "array<int>")], make, ["t"], ["n", "y"])
     one = {}
     for r in got.toLocalIterator():
         if r["n"] not in one or r["f"] < one[r["n"]][1].tolist():
@@ -230,14 +231,15 @@ def fit(docs: DataFrame, labels: DataFrame, **kw) -> Nbsvm:
     return train(*sample(docs, labels, **kw))
 
 
-def score(docs: DataFrame, model: Nbsvm, text: str = "text", out: str = "score") -> DataFrame:
-    """``docs`` with the score of every whole text."""
+def score(docs: DataFrame, model: Nbsvm, text: str = "text", out: str = "score",
+          keep: list[str] | None = None) -> DataFrame:
+    """``docs`` (or its columns ``keep``) with the score of every whole text."""
     memory: list[Remembered] = []
 
     def make(texts):
         if not memory:
             memory.append(coder())
-        doc, bucket = features([t.decode("utf-8", "replace") if t else t for t in texts], memory[0])
+        doc, bucket = features([batches.text(t) for t in texts], memory[0])
         return [model.scores(model.margins(doc, bucket, len(texts)))]
 
-    return append(docs, [(out, "double")], make, [F.col(text).cast("binary")])
+    return batches.append(docs, [(out, "double")], make, [text], keep)

@@ -36,7 +36,7 @@ def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document by the word-level field."""
     from eventide.llm import langid
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    found = langid.predict(docs.select("doc_id", "text"), langid.fit(docs))
+    found = langid.predict(docs, langid.fit(docs), keep=["doc_id"])
     return found.select("doc_id", langid.held_out(F.col("doc_id"), 4, 2).alias("held_out"), "lang_pred", "score")
 
 
@@ -45,7 +45,7 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
     from eventide.llm import langid, quality
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+    found = quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")), keep=["doc_id"])
     return found.select("doc_id", langid.held_out(F.col("doc_id"), 5, 0).alias("held_out"), "score",
                         (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
 
@@ -57,7 +57,7 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     from eventide.llm import bpe
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return bpe.tokenize(docs, P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN).drop("text")
+    return bpe.tokenize(docs, P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN, keep=["doc_id"])
 
 
 _OP6 = r"""

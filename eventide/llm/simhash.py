@@ -72,11 +72,12 @@ def _bit_counts(hashes: list[int]) -> np.ndarray:
     return np.unpackbits(h, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
 
 
-def with_fingerprint(docs: DataFrame, text: str = "text", out: str = "fp", shingle: int = 3) -> DataFrame:
+def with_fingerprint(docs: DataFrame, text: str = "text", out: str = "fp", shingle: int = 3,
+                     keep: list[str] | None = None) -> DataFrame:
     """``docs`` with the fingerprint as a signed long (same 64 bits)."""
     def make(texts):
         return [np.array([fingerprint(t, shingle) for t in texts], dtype=np.uint64).view(np.int64)]
-    return append(docs, [(out, "long")], make, [F.col(text).cast("binary")])
+    return append(docs, [(out, "long")], make, [text], keep)
 
 
 def _masks(parts: int, differ: int) -> list[int]:
@@ -164,7 +165,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                     shingle: int = 3, distance: int = 3, hot: int = 64) -> DataFrame:
     """One row per input row: doc_id, fp (long), root (smallest linked fp), component_id."""
     ids = materialize(with_fingerprint(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")),
-                                       shingle=shingle).select("doc_id", "fp"), "simhash-fp")
+                                       shingle=shingle, keep=["doc_id"]), "simhash-fp")
     fps = materialize(ids.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
     roots = components(link_edges(fps.select("fp"), distance, hot)).withColumnRenamed("node", "fp")
     fps = fps.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
