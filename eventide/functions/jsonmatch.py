@@ -18,15 +18,16 @@ Semantics (those of JSONB containment):
 from __future__ import annotations
 
 import json
+from decimal import Decimal
 from typing import Any
 
 from pyspark.sql import Column, functions as F
 
 
 
-def _path_key(key: str) -> str:
-    # Quoted member access keeps dots, spaces and brackets in keys literal.
-    return "$[" + json.dumps(key) + "]"
+def _member(node: Column, key: str) -> Column:
+    # A map lookup takes any key literally (quotes, backslashes, non-ASCII).
+    return F.try_element_at(F.try_variant_get(node, "$", "map<string,variant>"), F.lit(key))
 
 
 def _kind(node: Column) -> Column:
@@ -41,12 +42,22 @@ def _array_of(node: Column) -> Column:
     return F.try_variant_get(node, "$", "array<variant>")
 
 
-_NUMERIC = ["TINYINT", "SMALLINT", "INT", "BIGINT", "FLOAT", "DOUBLE"]
+_EXACT, _BINARY = ["TINYINT", "SMALLINT", "INT", "BIGINT"], ["FLOAT", "DOUBLE"]
 
 
-def _is_number(node: Column) -> Column:
-    k = _kind(node)
-    return k.isin(_NUMERIC) | k.startswith("DECIMAL")
+def _number_eq(node: Column, pat: int | float | Decimal) -> Column:
+    """Equality by value, without a fixed scale.
+
+    Numbers written plainly are exact (integer or decimal) and compare as digits without
+    trailing zeros; numbers with an exponent are doubles and compare as doubles.
+    """
+    exact = Decimal(repr(pat)) if isinstance(pat, float) else Decimal(pat)
+    digits = format(exact.normalize(), "f") if exact else "0"
+    kind = _kind(node)
+    text = F.regexp_replace(F.to_json(node), r"(\.\d*?)0+$", "$1")
+    plain = F.regexp_replace(F.regexp_replace(text, r"\.$", ""), r"^-0$", "0") == F.lit(digits)
+    near = F.try_variant_get(node, "$", "double") == F.lit(float(exact))
+    return (((kind.isin(_EXACT) | kind.startswith("DECIMAL")) & plain) | (kind.isin(_BINARY) & near))
 
 
 def _scalar_eq(node: Column, pat: Any) -> Column:
@@ -55,9 +66,8 @@ def _scalar_eq(node: Column, pat: Any) -> Column:
     if isinstance(pat, bool):
         return (_kind(node) == F.lit("BOOLEAN")) & (
             F.try_variant_get(node, "$", "boolean") == F.lit(pat))
-    if isinstance(pat, (int, float)):
-        return _is_number(node) & (
-            F.try_variant_get(node, "$", "decimal(38,10)") == F.lit(pat).cast("decimal(38,10)"))
+    if isinstance(pat, (int, float, Decimal)):
+        return _number_eq(node, pat)
     if isinstance(pat, str):
         return (_kind(node) == F.lit("STRING")) & (
             F.try_variant_get(node, "$", "string") == F.lit(pat))
@@ -75,7 +85,7 @@ def _contains(node: Column, pat: Any, top: bool = False) -> Column:
         # test is needed for the empty pattern alone.
         cond = _is_object(node) if not pat else F.lit(True)
         for k, v in pat.items():
-            child = F.try_variant_get(node, _path_key(k), "variant")
+            child = _member(node, k)
             cond = cond & child.isNotNull() & _contains(child, v)
         return cond
     if isinstance(pat, list):
@@ -120,7 +130,7 @@ def json_contains(col: Column | str, pattern: Any) -> Column:
     result is exact.
     """
     if isinstance(pattern, str):
-        pattern = json.loads(pattern)
+        pattern = json.loads(pattern, parse_float=Decimal)
     c = F.col(col) if isinstance(col, str) else col
     doc = F.try_parse_json(c)
     match = F.coalesce(_contains(doc, pattern, top=True), F.lit(False))

@@ -9,9 +9,10 @@ scan lists only the needed month directories (PartitionFilters).
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import types as T
 
 from eventide.functions.jsonmatch import json_contains, json_text_eq
 from eventide.functions.timefns import day_of, ts_literal, interval_micros
@@ -30,6 +31,14 @@ def window_start(as_of, span: str) -> datetime:
     return _as_dt(as_of) - timedelta(microseconds=interval_micros(span))
 
 
+def _month_of(bound, typ: T.DataType) -> str:
+    """Month key of a bound; instants are keyed by their UTC month, like the store."""
+    at = _as_dt(bound)
+    if at.tzinfo is not None and isinstance(typ, T.TimestampType):
+        at = at.astimezone(timezone.utc)
+    return at.strftime("%Y_%m")
+
+
 def in_window(df: DataFrame, lo, hi=None, *, ts: str = "event_time", month_col: str = MONTH_COL) -> DataFrame:
     """Rows with lo <= ts (< hi), pruning month partitions when present."""
     typ = df.schema[ts].dataType
@@ -37,11 +46,11 @@ def in_window(df: DataFrame, lo, hi=None, *, ts: str = "event_time", month_col:
     if hi is not None:
         cond = cond & (F.col(ts) < ts_literal(hi, typ))
     if month_col in df.columns:
-        lo_key = _as_dt(lo).strftime("%Y_%m") if not isinstance(lo, Column) else None
+        lo_key = _month_of(lo, typ) if not isinstance(lo, Column) else None
         if lo_key:
             cond = cond & (F.col(month_col) >= F.lit(lo_key))
         if hi is not None and not isinstance(hi, Column):
-            cond = cond & (F.col(month_col) <= F.lit(_as_dt(hi).strftime("%Y_%m")))
+            cond = cond & (F.col(month_col) <= F.lit(_month_of(hi, typ)))
     return df.where(cond)
 
 

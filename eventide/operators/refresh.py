@@ -20,12 +20,14 @@ from __future__ import annotations
 import time
 import uuid
 from collections.abc import Mapping, Sequence
-from datetime import datetime
+from datetime import date, datetime, timedelta
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eventide.functions.timefns import ts_literal
 from eventide.operators import rollups as R
+from eventide.operators.queries import in_window
 from eventide.plans.lineage import materialize
 
 MANIFEST = "_manifest"
@@ -51,8 +53,10 @@ SLIDING_DAYS = {"daily_event_stats": 90, "user_engagement_summary": 30}
 def _manifest(spark: SparkSession, store: str) -> DataFrame | None:
     try:
         return spark.read.schema(MANIFEST_SCHEMA).parquet(f"{store}/{MANIFEST}")
-    except Exception:  # noqa: BLE001 - no manifest yet
-        return None
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":     # no manifest yet
+            return None
+        raise
 
 
 def current_version(spark: SparkSession, store: str, name: str):
@@ -60,7 +64,7 @@ def current_version(spark: SparkSession, store: str, name: str):
     m = _manifest(spark, store)
     if m is None:
         return None
-    row = (m.where(F.col("rollup") == name).orderBy(F.desc("version")).select("version", "path").limit(1).collect())
+    row = (m.where(F.col("rollup") == name).orderBy(F.desc("version"), F.desc("refreshed_at"), F.desc("path")).select("version", "path").limit(1).collect())
     return (row[0][0], row[0][1]) if row else None
 
 
@@ -149,6 +153,21 @@ def refresh_all(spark: SparkSession, events: DataFrame, store: str, as_of,
     return spark.createDataFrame(report, "rollup string, version long, seconds double")
 
 
+def touched_dates(load: DataFrame, ts: str = "event_time") -> list[str]:
+    """The dates a load touched (one short row per date reaches the driver)."""
+    days = load.select(F.to_date(ts).alias("d")).where("d IS NOT NULL").distinct()
+    return sorted(str(r["d"]) for r in days.collect())
+
+
+def on_dates(events: DataFrame, dates: Sequence[str], ts: str = "event_time") -> DataFrame:
+    """Events of the given dates; the time range and months reach the scan."""
+    if not dates:
+        return events.where(F.lit(False))
+    last = date.fromisoformat(max(dates)) + timedelta(days=1)
+    return (in_window(events, f"{min(dates)} 00:00:00", f"{last} 00:00:00", ts=ts)
+            .where(F.to_date(ts).isin(*[F.lit(d).cast("date") for d in dates])))
+
+
 def refresh_dates(spark: SparkSession, store: str, name: str, events: DataFrame, dates: Sequence[str],
                   as_of, options: Mapping[str, Mapping] | None = None) -> DataFrame:
     """M2: incremental refresh of the given dates of a date-keyed rollup.
@@ -171,8 +190,7 @@ def refresh_dates(spark: SparkSession, store: str, name: str, events: DataFrame,
         days = options.get(name, {}).get("days", SLIDING_DAYS[name])
         lo = F.date_sub(F.lit(str(as_of)[:10]).cast("date"), days)
         kept = kept.where(old_day >= lo)
-    touched = events.where(F.to_date("event_time").isin(*date_lits))
-    fresh = _build(name, touched, as_of, options)
+    fresh = _build(name, on_dates(events, dates), as_of, options)
     new = kept.unionByName(fresh.select(*old.columns))
     version = current_version(spark, store, name)[0] + 1
     _publish(spark, store, [(name, version, _write_version(store, name, new, version, SORT_KEYS.get(name, ())))],
@@ -195,8 +213,7 @@ def refresh_dates_in_place(spark: SparkSession, path: str, name: str, events: Da
         raise ValueError(f"{name} has no date key")
     key = DATE_KEY[name]
     dates = sorted(set(str(d)[:10] for d in dates))
-    touched = events.where(F.to_date("event_time").isin(*[F.lit(d).cast("date") for d in dates]))
-    fresh = _build(name, touched, as_of, options or {}).withColumn(partition_col, F.to_date(F.col(key)))
+    fresh = _build(name, on_dates(events, dates), as_of, options or {}).withColumn(partition_col, F.to_date(F.col(key)))
     (fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(path))
     return spark.read.parquet(path)

@@ -85,7 +85,7 @@ def rollup(df: DataFrame, keys, measures: Sequence[tuple[str, str]], *, where: C
 
 def _flat(df, names, kinds, sketch, ts, pre=False):
     if pre:
-        aggs = [F.sum("_n").alias(f"_m_{COUNT}")]
+        aggs = [F.coalesce(F.sum("_n"), F.lit(0)).alias(f"_m_{COUNT}")]  # 0 on empty input, like count
         ts_min, ts_max = "_min", "_max"
     else:
         aggs = [F.count(F.lit(1)).alias(f"_m_{COUNT}")]

@@ -33,11 +33,17 @@ def sessionize(events: DataFrame, gap: str | int = "30 minutes", *, user: str =
     :func:`session_state`.  The new events must be later than the user's
     ``last_time``; a user's first new event then joins the stored session
     when within ``gap`` and numbering continues from ``last_number``.
+
+    Events without a user or a time keep their row; their session is NULL.
     """
     gap_us = interval_micros(gap)
     typ = events.schema[ts].dataType
     b = "_ssn_bucket"
-    e = events.withColumn(b, trunc_ts(bucket, ts, typ))
+    known = F.col(user).isNotNull() & F.col(ts).isNotNull()
+    unknown = events.where(~known).withColumn(out, F.lit(None).cast("string"))
+    if number_col:
+        unknown = unknown.withColumn(number_col, F.lit(None).cast("long"))
+    e = events.where(known).withColumn(b, trunc_ts(bucket, ts, typ))
 
     w = Window.partitionBy(user, b).orderBy(F.col(ts), F.col(tiebreak))
     e = e.withColumn("_ssn_prev", F.lag(ts).over(w))
@@ -74,7 +80,7 @@ def sessionize(events: DataFrame, gap: str | int = "30 minutes", *, user: str =
     e = e.withColumn(out, F.concat_ws("-", F.col(user).cast("string"), n.cast("string")))
     if number_col:
         e = e.withColumn(number_col, n)
-    return e.drop(b, "_ssn_flag", "_ssn_run", "_ssn_first", "_ssn_offset")
+    return e.drop(b, "_ssn_flag", "_ssn_run", "_ssn_first", "_ssn_offset").unionByName(unknown)
 
 
 def session_state(labelled: DataFrame, number_col: str, previous: DataFrame | None = None, *,
@@ -180,8 +186,22 @@ def sessions(events: DataFrame, *, page_view: str = "page_view", click: str = "c
                     "country_code", *UTM_PARAMS, *(["created_at"] if created_at is not None else []))
 
 
-def users(events: DataFrame, *, ts: str = "event_time", tiebreak: str = "id") -> DataFrame:
-    """User dimension — first/last seen, totals, latest country."""
+def users(events: DataFrame, *, ts: str = "event_time", tiebreak: str = "id", number_col: str | None = None,
+          state: DataFrame | None = None) -> DataFrame:
+    """User dimension — first/last seen, totals, latest country.
+
+    With ``number_col`` and the ``state`` before this load, ``total_sessions`` counts the
+    sessions that began in the load, so totals of loads add up although a
+    session may span two of them.
+    """
+    if number_col:
+        before = (F.lit(None).cast("long"), None) if state is None else (F.col("_last"), state.select(
+            F.col("user_id").alias("_user"), F.col("last_number").alias("_last")))
+        u = events.groupBy(F.col("user_id").alias("id")).agg(F.max(number_col).alias("_number"))
+        u = u if state is None else u.join(before[1], u["id"] == before[1]["_user"], "left")
+        began = u.select(F.col("id").alias("_id"), (F.col("_number") - F.coalesce(before[0], F.lit(0))).alias("total_sessions"))
+        base = users(events.drop("session_id"), ts=ts, tiebreak=tiebreak)
+        return base.join(began, base["id"] == began["_id"]).drop("_id")
     cols = set(events.columns)
     aggs = [F.min(ts).alias("first_seen"), F.max(ts).alias("last_seen"),
             F.count(F.lit(1)).alias("total_events")]
@@ -199,7 +219,9 @@ def upsert_users(stored: DataFrame, new: DataFrame, as_of, *, mode: str = "accum
     country = the newer one.  ``mode='accumulate'``: the batch covers new
     events only, totals add up; ``mode='replace'``: the batch is a full
     recomputation, its totals win.  ``updated_at`` = as_of for touched
-    rows; ``created_at`` = as_of for inserted rows.
+    rows; ``created_at`` = as_of for inserted rows.  Every other column of either side is
+    kept, the batch's value first.  In ``accumulate`` the batch's ``total_sessions`` must count
+    sessions begun in it (``users(..., number_col=, state=)``).
     """
     o, n = stored.alias("o"), new.alias("n")
     j = o.join(n, F.col("o.id") == F.col("n.id"), "full_outer")
@@ -224,6 +246,12 @@ def upsert_users(stored: DataFrame, new: DataFrame, as_of, *, mode: str = "accum
     out.append(F.when(F.col("o.id").isNull(), now).otherwise(created).alias("created_at"))
     updated = F.col("o.updated_at") if "updated_at" in stored.columns else F.lit(None).cast(typ)
     out.append(F.when(F.col("n.id").isNotNull(), now).otherwise(updated).alias("updated_at"))
+    done = {"id", "first_seen", "last_seen", "total_events", "created_at", "updated_at"} | (
+        cols & {"total_sessions", "country_code"})
+    for c in [*stored.columns, *[c for c in new.columns if c not in stored.columns]]:
+        if c not in done:
+            sides = [F.col(f"{a}.`{c}`") for a, side in (("n", new), ("o", stored)) if c in side.columns]
+            out.append(F.coalesce(*sides).alias(c))
     return j.select(*out)
 
 

@@ -253,14 +253,16 @@ def m2(spark, sf):
     ev = D.events(spark, sf, sessions=True)
     cut = F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
     M.refresh_all(spark, ev.where(F.col("event_time") < cut), store, AS_OF, names=["stats_daily_users"])
-    dates = [f"2024-01-{d:02d}" for d in range(16, 31)]
+    dates = M.touched_dates(ev.where(F.col("event_time") >= cut))
     return M.refresh_dates(spark, store, "stats_daily_users", ev, dates, AS_OF)
 
 
 @register("m3_duplicate_keys",
-          f"WITH d AS ({R3_SQL}) SELECT date, user_id, count(*) AS count FROM d GROUP BY 1, 2 HAVING count(*) > 1")
+          "SELECT o_custkey, CAST(o_orderdate AS DATE) AS date, count(*) AS count FROM orders GROUP BY 1, 2 HAVING count(*) > 1")
 def m3(spark, sf):
-    return M.duplicate_keys(R.stats_daily_users(D.events(spark, sf, sessions=True)), ["date", "user_id"])
+    """Customers with several orders on one day: a table that does have duplicate keys."""
+    orders = D.table(spark, sf, "orders").select("o_custkey", F.to_date("o_orderdate").alias("date"))
+    return M.duplicate_keys(orders, ["o_custkey", "date"])
 
 
 @register("m4_freshness",
@@ -330,5 +332,5 @@ def m2b(spark, sf):
     ev = D.events(spark, sf, sessions=True)
     cut = F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
     M.write_partitioned(R.stats_daily_users(ev.where(F.col("event_time") < cut)), path, "date")
-    dates = [f"2024-01-{d:02d}" for d in range(16, 31)]
+    dates = M.touched_dates(ev.where(F.col("event_time") >= cut))
     return M.refresh_dates_in_place(spark, path, "stats_daily_users", ev, dates, AS_OF).drop("day")

@@ -84,27 +84,48 @@ def d5(spark, sf):
     return S.users(D.events(spark, sf, country=True, sessions=True))
 
 
-@register("d6_upsert_users",
-          f"WITH {cte(country=True, sessions=True)}, "
-          f"o AS (SELECT *, {ts(SPLIT)} AS created_at, {ts(SPLIT)} AS updated_at FROM "
-          f"({_USERS_SQL.format(where=f'WHERE event_time < {ts(SPLIT)}')})), "
-          f"n AS ({_USERS_SQL.format(where=f'WHERE event_time >= {ts(SPLIT)}')}) "
-          "SELECT coalesce(n.id, o.id) AS id, least(o.first_seen, n.first_seen) AS first_seen, "
-          "greatest(o.last_seen, n.last_seen) AS last_seen, "
-          "coalesce(o.total_events, 0) + coalesce(n.total_events, 0) AS total_events, "
-          "coalesce(o.total_sessions, 0) + coalesce(n.total_sessions, 0) AS total_sessions, "
-          "coalesce(n.country_code, o.country_code) AS country_code, "
-          f"CASE WHEN o.id IS NULL THEN {ts(AS_OF)} ELSE o.created_at END AS created_at, "
-          f"CASE WHEN n.id IS NOT NULL THEN {ts(AS_OF)} ELSE o.updated_at END AS updated_at "
-          "FROM o FULL JOIN n ON o.id = n.id")
-def d6(spark, sf):
+_D6_SQL = (f"WITH {cte(country=True, sessions=True)} SELECT id, first_seen, last_seen, total_events, total_sessions, "
+           f"country_code, CASE WHEN first_seen < {ts(SPLIT)} THEN {ts(SPLIT)} ELSE {ts(AS_OF)} END AS created_at, "
+           f"CASE WHEN last_seen >= {ts(SPLIT)} THEN {ts(AS_OF)} ELSE {ts(SPLIT)} END AS updated_at "
+           f"FROM ({_USERS_SQL.format(where='')})")
+
+
+def _two_loads(spark, sf):
+    """Users of the events before SPLIT, and the batch of the later load (sessions continue)."""
     from eventide.functions.timefns import ts_literal
-    ev = D.events(spark, sf, country=True, sessions=True)
+    ev = D.events(spark, sf, country=True)
     cut = ts_literal(SPLIT, ev.schema["event_time"].dataType)
-    stored = (S.users(ev.where(F.col("event_time") < cut))
-              .withColumn("created_at", cut).withColumn("updated_at", cut))
-    new = S.users(ev.where(F.col("event_time") >= cut))
-    return S.upsert_users(stored, new, AS_OF, mode="accumulate")
+    first = S.sessionize(ev.where(F.col("event_time") < cut), "4 hours", number_col="n")
+    state = S.session_state(first, "n")
+    second = S.sessionize(ev.where(F.col("event_time") >= cut), "4 hours", number_col="n", state=state)
+    stored = S.users(first, number_col="n").withColumn("created_at", cut).withColumn("updated_at", cut)
+    return stored, S.users(second, number_col="n", state=state)
+
+
+@register("d6_upsert_users", _D6_SQL)
+def d6(spark, sf):
+    """Two loads upserted equal the users of all events: a session over the cut counts once."""
+    return S.upsert_users(*_two_loads(spark, sf), AS_OF, mode="accumulate")
+
+
+@register("d6_upsert_keeps_columns",
+          f"WITH u AS ({_D6_SQL}) SELECT u.*, CASE WHEN created_at = {ts(SPLIT)} THEN 'user' || id || '@example.com' END AS email, "
+          f"CASE WHEN created_at = {ts(SPLIT)} THEN CAST(first_seen AS DATE) END AS signup_date FROM u")
+def d6_columns(spark, sf):
+    """Stored columns that the batch does not derive stay."""
+    stored, batch = _two_loads(spark, sf)
+    stored = stored.withColumns({"email": F.concat(F.lit("user"), F.col("id").cast("string"), F.lit("@example.com")),
+                                 "signup_date": F.to_date("first_seen")})
+    return S.upsert_users(stored, batch, AS_OF, mode="accumulate")
+
+
+@register("d2_sessionize_null_users",
+          "SELECT count(*) AS rows, count_if(event_id % 7 <> 0) AS labelled FROM events")
+def d2_null(spark, sf):
+    """Events without a user keep their row and get no session."""
+    ev = D.events(spark, sf).withColumn("user_id", F.when(F.col("id").cast("long") % 7 != 0, F.col("user_id")))
+    out = S.sessionize(ev, "4 hours")
+    return out.agg(F.count(F.lit(1)).alias("rows"), F.count("session_id").alias("labelled"))
 
 
 @register("d7_campaign_report",

@@ -18,7 +18,7 @@ def _canonical_files(spark, sf):
                          "properties": "props", "session_id": F.concat_ws("-", "user_id", F.lit("0")),
                          "created_at": add_seconds("ts", F.col("value"))})
     path = scratch_dir(spark, "stream-in")
-    bound.repartitionByRange(4, "event_time").write.mode("errorifexists").parquet(path)
+    bound.repartitionByRange("event_time").write.mode("errorifexists").parquet(path)
     return path
 
 
@@ -27,7 +27,7 @@ def _canonical_files(spark, sf):
 def s6(spark, sf):
     src = _canonical_files(spark, sf)
     out, ck = scratch_dir(spark, "stream-out"), scratch_dir(spark, "stream-ckpt")
-    St.stream_ingest(spark, src, out, ck, max_files_per_trigger=1)
+    St.stream_ingest(spark, src, out, ck, max_files_per_trigger=4)
     back = spark.read.parquet(out)
     return back.groupBy("event_month").agg(F.count(F.lit(1)).alias("rows"))
 
@@ -42,3 +42,18 @@ def m6(spark, sf):
     St.stream_hourly(spark, src, out, ck)
     back = spark.read.parquet(out)
     return back.select(F.col("hour").cast("timestamp_ntz").alias("hour"), "event_type", "event_count")
+
+
+@register("s6_stream_total",
+          "SELECT count_if(ts < TIMESTAMP '2024-01-15 00:00:00') AS accepted, "
+          "count_if(ts >= TIMESTAMP '2024-01-15 00:00:00') AS rejected, count(*) AS total FROM events")
+def s6_total(spark, sf):
+    """No row is lost: accepted and rejected add up to the input, without a rejects path given."""
+    src = _canonical_files(spark, sf)
+    out, ck = scratch_dir(spark, "stream-all"), scratch_dir(spark, "stream-all-ck")
+    St.stream_ingest(spark, src, out, ck, max_files_per_trigger=4,
+                     time_range=("2024-01-01 00:00:00", "2024-01-15 00:00:00"))
+    n = lambda path: spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n"))
+    ok, bad = n(out).withColumnRenamed("n", "accepted"), n(out + "_rejected").withColumnRenamed("n", "rejected")
+    one = ok.withColumn("k", F.lit(1)).join(bad.withColumn("k", F.lit(1)), "k")
+    return one.select("accepted", "rejected", (F.col("accepted") + F.col("rejected")).alias("total"))

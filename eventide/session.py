@@ -38,18 +38,23 @@ def get_spark(app: str = "eventide", master: str | None = None,
               shuffle_partitions: int | None = None) -> SparkSession:
     """Get or create a session with the library's settings.
 
-    ``master`` defaults to ``local[$BENCH_CPUS or *]`` only when no master
-    is configured already (on a cluster ``spark-submit`` provides one).
+    ``master`` defaults to ``local[$BENCH_CPUS or *]`` only outside ``spark-submit``
+    (which sets PYSPARK_GATEWAY_PORT and provides the master) and when neither
+    SPARK_MASTER nor MASTER names one.  Shuffle partitions are left to the
+    cluster unless given; local runs use 8.
     """
     b = SparkSession.builder.appName(app)
-    if master is None and not os.environ.get("SPARK_MASTER"):
+    if master is None and not any(os.environ.get(k) for k in ("PYSPARK_GATEWAY_PORT", "SPARK_MASTER", "MASTER")):
         master = f"local[{os.environ.get('BENCH_CPUS', '*')}]"
     if master:
         b = b.master(master)
+    if shuffle_partitions is None and (master or "").startswith("local["):
+        shuffle_partitions = 8
+    if shuffle_partitions:
+        b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     b = (b.config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
-         .config("spark.driver.memory", os.environ.get("EVENTIDE_DRIVER_MEMORY", "16g"))
-         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or 8)))
+         .config("spark.driver.memory", os.environ.get("EVENTIDE_DRIVER_MEMORY", "16g")))
     for k, v in REQUIRED_CONF.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
@@ -112,9 +117,15 @@ def tune_for_input(spark: SparkSession, input_bytes: int, *, target_partition_by
     return conf
 
 
-def input_size(paths) -> int:
-    """Total bytes of local input files/directories (for tune_for_input);
-    on a cluster pass the size known from the catalog or the listing."""
+def input_size(paths, spark: SparkSession | None = None) -> int:
+    """Total bytes of input files or directories (for tune_for_input).
+
+    With ``spark`` the paths may be on any file system that Spark reads;
+    without it they must be local."""
+    if spark is not None:
+        jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+        hadoop = [jvm.org.apache.hadoop.fs.Path(p) for p in ([paths] if isinstance(paths, str) else paths)]
+        return sum(p.getFileSystem(conf).getContentSummary(p).getLength() for p in hadoop)
     total = 0
     for p in ([paths] if isinstance(paths, str) else paths):
         p = p.replace("file:", "")
@@ -130,8 +141,9 @@ def scratch_dir(spark: SparkSession, name: str = "") -> str:
     """A fresh directory under the cluster's shared checkpoint folder.
 
     The folder comes from ``spark.checkpoint.dir`` (or a directory set with
-    ``setCheckpointDir``).  Only when neither is set — local tests — a
-    private folder under the system temp dir is created and registered.
+    ``setCheckpointDir``).  Only when neither is set and the master is ``local``
+    (tests) a private folder under the system temp dir is created and registered;
+    on a cluster that raises, because executors would each write to their own disk.
     """
     sc = _context(spark)
     base = spark.conf.get("spark.checkpoint.dir", None)
@@ -142,6 +154,9 @@ def scratch_dir(spark: SparkSession, name: str = "") -> str:
         if not base:
             base = sc.getCheckpointDir()
     if not base:
+        master = sc.master if sc is not None else ""
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="eventide-ckpt-")
         if sc is not None:
             sc.setCheckpointDir(base)

@@ -12,20 +12,30 @@ from eventide.schema import EVENT_SCHEMA, MAX_LENGTHS, NOT_NULL, PRIMARY_KEY
 
 MONTH_COL = "event_month"
 # Text timestamps keep microseconds (the default JSON/CSV format keeps millis).
-TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+# The fraction may be absent or have three or six digits.
+TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS]XXX"
 
 
 def read_events(spark: SparkSession, path: str, fmt: str = "parquet",
-                schema: T.StructType = EVENT_SCHEMA, **options) -> DataFrame:
-    """Read with the fixed canonical schema (no inference, fixed order)."""
-    reader = spark.read.schema(schema)
+                schema: T.StructType = EVENT_SCHEMA, corrupt: str | None = None, **options) -> DataFrame:
+    """Read with the fixed canonical schema (no inference, fixed order).
+
+    A text record that does not fit fails the load; with ``corrupt`` (a column name) it is kept
+    instead, its text in that column and the fields that fit.
+    """
+    read_as = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())]) if corrupt else schema
+    reader = spark.read.schema(read_as)
     if fmt in ("json", "csv"):
-        reader = reader.option("timestampFormat", TS_FORMAT)
+        reader = reader.option("timestampFormat", TS_FORMAT).option("mode", "PERMISSIVE" if corrupt else "FAILFAST")
+        if corrupt:
+            reader = reader.option("columnNameOfCorruptRecord", corrupt)
     reader = reader.options(**options)
     if fmt == "csv":
         reader = reader.option("header", options.get("header", "true"))
     df = reader.format(fmt).load(path)
-    return df.select(*[f.name for f in schema.fields])
+    if corrupt and fmt not in ("json", "csv"):
+        df = df.withColumn(corrupt, F.lit(None).cast("string"))
+    return df.select(*[f.name for f in read_as.fields])
 
 
 def bind(df: DataFrame, mapping: Mapping[str, str | Column], schema: T.StructType = EVENT_SCHEMA,

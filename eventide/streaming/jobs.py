@@ -32,7 +32,8 @@ def stream_ingest(spark: SparkSession, in_path: str, out_path: str, checkpoint:
 
     Each batch gets the ingest defaults and the row-level checks (NOT NULL,
     lengths, known partitions); accepted rows go to the month-partitioned
-    store, rejected rows (with reasons) to ``rejected_path``.  Key
+    store, rejected rows (with reasons) to ``rejected_path`` (default: the
+    store's path with ``_rejected`` appended), so no row is lost.  Key
     uniqueness across a stream would need unbounded state and is checked
     by the batch ``validate`` instead.
     """
@@ -46,12 +47,11 @@ def stream_ingest(spark: SparkSession, in_path: str, out_path: str, checkpoint:
     ok = ok.withColumn("event_month", month_key("event_time"))
     q = (ok.writeStream.format("parquet").option("checkpointLocation", f"{checkpoint}/accepted")
          .partitionBy("event_month").outputMode("append").trigger(availableNow=True).start(out_path))
-    queries = [q]
-    if rejected_path:
-        qb = (bad.withColumn("reasons", F.array_join("reasons", ",")).writeStream.format("parquet")
-              .option("checkpointLocation", f"{checkpoint}/rejected").outputMode("append")
-              .trigger(availableNow=True).start(rejected_path))
-        queries.append(qb)
+    rejected_path = rejected_path or out_path.rstrip("/") + "_rejected"
+    qb = (bad.withColumn("reasons", F.array_join("reasons", ",")).writeStream.format("parquet")
+          .option("checkpointLocation", f"{checkpoint}/rejected").outputMode("append")
+          .trigger(availableNow=True).start(rejected_path))
+    queries = [q, qb]
     if wait:
         for x in queries:
             x.awaitTermination()

@@ -6,10 +6,10 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 
 from eventide.functions.jsonmatch import json_contains
 
-scalars = st.one_of(st.none(), st.booleans(), st.integers(-3, 3), st.sampled_from([1.0, 2.5, -0.5]),
+scalars = st.one_of(st.none(), st.booleans(), st.integers(-3, 3), st.sampled_from([1.0, 2.5, -0.5, 1e-11, 1e30, 2**63]),
                     st.sampled_from(["a", "b", "true", "1", ""]))
 values = st.recursive(scalars, lambda inner: st.one_of(
-    st.lists(inner, max_size=3), st.dictionaries(st.sampled_from(["a", "b", "c"]), inner, max_size=3)),
+    st.lists(inner, max_size=3), st.dictionaries(st.sampled_from(["a", "é", "q\"q", "b\\c"]), inner, max_size=3)),
     max_leaves=6)
 
 
