@@ -12,8 +12,9 @@ from eventide.schema import EVENT_SCHEMA, MAX_LENGTHS, NOT_NULL, PRIMARY_KEY
 
 MONTH_COL = "event_month"
 # Text timestamps keep microseconds (the default JSON/CSV format keeps millis).
-# The fraction may be absent or have three or six digits.
-TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS]XXX"
+TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+# On reading, the fraction may be absent or have three or six digits.
+TS_READ_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS]XXX"
 
 
 def read_events(spark: SparkSession, path: str, fmt: str = "parquet",
@@ -26,7 +27,7 @@ def read_events(spark: SparkSession, path: str, fmt: str = "parquet",
     read_as = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())]) if corrupt else schema
     reader = spark.read.schema(read_as)
     if fmt in ("json", "csv"):
-        reader = reader.option("timestampFormat", TS_FORMAT).option("mode", "PERMISSIVE" if corrupt else "FAILFAST")
+        reader = reader.option("timestampFormat", TS_READ_FORMAT).option("mode", "PERMISSIVE" if corrupt else "FAILFAST")
         if corrupt:
             reader = reader.option("columnNameOfCorruptRecord", corrupt)
     reader = reader.options(**options)
