@@ -5,6 +5,9 @@ event of type steps[k-1] strictly after the user's step k-1 time (and
 within ``horizon`` of it when given).  Each step is one join of the
 step-k events with the per-user step-(k-1) times (one row per user) and
 one map-side-combined min per user; no per-user event lists are built.
+A user's events are dealt over ``splits`` tasks by a salt from the event
+time; the one-row side is repeated per salt, and the minima per (user,
+salt) are combined per user.
 
 Each step's per-user table feeds both its count and the next step, so it
 is written once to the shared folder (``materialize``); otherwise every
@@ -23,19 +26,24 @@ from eventide.functions.timefns import interval_micros
 
 
 def funnel(events: DataFrame, steps: Sequence[str], horizon: str | None = None, *,
-           user: str = "user_id", ts: str = "event_time", type_col: str = "event_type") -> DataFrame:
+           user: str = "user_id", ts: str = "event_time", type_col: str = "event_type",
+           splits: int = 16) -> DataFrame:
     if not steps:
         raise ValueError("funnel needs at least one step")
     ev = events.select(user, ts, type_col)
+    salted = ev.withColumn("_salt", F.pmod(F.xxhash64(ts), F.lit(splits)).cast("int"))
+    salts = F.explode(F.sequence(F.lit(0), F.lit(splits - 1))).alias("_salt")
     reached = materialize(ev.where(F.col(type_col) == steps[0]).groupBy(user)
                           .agg(F.min(ts).alias("_t")), "funnel-step")
     counts = [reached.agg(F.count(F.lit(1)).alias("users")).withColumn("step", F.lit(1))
               .withColumn("event_type", F.lit(steps[0]))]
     for k, step in enumerate(steps[1:], start=2):
-        cand = ev.where(F.col(type_col) == step).join(reached, user, "inner").where(F.col(ts) > F.col("_t"))
+        cand = (salted.where(F.col(type_col) == step).join(reached.select(user, "_t", salts), [user, "_salt"])
+                .where(F.col(ts) > F.col("_t")))
         if horizon:
             cand = cand.where(F.timestamp_diff("MICROSECOND", F.col("_t"), F.col(ts)) <= interval_micros(horizon))
-        reached = materialize(cand.groupBy(user).agg(F.min(ts).alias("_t")), "funnel-step")
+        reached = materialize(cand.groupBy(user, "_salt").agg(F.min(ts).alias("_t"))
+                              .groupBy(user).agg(F.min("_t").alias("_t")), "funnel-step")
         counts.append(reached.agg(F.count(F.lit(1)).alias("users")).withColumn("step", F.lit(k))
                       .withColumn("event_type", F.lit(step)))
     out = counts[0]

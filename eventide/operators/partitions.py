@@ -53,7 +53,7 @@ def default_calendar(spark: SparkSession, as_of, back: int = 6, ahead: int = 6,
 def present_months(df: DataFrame, ts: str = "event_time", month_col: str = MONTH_COL,
                    prefix: str = PREFIX) -> DataFrame:
     """Distinct partition names present in a table (partition column if
-    there is one — answered from the directory listing — else derived)."""
+    there is one, so that no other column is read, else derived)."""
     m = F.col(month_col) if month_col in df.columns else month_key(ts)
     return df.select(F.concat(F.lit(prefix), m).alias("partition_name")).distinct()
 
@@ -92,17 +92,31 @@ def expired_months(present: DataFrame, as_of, keep_months: int = 12, prefix: str
             .where(F.col("start_date") < cutoff))
 
 
+def unexpired(df: DataFrame, as_of, keep_months: int = 12, month_col: str = MONTH_COL) -> DataFrame:
+    """P4 without copying: the kept months of a partitioned store.  The
+    predicate is on the partition column alone, so expired months are not
+    read; their folders can be deleted later, when nobody reads them."""
+    cutoff = F.add_months(_date_col(as_of), -keep_months)
+    return df.where(F.to_date(F.col(month_col), "yyyy_MM") >= cutoff)
+
+
+def maintain_partitions(spark_or_df, present: DataFrame, as_of, keep_months: int = 12, ahead: int = 2,
+                        prefix: str = PREFIX) -> DataFrame:
+    """One maintenance call: the months to create ahead and the present ones
+    to drop, as (action, partition_name, start_date)."""
+    create = months_to_create(spark_or_df, present, as_of, ahead, prefix)
+    drop = expired_months(present, as_of, keep_months, prefix)
+    cols = ["partition_name", "start_date"]
+    return (create.select(F.lit("create").alias("action"), *cols)
+            .unionByName(drop.select(F.lit("drop").alias("action"), *cols)))
+
+
 def drop_expired(df: DataFrame, out_path: str, as_of, keep_months: int = 12,
                  month_col: str = MONTH_COL) -> DataFrame:
     """P4 delete: write the kept months to ``out_path`` (a new version
     directory) and return the kept table read back.  The old version is
     never modified, so readers of it are not disturbed."""
-    cutoff = F.add_months(_date_col(as_of), -keep_months)
-    # Same rule as expired_months: a month is kept when it starts at or
-    # after the cutoff.  The predicate is on the partition column only, so
-    # expired months are pruned from the scan, not read and filtered.
-    kept = df.where(F.to_date(F.col(month_col), "yyyy_MM") >= cutoff)
-    kept.write.mode("errorifexists").partitionBy(month_col).parquet(out_path)
+    unexpired(df, as_of, keep_months, month_col).write.mode("errorifexists").partitionBy(month_col).parquet(out_path)
     return df.sparkSession.read.parquet(out_path)
 
 
@@ -113,12 +127,16 @@ def list_partitions(df: DataFrame, ts: str = "event_time", month_col: str = MONT
     each file counted once."""
     m = F.col(month_col) if month_col in df.columns else month_key(ts)
     name = F.concat(F.lit(prefix), m).alias("partition_name")
-    inv = df.groupBy(name).agg(F.count(F.lit(1)).alias("row_count"), F.min(ts).alias("first_event"),
-                               F.max(ts).alias("last_event"))
+    measures = [F.count(F.lit(1)).alias("row_count"), F.min(ts).alias("first_event"), F.max(ts).alias("last_event")]
     if with_bytes:
-        files = (df.select(name, F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("s"))
-                 .distinct().groupBy("partition_name").agg(F.sum("s").cast("long").alias("total_size")))
-        inv = inv.join(files, "partition_name", "left")
+        # One scan: a row per file, then the files per partition.
+        files = df.groupBy(name, F.col("_metadata.file_path").alias("f")).agg(
+            *measures, F.first("_metadata.file_size").alias("s"))
+        inv = files.groupBy("partition_name").agg(
+            F.sum("row_count").cast("long").alias("row_count"), F.min("first_event").alias("first_event"),
+            F.max("last_event").alias("last_event"), F.sum("s").cast("long").alias("total_size"))
+    else:
+        inv = df.groupBy(name).agg(*measures)
     # One row per month: sorted in one task, no global sort needed.
     return inv.coalesce(1).sortWithinPartitions("partition_name")
 

@@ -91,15 +91,19 @@ def report(events: DataFrame, tables: Mapping[str, DataFrame], *, month_col: str
                                        F.concat(F.lit("Total "), F.col("table_name")).alias("metric"),
                                        F.col("rows").cast("string").alias("value"))]
     month = F.col(month_col) if month_col else F.date_format(ts, "yyyy_MM")
-    parts.append(events.agg(F.count_distinct(month).alias("n")).select(
-        F.lit("PARTITIONS").alias("section"), F.lit("Total partitions").alias("metric"),
-        F.col("n").cast("string").alias("value")))
-    rng = events.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi"))
-    parts.append(rng.select(F.lit("DATA RANGE").alias("section"), F.lit("First event").alias("metric"),
-                            F.date_format("lo", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("value")))
-    parts.append(rng.select(F.lit("DATA RANGE").alias("section"), F.lit("Last event").alias("metric"),
-                            F.date_format("hi", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("value")))
-    if sizes is not None:  # (name, bytes) rows, e.g. from partitions.file_sizes
+    # One aggregate over the events (a row per month, then one row), unfolded into its three lines.
+    per_month = events.groupBy(month.alias("m")).agg(F.min(ts).alias("lo"), F.max(ts).alias("hi"))
+    one = per_month.agg(F.count("m").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+
+    def line(section, metric, value):
+        return F.struct(F.lit(section).alias("section"), F.lit(metric).alias("metric"), value.alias("value"))
+
+    shown = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+    parts.append(one.select(F.inline(F.array(
+        line("PARTITIONS", "Total partitions", F.col("n").cast("string")),
+        line("DATA RANGE", "First event", F.date_format("lo", shown)),
+        line("DATA RANGE", "Last event", F.date_format("hi", shown))))))
+    if sizes is not None:  # (name, bytes) rows, e.g. from list_partitions(with_bytes=True)
         from eventide.functions.timefns import size_pretty
         parts.append(sizes.select(F.lit("DATA SIZE").alias("section"), F.col("name").alias("metric"),
                                   size_pretty("bytes").alias("value")))

@@ -23,7 +23,7 @@ from collections.abc import Mapping, Sequence
 from datetime import date, datetime, timedelta
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from eventide.functions.timefns import ts_literal
 from eventide.operators import rollups as R
@@ -75,8 +75,9 @@ def read_rollup(spark: SparkSession, store: str, name: str) -> DataFrame:
     return spark.read.parquet(cur[1])
 
 
-def _write_version(store: str, name: str, df: DataFrame, version: int, sort_cols=()) -> str:
-    """Write one version directory (invisible until published).
+def _write_version(store: str, name: str, df: DataFrame, version: int, sort_cols=()) -> tuple[str, int]:
+    """Write one version directory (invisible until published); its path and
+    its rows, counted while they are written.
 
     The directory name carries a unique suffix: if a refresh dies after
     writing data but before publishing, the orphan stays invisible and a
@@ -84,16 +85,17 @@ def _write_version(store: str, name: str, df: DataFrame, version: int, sort_cols
     """
     path = f"{store}/{name}/v{version:06d}-{uuid.uuid4().hex[:8]}"
     out = df.sortWithinPartitions(*sort_cols) if sort_cols else df
-    out.write.mode("errorifexists").parquet(path)
-    return path
+    seen = Observation()
+    out.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(path)
+    return path, int(seen.get.get("rows") or 0)
 
 
 def _publish(spark: SparkSession, store: str, entries, as_of) -> None:
-    """Append one manifest row per (name, version, path) in one small write:
+    """Append one manifest row per (name, version, path, rows) in one small write:
     all listed versions become visible together."""
     ts = str(as_of) if as_of is not None else datetime.utcnow().strftime("%Y-%m-%d %H:%M:%S")
     when = datetime.fromisoformat(ts)
-    rows = [(name, version, path, None, when) for name, version, path in entries]
+    rows = [(name, version, path, n, when) for name, version, path, n in entries]
     spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1).write.mode("append").parquet(f"{store}/{MANIFEST}")
 
 
@@ -119,8 +121,8 @@ def refresh_all(spark: SparkSession, events: DataFrame, store: str, as_of,
                 names: Sequence[str] = ("stats_totals", "stats_hourly", "stats_daily_users", "stats_geo_events"),
                 options: Mapping[str, Mapping] | None = None, use_cube: bool = True,
                 parallel: int = 8) -> DataFrame:
-    """M1: full refresh of ``names`` in order; returns (rollup, version, seconds)
-    (rows and bytes per rollup: :func:`inventory`).  The new versions are
+    """M1: full refresh of ``names`` in order; returns (rollup, version, rows, seconds)
+    (bytes per rollup: :func:`inventory`).  The new versions are
     published together by one manifest append after all are written.
 
     With ``use_cube`` the raw events are scanned once into the hourly base
@@ -135,8 +137,8 @@ def refresh_all(spark: SparkSession, events: DataFrame, store: str, as_of,
     def one(name):
         t0 = time.time()
         version = versions.get(name, 0) + 1
-        path = _write_version(store, name, _build(name, src, as_of, options), version, SORT_KEYS.get(name, ()))
-        return (name, version, path), (name, version, round(time.time() - t0, 3))
+        path, n = _write_version(store, name, _build(name, src, as_of, options), version, SORT_KEYS.get(name, ()))
+        return (name, version, path, n), (name, version, n, round(time.time() - t0, 3))
 
     if parallel > 1 and len(names) > 1:
         # Independent jobs over the same cube: submitted concurrently, the
@@ -150,7 +152,7 @@ def refresh_all(spark: SparkSession, events: DataFrame, store: str, as_of,
     entries = [d[0] for d in done]
     report = [d[1] for d in done]
     _publish(spark, store, entries, as_of)
-    return spark.createDataFrame(report, "rollup string, version long, seconds double")
+    return spark.createDataFrame(report, "rollup string, version long, rows long, seconds double")
 
 
 def touched_dates(load: DataFrame, ts: str = "event_time") -> list[str]:
@@ -193,7 +195,7 @@ def refresh_dates(spark: SparkSession, store: str, name: str, events: DataFrame,
     fresh = _build(name, on_dates(events, dates), as_of, options)
     new = kept.unionByName(fresh.select(*old.columns))
     version = current_version(spark, store, name)[0] + 1
-    _publish(spark, store, [(name, version, _write_version(store, name, new, version, SORT_KEYS.get(name, ())))],
+    _publish(spark, store, [(name, version, *_write_version(store, name, new, version, SORT_KEYS.get(name, ())))],
              as_of)
     return read_rollup(spark, store, name)
 

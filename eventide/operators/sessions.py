@@ -101,17 +101,19 @@ def session_state(labelled: DataFrame, number_col: str, previous: DataFrame | No
 
 def session_windows(events: DataFrame, gap: str = "30 minutes", *, user: str = "user_id",
                     ts: str = "event_time") -> DataFrame:
-    """Aggregate form of sessionization (Spark's ``session_window``):
-    one row per (user, session window) with its event count.  Unlike
-    :func:`sessionize` a gap *equal* to the limit merges."""
-    return (events.groupBy(user, F.session_window(ts, gap).alias("session"))
-            .agg(F.count(F.lit(1)).alias("events_count"))
-            .select(user, F.col("session.start").alias("started_at"),
-                    F.col("session.end").alias("window_end"), "events_count"))
-
-
-def _first_by(col: str, ts: str, tiebreak: str) -> Column:
-    return F.min_by(F.col(col), F.struct(F.col(ts), F.col(tiebreak)))
+    """Aggregate form of sessionization: one row per (user, session
+    window) with its event count, the rows of Spark's ``session_window``.
+    That operator sorts all of a user's events in one task; here
+    :func:`sessionize` labels them per (user, bucket) and the labels are
+    aggregated.  Events without a user form sessions of their own; those
+    without a time are in none."""
+    key = F.coalesce(F.concat(F.lit("u"), F.col(user).cast("string")), F.lit("none"))
+    e = events.where(F.col(ts).isNotNull()).select(key.alias("_key"), F.col(user), F.col(ts))
+    e = sessionize(e, gap, user="_key", ts=ts, tiebreak=ts, out="_label", number_col="_number")
+    end = F.timestamp_add("MICROSECOND", F.lit(interval_micros(gap)).cast("long"), F.max(ts))
+    return (e.groupBy("_key", user, "_number")
+            .agg(F.min(ts).alias("started_at"), end.alias("window_end"), F.count(F.lit(1)).alias("events_count"))
+            .drop("_key", "_number"))
 
 
 def _last_by(col: str, ts: str, tiebreak: str) -> Column:
@@ -144,8 +146,9 @@ def utm(df: DataFrame, url_col: str = "landing_page", names: Sequence[str] = UTM
 def landing_exit(events: DataFrame, *, session: str = "session_id", url: str = "page_url",
                  ts: str = "event_time", tiebreak: str = "id") -> DataFrame:
     """D3: first and last page of every session."""
-    return events.groupBy(session).agg(_first_by(url, ts, tiebreak).alias("landing_page"),
-                                       _last_by(url, ts, tiebreak).alias("exit_page"))
+    ends = events.groupBy(session).agg(F.min(F.struct(ts, tiebreak, url)).alias("_first"),
+                                       F.max(F.struct(ts, tiebreak, url)).alias("_last"))
+    return ends.select(session, F.col("_first")[url].alias("landing_page"), F.col("_last")[url].alias("exit_page"))
 
 
 def sessions(events: DataFrame, *, page_view: str = "page_view", click: str = "click",
@@ -155,12 +158,15 @@ def sessions(events: DataFrame, *, page_view: str = "page_view", click: str = "c
 
     One aggregation keyed by session (map-side partial aggregation, so a
     huge session does not land in one task unaggregated).  Attributes that
-    may change inside a session take the value of its first event.
+    may change inside a session take the value of its first event; the
+    first and the last event are carried as one struct each.
     """
     cols = set(events.columns)
+    firsts = [c for c in ("page_url", "device_type", "browser", "country_code") if c in cols]
+    lasts = [c for c in ("page_url",) if c in cols]
 
-    def attr(c):
-        return _first_by(c, ts, tiebreak) if c in cols else F.lit(None).cast("string")
+    def attr(c, end="_first"):
+        return F.col(end)[c] if c in cols else F.lit(None).cast("string")
 
     s = events.groupBy(F.col("session_id").alias("id")).agg(
         F.min("user_id").alias("user_id"),
@@ -170,12 +176,12 @@ def sessions(events: DataFrame, *, page_view: str = "page_view", click: str = "c
         F.count_if(F.col("event_type") == click).alias("clicks"),
         F.count_if(F.col("event_type") == form_submit).alias("form_submits"),
         F.count(F.lit(1)).alias("events_count"),
-        attr("page_url").alias("landing_page"),
-        (_last_by("page_url", ts, tiebreak) if "page_url" in cols else F.lit(None).cast("string")).alias("exit_page"),
-        attr("device_type").alias("device_type"),
-        attr("browser").alias("browser"),
-        attr("country_code").alias("country_code"),
+        F.min(F.struct(ts, tiebreak, *firsts)).alias("_first"),
+        F.max(F.struct(ts, tiebreak, *lasts)).alias("_last"),
     )
+    s = s.withColumns({"landing_page": attr("page_url"), "exit_page": attr("page_url", "_last"),
+                       "device_type": attr("device_type"), "browser": attr("browser"),
+                       "country_code": attr("country_code")})
     s = s.withColumn("duration_seconds",
                      F.floor(F.timestamp_diff("MICROSECOND", F.col("started_at"), F.col("ended_at")) / F.lit(1_000_000)))
     s = utm(s, "landing_page", utm_names, list(UTM_PARAMS))

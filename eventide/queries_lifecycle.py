@@ -102,9 +102,12 @@ def p7(spark, sf):
     return Q.count_rows(Q.in_window(_stored_orders(spark, sf), "2001-01-15 00:00:00"))
 
 
-@register("p5_partition_bytes")
+@register("p5_partition_bytes", f"SELECT *, TRUE AS has_bytes FROM ({_P5_SQL})")
 def p5b(spark, sf):
-    return P.list_partitions(_stored_orders(spark, sf), with_bytes=True)
+    found = P.list_partitions(_stored_orders(spark, sf), with_bytes=True)
+    at = lambda c: F.col(c).cast("timestamp_ntz").alias(c)
+    return found.select("partition_name", "row_count", at("first_event"), at("last_event"),
+                        (F.col("total_size") > 0).alias("has_bytes"))
 
 
 # ---- ingest ---------------------------------------------------------------
@@ -234,17 +237,43 @@ def s8(spark, sf):
 
 # ---- refresh --------------------------------------------------------------
 
-from eventide.queries_rollup import R2_SQL, R3_SQL  # noqa: E402
+from eventide.queries_rollup import R1_SQL, R2_SQL, R3_SQL, R4_SQL, REFRESH_OPTIONS, stored  # noqa: E402
 
-_M_OPTIONS = {"stats_hourly": {"delay_digits": 6}}
+_SCRIPTED = {"stats_totals": R1_SQL, "stats_hourly": R2_SQL, "stats_daily_users": R3_SQL, "stats_geo_events": R4_SQL}
 
 
-@register("m1_refresh_all_hourly", R2_SQL)
-def m1(spark, sf):
+def _refreshed(spark, sf):
     store = scratch_dir(spark, "rollups")
     ev = D.events(spark, sf, country=True, sessions=True)
-    M.refresh_all(spark, ev, store, AS_OF, options=_M_OPTIONS)
-    return M.read_rollup(spark, store, "stats_hourly")
+    return store, M.refresh_all(spark, ev, store, AS_OF, options=REFRESH_OPTIONS)
+
+
+@register("m1_refresh_all_hourly", R2_SQL)
+def m1(spark, sf):
+    return M.read_rollup(spark, _refreshed(spark, sf)[0], "stats_hourly")
+
+
+@register("m1_refresh_totals", R1_SQL)
+def m1_totals(spark, sf):
+    return stored(spark, sf, "stats_totals")
+
+
+@register("m1_refresh_daily_users", R3_SQL)
+def m1_daily(spark, sf):
+    return stored(spark, sf, "stats_daily_users")
+
+
+@register("m1_refresh_geo", R4_SQL)
+def m1_geo(spark, sf):
+    return stored(spark, sf, "stats_geo_events")
+
+
+@register("m1_refresh_rows",
+          " UNION ALL ".join(f"SELECT '{n}' AS rollup, 1 AS version, (SELECT count(*) FROM ({q})) AS rows"
+                             for n, q in _SCRIPTED.items()))
+def m1_rows(spark, sf):
+    """Rows of every rollup as counted by the refresh."""
+    return _refreshed(spark, sf)[1].select("rollup", F.col("version").cast("int").alias("version"), "rows")
 
 
 @register("m2_refresh_dates_daily_users", R3_SQL)
@@ -266,26 +295,29 @@ def m3(spark, sf):
 
 
 @register("m4_freshness",
-          "SELECT 'stats_totals' AS view_name, TIMESTAMP '2024-01-31 00:00:00' AS last_refresh, "
-          "CAST(3600 AS BIGINT) AS age_seconds, CAST(300 AS BIGINT) AS allowance_seconds, 'STALE' AS status "
-          "FROM (SELECT count(*) FROM events) "
-          "UNION ALL SELECT 'mv_stats_total', TIMESTAMP '2024-01-31 00:00:00', 3600, 3600, 'FRESH' "
-          "FROM (SELECT count(*) FROM events)")
+          "WITH l AS (SELECT 'mv_stats_total' AS view_name, max(ts) AS last_refresh, 3600 AS allowance FROM events "
+          "UNION ALL SELECT 'mv_hourly_stats', max(ts), 86400 FROM events WHERE ts < TIMESTAMP '2024-01-16 00:00:00'), "
+          "a AS (SELECT *, date_diff('microsecond', last_refresh, (SELECT max(ts) FROM events)) // 1000000 AS age FROM l) "
+          "SELECT view_name, last_refresh, CAST(age AS BIGINT) AS age_seconds, CAST(allowance AS BIGINT) AS allowance_seconds, "
+          "CASE WHEN age > allowance THEN 'STALE' ELSE 'FRESH' END AS status FROM a")
 def m4(spark, sf):
-    ev = D.events(spark, sf, sessions=True)
-    r1 = R.stats_totals(ev, AS_OF).select(F.lit("stats_totals").alias("view_name"),
-                                          F.col("updated_at").alias("last_refresh"))
-    r7 = R.mv_stats_total(D.events(spark, sf), AS_OF).select(F.lit("mv_stats_total").alias("view_name"),
-                                                             F.col("refreshed_at").alias("last_refresh"))
-    return M.freshness(r1.unionByName(r7), "2024-01-31 01:00:00",
-                       {"stats_totals": 300, "mv_stats_total": 3600})
-
-
-@register("m5_rollup_inventory")
+    """Two rollups refreshed as of the last event they saw; the log read from the manifest."""
+    store, ev = scratch_dir(spark, "rollups"), D.events(spark, sf)
+    latest = {}
+    for name, part in (("mv_hourly_stats", ev.where(F.col("event_time") < F.lit("2024-01-16 00:00:00").cast("timestamp_ntz"))),
+                       ("mv_stats_total", ev)):
+        latest[name] = part.agg(F.max("event_time")).collect()[0][0]
+        M.refresh_all(spark, part, store, str(latest[name]), names=[name], use_cube=False)
+    return M.freshness(M.refresh_log(spark, store), str(latest["mv_stats_total"]),
+                       {"mv_stats_total": 3600, "mv_hourly_stats": 86400})
+
+
+@register("m5_rollup_inventory",
+          " UNION ALL ".join(f"SELECT '{n}' AS rollup, (SELECT count(*) FROM ({q})) AS rows, TRUE AS has_bytes"
+                             for n, q in _SCRIPTED.items()))
 def m5(spark, sf):
-    store = scratch_dir(spark, "rollups")
-    M.refresh_all(spark, D.events(spark, sf, country=True, sessions=True), store, AS_OF)
-    return M.inventory(spark, store)
+    found = M.inventory(spark, _refreshed(spark, sf)[0])
+    return found.select("rollup", "rows", (F.col("bytes") > 0).alias("has_bytes"))
 
 
 # ---- operator variants over whole tables ---------------------------------
@@ -313,6 +345,37 @@ def p4b(spark, sf):
     return kept.groupBy("event_month").agg(F.count(F.lit(1)).alias("rows"))
 
 
+@register("p4_unexpired_months",
+          "SELECT strftime(o_orderdate, '%Y_%m') AS event_month, count(*) AS rows FROM orders "
+          f"WHERE CAST(date_trunc('month', o_orderdate) AS DATE) >= DATE '{ORDERS_AS_OF}' - INTERVAL 12 MONTH "
+          "GROUP BY 1")
+def p4c(spark, sf):
+    kept = P.unexpired(_stored_orders(spark, sf), ORDERS_AS_OF, 12)
+    return kept.groupBy("event_month").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("p4_maintain_partitions",
+          "WITH m AS (SELECT DISTINCT CAST(date_trunc('month', o_orderdate) AS DATE) AS d FROM orders), "
+          f"c AS (SELECT CAST(unnest(generate_series(date_trunc('month', DATE '{ORDERS_AS_OF}') + INTERVAL 1 MONTH, "
+          f"date_trunc('month', DATE '{ORDERS_AS_OF}') + INTERVAL 2 MONTH, INTERVAL 1 MONTH)) AS DATE) AS d), "
+          "a AS (SELECT 'create' AS action, d FROM c WHERE d NOT IN (SELECT d FROM m) UNION ALL "
+          f"SELECT 'drop', d FROM m WHERE d < DATE '{ORDERS_AS_OF}' - INTERVAL 12 MONTH) "
+          "SELECT action, 'events_' || strftime(d, '%Y_%m') AS partition_name, d AS start_date FROM a")
+def p4d(spark, sf):
+    present = P.present_months(D.table(spark, sf, "orders"), ts="o_orderdate")
+    return P.maintain_partitions(spark, present, ORDERS_AS_OF, 12, 2)
+
+
+@register("fn_stable_uuid",
+          "WITH h AS (SELECT event_id AS id, sha256(event_id::VARCHAR || chr(1) || event_type) AS h FROM events) "
+          "SELECT id, substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-' || substr(h, 13, 4) || '-' || substr(h, 17, 4) "
+          "|| '-' || substr(h, 21, 12) AS key FROM h")
+def fn_uuid(spark, sf):
+    from eventide.functions.keys import stable_uuid
+    return D.table(spark, sf, "events").select(F.col("event_id").alias("id"),
+                                               stable_uuid("event_id", "event_type").alias("key"))
+
+
 @register("s6_stream_rejected",
           "SELECT event_id AS id, 'no_partition' AS reasons FROM events "
           "WHERE ts >= TIMESTAMP '2024-01-15 00:00:00'")

@@ -49,6 +49,19 @@ def _ev(spark, sf, **kw):
     return D.events(spark, sf, **kw)
 
 
+REFRESH_OPTIONS = {"stats_hourly": {"delay_digits": 6}, "stats_geo_events": {"event_types": GEO_TYPES}}
+
+
+def stored(spark, sf, name):
+    """The rollup ``name`` read back from a store that a full refresh has just written."""
+    from eventide.operators import refresh as M
+    from eventide.session import scratch_dir
+    store = scratch_dir(spark, "rollups")
+    M.refresh_all(spark, _ev(spark, sf, country=True, sessions=True), store, AS_OF, names=[name],
+                  options=REFRESH_OPTIONS)
+    return M.read_rollup(spark, store, name)
+
+
 @register("r1_stats_totals", R1_SQL)
 def r1(spark, sf):
     return R.stats_totals(_ev(spark, sf, sessions=True), AS_OF)
@@ -91,21 +104,21 @@ def r8(spark, sf):
 
 @register("rq1_totals", R1_SQL)
 def rq1(spark, sf):
-    return R.rq1_totals(R.stats_totals(_ev(spark, sf, sessions=True), AS_OF))
+    return R.rq1_totals(stored(spark, sf, "stats_totals"))
 
 
 @register("rq2_recent_7d",
           f"WITH h AS ({R2_SQL}) SELECT CAST(sum(event_count) AS BIGINT) AS total_events, "
           f"CAST(sum(unique_users) AS BIGINT) AS user_hours FROM h WHERE hour >= {ts(LO_7D)}")
 def rq2(spark, sf):
-    return R.rq2_recent(R.stats_hourly(_ev(spark, sf, country=True, sessions=True)), AS_OF, 7)
+    return R.rq2_recent(stored(spark, sf, "stats_hourly"), AS_OF, 7)
 
 
 @register("rq3_by_type_24h",
           f"WITH h AS ({R2_SQL}) SELECT event_type, CAST(sum(event_count) AS BIGINT) AS count, "
           f"CAST(sum(unique_users) AS BIGINT) AS user_hours FROM h WHERE hour >= {ts(LO_24H)} GROUP BY event_type")
 def rq3(spark, sf):
-    return R.rq3_by_type(R.stats_hourly(_ev(spark, sf, country=True, sessions=True)), AS_OF, 24)
+    return R.rq3_by_type(stored(spark, sf, "stats_hourly"), AS_OF, 24)
 
 
 @register("rq4_top_users_30d",
@@ -113,7 +126,7 @@ def rq3(spark, sf):
           "CAST(sum(session_count) AS BIGINT) AS session_days FROM d WHERE date >= DATE '2024-01-01' "
           "GROUP BY user_id ORDER BY total_events DESC, user_id LIMIT 100")
 def rq4(spark, sf):
-    return R.rq4_top_users(R.stats_daily_users(_ev(spark, sf, sessions=True)), AS_OF, 30, 100)
+    return R.rq4_top_users(stored(spark, sf, "stats_daily_users"), AS_OF, 30, 100)
 
 
 @register("rq6_geo_7d",
@@ -122,8 +135,7 @@ def rq4(spark, sf):
           f"AND event_type IN ({', '.join(repr(t) for t in RQ6_TYPES)}) GROUP BY 1, 2 "
           "ORDER BY total_events DESC, country_code NULLS FIRST, event_type LIMIT 50")
 def rq6(spark, sf):
-    return R.rq6_geo(R.stats_geo_events(_ev(spark, sf, country=True, sessions=True), GEO_TYPES), AS_OF, 7,
-                     RQ6_TYPES, 50)
+    return R.rq6_geo(stored(spark, sf, "stats_geo_events"), AS_OF, 7, RQ6_TYPES, 50)
 
 
 @register("x9_densified_daily_types",
@@ -138,10 +150,17 @@ def x9(spark, sf):
     return R.densify(counts, ev, "2024-01-01", "2024-01-31")
 
 
-@register("m7_merged_unique_users")
+@register("m7_merged_unique_users",
+          "SELECT event_type, count(DISTINCT user_id) AS unique_users, TRUE AS within_5_pct FROM events GROUP BY 1")
 def m7(spark, sf):
-    hourly = R.mv_hourly_stats(_ev(spark, sf), sketch="users_sketch")
-    return R.merge_uniques(hourly, ["event_type"])
+    """Distinct users merged from the hourly sketches, held against the exact count."""
+    ev = _ev(spark, sf)
+    merged = R.merge_uniques(R.mv_hourly_stats(ev, sketch="users_sketch"), ["event_type"])
+    exact = ev.groupBy(F.col("event_type").alias("t")).agg(F.count_distinct("user_id").alias("unique_users"))
+    off = F.abs(F.col("unique_users_est") - F.col("unique_users"))
+    return (exact.join(merged, F.col("t").eqNullSafe(F.col("event_type")), "left")
+            .select(F.col("t").alias("event_type"), "unique_users",
+                    F.coalesce(off <= F.col("unique_users") * 0.05, F.lit(False)).alias("within_5_pct")))
 
 
 @register("x7_first50_users_events",

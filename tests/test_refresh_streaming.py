@@ -107,3 +107,29 @@ def test_stream_ingest_restart_is_exactly_once(spark):
     St.stream_ingest(spark, f"{src}/*", out, ck, max_files_per_trigger=2)
     back = spark.read.parquet(out)
     assert back.count() == bound.count() and back.select("id").distinct().count() == bound.count()
+
+
+def test_manifest_has_row_counts_empty_input_too(spark):
+    from eventide.operators import refresh as M
+    from eventide.session import scratch_dir
+    from eventide.sources import driver as D
+    from tests.conftest import SF_SMALL
+    ev = D.events(spark, SF_SMALL, country=True, sessions=True)
+    for part in (ev, ev.where("id < 0")):
+        store = scratch_dir(spark, "rollup-rows")
+        said = {r.rollup: r.rows for r in M.refresh_all(spark, part, store, D.AS_OF).collect()}
+        assert said == {n: M.read_rollup(spark, store, n).count() for n in said} and said["stats_totals"] == 1
+    assert M.read_rollup(spark, store, "stats_totals").collect()[0].total_events == 0
+
+
+def test_refresh_of_dates_prunes_months_and_pushes_times(spark):
+    from eventide.operators import refresh as M
+    from eventide.plans.inspect import plan_text
+    from eventide.session import scratch_dir
+    from eventide.sources import driver as D
+    from eventide.sources import ingest as I
+    from tests.conftest import SF_SMALL
+    path = scratch_dir(spark, "refresh-store")
+    I.append_events(D.events(spark, SF_SMALL), path)
+    text = plan_text(M.on_dates(I.read_store(spark, path), ["2024-01-05", "2024-01-07"]))
+    assert "PartitionFilters: [isnotnull(event_month" in text and "GreaterThanOrEqual(event_time" in text

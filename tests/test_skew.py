@@ -53,3 +53,11 @@ def test_hot_key_duplicates_all_rejected(spark, skewed):
     hot = skewed.where("user_id = -1").count()
     assert bad.where(F.array_contains("reasons", "duplicate_key")).count() >= hot
     assert ok.count() + bad.count() == skewed.count()
+
+
+def test_hot_user_session_windows_match_the_built_in(spark, skewed):
+    ev = skewed.withColumn("user_id", F.when(F.col("id") % 7 != 0, F.col("user_id")))
+    want = (ev.groupBy("user_id", F.session_window("event_time", "4 hours").alias("w")).agg(F.count(F.lit(1)).alias("n"))
+            .select("user_id", F.col("w.start").cast("timestamp_ntz"), F.col("w.end").cast("timestamp_ntz"), "n"))
+    got = S.session_windows(ev, "4 hours").select("user_id", "started_at", "window_end", "events_count")
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
