@@ -61,12 +61,6 @@ def interval_micros(text: str | int | float) -> int:
     return total
 
 
-def seconds_between(start: Column | str, end: Column | str) -> Column:
-    """(end - start) in fractional seconds, exact to the microsecond."""
-    return F.timestamp_diff("MICROSECOND", F.col(start) if isinstance(start, str) else start,
-                            F.col(end) if isinstance(end, str) else end) / F.lit(1e6)
-
-
 def avg_seconds(sum_us: Column, n: Column, digits: int | None = None) -> Column:
     """Average of microsecond durations, in seconds, from (exact sum, count).
 
@@ -119,11 +113,6 @@ def month_of_key(name: Column | str, prefix: str = "events_") -> Column:
     return F.to_date(F.regexp_extract(name, re.escape(prefix) + r"([0-9]{4}_[0-9]{2})", 1), "yyyy_MM")
 
 
-def pct(part: Column, whole: Column, digits: int = 2) -> Column:
-    """round(100 * part / NULLIF(whole, 0), digits) as DOUBLE."""
-    return F.round(F.lit(100.0) * part.cast("double") / F.nullif(whole.cast("double"), F.lit(0.0)), digits)
-
-
 # The unit ladder of a human-readable byte size, and the
 # limit below which a unit is kept (10 * 1024 of it).
 _SIZE_UNITS = ["bytes", "kB", "MB", "GB", "TB", "PB"]

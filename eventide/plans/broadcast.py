@@ -53,9 +53,3 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS,
                       max_bytes: int = DEFAULT_MAX_BYTES) -> DataFrame:
     rows, nbytes = side_size(df, max_rows)
     return F.broadcast(df) if rows <= max_rows and nbytes <= max_bytes else df
-
-
-def join_dimension(facts: DataFrame, dim: DataFrame, on, how: str = "left",
-                   max_rows: int = DEFAULT_MAX_ROWS, max_bytes: int = DEFAULT_MAX_BYTES) -> DataFrame:
-    """Join a fact table to a dimension; broadcast the dimension if bounded."""
-    return facts.join(bounded_broadcast(dim, max_rows, max_bytes), on=on, how=how)

@@ -170,5 +170,5 @@ def m7(spark, sf):
 def x7(spark, sf):
     from eventide.operators.subsets import first_keys, restrict_to
     ev = _ev(spark, sf)
-    sub = restrict_to(ev, first_keys(ev, "user_id", 50), "user_id")
+    sub = restrict_to(ev, first_keys(ev, "user_id", 50), "user_id", bounded=True)
     return sub.groupBy("user_id").agg(F.count(F.lit(1)).alias("events"), F.min("event_time").alias("first_event"))
