@@ -92,7 +92,8 @@ def main() -> None:
 
     def refresh():
         rstores.append(scratch_dir(spark, "bench-rollups"))
-        M.refresh_all(spark, ev, rstores[-1], as_of, names=names)
+        M.refresh_all(spark, ev, rstores[-1], as_of, names=names,
+                      options={"stats_geo_events": {"event_types": ["view", "click", "signup"]}})
 
     timed("refresh_all", refresh, "call")
     rstore = rstores[-1]

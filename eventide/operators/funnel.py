@@ -6,8 +6,8 @@ within ``horizon`` of it when given).  Each step is one join of the
 step-k events with the per-user step-(k-1) times (one row per user) and
 one map-side-combined min per user; no per-user event lists are built.
 A user's events are dealt over ``splits`` tasks by a salt from the event
-time; the one-row side is repeated per salt, and the minima per (user,
-salt) are combined per user.
+time and the one-row side is repeated per salt; each task's minima are
+then combined per user.
 
 Each step's per-user table feeds both its count and the next step, so it
 is written once to the shared folder (``materialize``); otherwise every
@@ -42,8 +42,7 @@ def funnel(events: DataFrame, steps: Sequence[str], horizon: str | None = None,
                 .where(F.col(ts) > F.col("_t")))
         if horizon:
             cand = cand.where(F.timestamp_diff("MICROSECOND", F.col("_t"), F.col(ts)) <= interval_micros(horizon))
-        reached = materialize(cand.groupBy(user, "_salt").agg(F.min(ts).alias("_t"))
-                              .groupBy(user).agg(F.min("_t").alias("_t")), "funnel-step")
+        reached = materialize(cand.groupBy(user).agg(F.min(ts).alias("_t")), "funnel-step")
         counts.append(reached.agg(F.count(F.lit(1)).alias("users")).withColumn("step", F.lit(k))
                       .withColumn("event_type", F.lit(step)))
     out = counts[0]
