@@ -4,31 +4,99 @@ For each participant the dialogue is rendered with that speaker's turns as ``ass
 speakers' as ``user`` with their name, and system turns as they are.  The
 loss mask is the list of character spans of the speaker's own turns, each with its end mark.
 
-A dialogue is cut into parts of ``TURNS`` consecutive turn numbers, so no row
-grows with a very long dialogue; a part is rendered for the participants that speak in it.
-Turns of one number order by role, then text; null numbers form a part of their own.
+``dialogues`` cuts a dialogue into parts of ``TURNS`` rows by running position, so no row grows with a
+long dialogue, also if its turn numbers repeat or are null; null conv_ids are one dialogue.
+A part is rendered for the participants that speak in it.
+Turns order by number (null first), role, then text; where more than ``TURNS`` different turns
+share one number, a digest of role and text comes before these two.
+``perspectives`` cuts by turn number instead (``TURNS`` consecutive numbers, null numbers a part of
+their own), so a part is as large as its repeated or null numbers make it.
 A null role speaks as ``unknown``, a null text is empty; repeated rows are repeated turns.
 ``<|`` inside a text is written ``< |``, so a text cannot end its own turn.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
+
+from eventide.plans.broadcast import bounded_broadcast
+from eventide.plans.lineage import materialize
 
 TURNS = 256
+#: Buckets that the different turns of one number are dealt over.
+SUBS = 4096
 SYSTEM = "system"
 _END = "<|im_end|>"
 
 
+def _rows(turns: DataFrame, conv_id: str, turn: str, role: str, text: str) -> DataFrame:
+    return turns.select(F.col(conv_id).alias("conv_id"), F.col(turn).alias("turn"),
+                        F.coalesce(F.col(role), F.lit("unknown")).alias("role"),
+                        F.replace(F.coalesce(F.col(text), F.lit("")), F.lit("<|"), F.lit("< |")).alias("text"))
+
+
 def perspectives(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role",
                  text: str = "text") -> DataFrame:
     """One row per dialogue part and participant: conv_id, part, participant, n_turns, text, loss_spans, loss_chars."""
-    rows = turns.select(F.col(conv_id).alias("conv_id"), F.floor(F.col(turn) / TURNS).cast("long").alias("part"),
-                        F.col(turn).alias("turn"), F.coalesce(F.col(role), F.lit("unknown")).alias("role"),
-                        F.replace(F.coalesce(F.col(text), F.lit("")), F.lit("<|"), F.lit("< |")).alias("text"))
+    rows = _rows(turns, conv_id, turn, role, text).withColumn("part", F.floor(F.col("turn") / TURNS).cast("long"))
     parts = rows.groupBy("conv_id", "part").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
+    return render(with_speakers(parts))
+
+
+def dialogues(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role",
+              text: str = "text") -> DataFrame:
+    """The rows of ``perspectives`` with parts of at most ``TURNS`` rows each, numbered from 0."""
+    rows = _rows(turns, conv_id, turn, role, text)
+    long = rows.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > TURNS)
+    long = materialize(long.select(F.col("conv_id").alias("long_id")), "chat-long")
+    side, same = bounded_broadcast(long), F.col("conv_id").eqNullSafe(F.col("long_id"))
+    short = (rows.join(side, same, "left_anti").groupBy("conv_id")
+             .agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
+             .select("conv_id", F.lit(0).cast("long").alias("part"), "turns"))
+    if long.isEmpty():
+        return render(with_speakers(short))
+    return render(with_speakers(short.unionByName(long_parts(rows.join(side, same, "left_semi")))))
+
+
+def long_parts(rows: DataFrame) -> DataFrame:
+    """(conv_id, part, turns) of dialogues of any length.
+
+    Equal rows become one with their number; counts per (conv_id, turn, sub-bucket) are summed
+    along the dialogue, and a running sum inside a bucket is added.  No task sees a whole dialogue,
+    nor all turns of one number.
+    """
+    rows = rows.groupBy("conv_id", "turn", "role", "text").agg(F.count(F.lit(1)).alias("n"))
+    sub = F.pmod(F.xxhash64("role", "text"), F.lit(SUBS)).cast("int")
+    rows = materialize(rows.withColumn("sub", sub), "chat-turns")
+    counts = rows.groupBy("conv_id", "turn", "sub").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("kinds"))
+    numbers = counts.groupBy("conv_id", "turn").agg(F.sum("n").alias("n"), F.sum("kinds").alias("kinds"))
+    before = lambda w: F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")
+    numbers = numbers.select(F.col("conv_id").alias("c"), F.col("turn").alias("t"), "kinds",
+                             before(Window.partitionBy("conv_id").orderBy("turn")).alias("begin"))
+    subs = counts.select("conv_id", "turn", "sub", before(Window.partitionBy("conv_id", "turn").orderBy("sub")).alias("inside"))
+    starts = subs.join(numbers, F.col("conv_id").eqNullSafe(F.col("c")) & F.col("turn").eqNullSafe(F.col("t")))
+    crowded = F.col("kinds") > TURNS
+    starts = starts.select("c", "t", F.col("sub").alias("s"), F.when(crowded, F.col("sub")).otherwise(-1).alias("bucket"),
+                           (F.col("begin") + F.when(crowded, F.col("inside")).otherwise(0)).alias("start"))
+    placed = rows.join(starts, F.col("conv_id").eqNullSafe(F.col("c")) & F.col("turn").eqNullSafe(F.col("t"))
+                       & (F.col("sub") == F.col("s")))
+    placed = placed.withColumn("at", F.col("start") + before(Window.partitionBy("conv_id", "turn", "bucket").orderBy("role", "text")))
+    first, last = F.col("at"), F.col("at") + F.col("n")
+    placed = placed.withColumn("part", F.explode(F.sequence(F.floor(first / TURNS), F.floor((last - 1) / TURNS))))
+    here = F.least(last, (F.col("part") + 1) * TURNS) - F.greatest(first, F.col("part") * TURNS)
+    parts = placed.groupBy("conv_id", "part").agg(F.sort_array(F.collect_list(
+        F.struct("at", F.struct("turn", "role", "text").alias("said"), here.cast("int").alias("times")))).alias("runs"))
+    return parts.select("conv_id", "part", F.flatten(
+        F.transform("runs", lambda r: F.array_repeat(r["said"], r["times"]))).alias("turns"))
+
+
+def with_speakers(parts: DataFrame) -> DataFrame:
     speakers = F.array_distinct(F.filter(F.col("turns.role"), lambda r: r != SYSTEM))
-    parts = parts.select("conv_id", "part", "turns", F.explode(speakers).alias("participant"))
+    return parts.select("conv_id", "part", "turns", F.explode(speakers).alias("participant"))
+
+
+def render(parts: DataFrame) -> DataFrame:
+    """The rendering of every (conv_id, part, turns, participant)."""
     me = F.col("participant")
     head = lambda t: F.concat(F.lit("<|im_start|>"), F.when(t["role"] == SYSTEM, F.lit(SYSTEM))
                               .when(t["role"] == me, F.lit("assistant"))

@@ -232,4 +232,4 @@ FROM o GROUP BY conv_id, part, participant
 def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every participant's perspective of every conversation."""
     from eventide.llm import chat
-    return chat.perspectives(table(spark, sf_dir, "conversations"))
+    return chat.dialogues(table(spark, sf_dir, "conversations"))

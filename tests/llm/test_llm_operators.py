@@ -347,6 +347,28 @@ def test_chat_perspectives(spark):
         assert [r.text[a:b] for a, b in spans] == [(t or "").replace("<|", "< |") + "<|im_end|>" for t in own]
 
 
+def test_chat_parts_are_bounded_by_rows(spark):
+    """Repeated and null turn numbers, equal rows and a null conv_id: no part above TURNS rows, none lost."""
+    rows = [(1, 0, "ann", f"a{i}") for i in range(700)] + [(1, 1, "bob", "same")] * 600 + [(1, None, "ann", "x")] * 300
+    rows += [(None, None, "ann", f"n{i % 400}") for i in range(800)] + [(2, i, "ann", f"t{i}") for i in range(300)]
+    rows += [(3, 5, "bob", "b"), (3, 5, "ann", "a"), (3, None, "ann", "c")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    said, parts = {}, {}
+    for r in chat.dialogues(df.repartition(5)).collect():
+        assert 0 < r.n_turns <= chat.TURNS
+        spans = [tuple(map(int, s.split("-"))) for s in r.loss_spans.split(",")]
+        said.setdefault(r.conv_id, []).extend((r.participant, r.text[a:b - 10]) for a, b in spans)
+        parts.setdefault(r.conv_id, {})[r.part] = r
+    want = {}
+    for c, _, role, text in rows:
+        want.setdefault(c, []).append((role, text))
+    assert {c: sorted(v) for c, v in said.items()} == {c: sorted(v) for c, v in want.items()}
+    assert {c: sorted(p) for c, p in parts.items()} == {1: list(range(7)), None: list(range(4)), 2: [0, 1], 3: [0]}
+    assert [re.findall("t\\d+(?=<)", parts[2][n].text) for n in (0, 1)] == [
+        [f"t{i}" for i in range(256)], [f"t{i}" for i in range(256, 300)]]
+    assert re.findall(r"\n(\w)<\|im_end", parts[3][0].text) == ["c", "a", "b"]
+
+
 def test_queries_registered_once_per_operator():
     assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
     assert set(ORACLE) == {"op1_licenses", "op3_urls", "op6_mixing", "op9_chat"}
