@@ -6,11 +6,13 @@ loss mask is the list of character spans of the speaker's own turns, each with i
 
 ``dialogues`` cuts a dialogue into parts of ``TURNS`` rows by running position, so no row grows with a
 long dialogue, also if its turn numbers repeat or are null; null conv_ids are one dialogue.
-A part is rendered for the participants that speak in it.
+Every part is rendered for every participant of the whole dialogue, so a participant's parts, put
+together in order, are the whole rendering, each turn once; spans count from the start of their part.
 Turns order by number (null first), role, then text; where more than ``TURNS`` different turns
 share one number, a digest of role and text comes before these two.
 ``perspectives`` cuts by turn number instead (``TURNS`` consecutive numbers, null numbers a part of
-their own), so a part is as large as its repeated or null numbers make it.
+their own), so a part is as large as its repeated or null numbers make it, and renders a part only for
+those who speak in it.
 A null role speaks as ``unknown``, a null text is empty; repeated rows are repeated turns.
 ``<|`` inside a text is written ``< |``, so a text cannot end its own turn.
 """
@@ -23,6 +25,8 @@ from eventide.plans.broadcast import bounded_broadcast
 from eventide.plans.lineage import materialize
 
 TURNS = 256
+#: Groups that the parts of one dialogue are dealt over to meet its participants.
+SPLITS = 16
 #: Buckets that the different turns of one number are dealt over.
 SUBS = 4096
 SYSTEM = "system"
@@ -55,7 +59,8 @@ def dialogues(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn", ro
              .select("conv_id", F.lit(0).cast("long").alias("part"), "turns"))
     if long.isEmpty():
         return render(with_speakers(short))
-    return render(with_speakers(short.unionByName(long_parts(rows.join(side, same, "left_semi")))))
+    rows = rows.join(side, same, "left_semi")
+    return render(with_speakers(short).unionByName(with_participants(long_parts(rows), rows)))
 
 
 def long_parts(rows: DataFrame) -> DataFrame:
@@ -95,6 +100,14 @@ def with_speakers(parts: DataFrame) -> DataFrame:
     return parts.select("conv_id", "part", "turns", F.explode(speakers).alias("participant"))
 
 
+def with_participants(parts: DataFrame, rows: DataFrame) -> DataFrame:
+    """Every part with every participant of its dialogue; the parts of one dialogue are dealt over ``SPLITS`` groups."""
+    people = rows.filter(F.col("role") != SYSTEM).select(F.col("conv_id").alias("c"), F.col("role").alias("participant")).distinct()
+    people = people.withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(SPLITS - 1))))
+    met = parts.join(people, F.col("conv_id").eqNullSafe(F.col("c")) & (F.pmod("part", F.lit(SPLITS)) == F.col("g")))
+    return met.select("conv_id", "part", "turns", "participant")
+
+
 def render(parts: DataFrame) -> DataFrame:
     """The rendering of every (conv_id, part, turns, participant)."""
     me = F.col("participant")

@@ -356,7 +356,7 @@ def test_chat_parts_are_bounded_by_rows(spark):
     said, parts = {}, {}
     for r in chat.dialogues(df.repartition(5)).collect():
         assert 0 < r.n_turns <= chat.TURNS
-        spans = [tuple(map(int, s.split("-"))) for s in r.loss_spans.split(",")]
+        spans = [tuple(map(int, s.split("-"))) for s in r.loss_spans.split(",") if s]
         said.setdefault(r.conv_id, []).extend((r.participant, r.text[a:b - 10]) for a, b in spans)
         parts.setdefault(r.conv_id, {})[r.part] = r
     want = {}
@@ -369,6 +369,23 @@ def test_chat_parts_are_bounded_by_rows(spark):
     assert re.findall(r"\n(\w)<\|im_end", parts[3][0].text) == ["c", "a", "b"]
 
 
+def test_chat_parts_make_the_whole_rendering(spark):
+    """Every participant gets every part, also silent ones and parts of system turns only."""
+    rows = [(1, 0, "system", "be kind"), (1, 1, "ann", "hi"), (1, 2, "bob", "yo")]
+    rows += [(1, 3 + i, "ann", f"a{i}") for i in range(300)] + [(1, 400 + i, "system", f"s{i}") for i in range(300)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {(r.participant, r.part): r for r in chat.dialogues(df).collect()}
+    assert set(got) == {(who, part) for who in ("ann", "bob") for part in range(3)}
+    for who in ("ann", "bob"):
+        whole = "".join(got[who, part].text for part in range(3))
+        assert whole == "".join(
+            "<|im_start|>" + ("system" if role == "system" else "assistant" if role == who else f"user name={role}")
+            + f"\n{text}<|im_end|>\n" for _, _, role, text in rows)
+        assert sum(got[who, part].n_turns for part in range(3)) == len(rows)
+        assert sum(got[who, part].loss_chars for part in range(3)) == sum(len(t) + 10 for _, _, role, t in rows if role == who)
+    assert got["bob", 2].loss_spans == "" and got["bob", 2].loss_chars == 0
+
+
 def test_queries_registered_once_per_operator():
     assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
     assert set(ORACLE) == {"op1_licenses", "op3_urls", "op6_mixing", "op9_chat"}
