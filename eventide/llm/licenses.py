@@ -5,13 +5,18 @@ equivalent spellings unified, punctuation and white space as single spaces) and
 of that form is looked up among the digests of known licence texts with a hash join.  Every
 line of a text is looked up in the same way among one-line licence notices.
 
-DataFrame functions only.  The known digests are the fixed list below (a broadcast of that size).
+The known texts are the short licences below with their usual titles and wordings, and the whole
+texts in ``license_texts``, also without the appendix after their terms.  A text with another
+wording, or with names of its own inside a sentence, has no licence here.
+
+DataFrame functions only.  The known digests are these fixed lists (a broadcast of that size).
 Null and empty texts have the digest of the empty text and no licence; repeated rows give repeated results.
 """
 
 from __future__ import annotations
 
 from functools import reduce
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -28,7 +33,9 @@ EQUIVALENT = [
     ("realise", "realize"), ("recognise", "recognize"), ("signalling", "signaling"), ("sublicence", "sublicense"),
     ("utilisation", "utilization"), ("whilst", "while"), ("wilful", "willful"), ("https", "http"),
 ]
-_COPYRIGHT = r"(?m)^[^\p{L}\p{N}\n]*(copyright|\(c\)|©)[^\n]*([0-9]{4}|year|yyyy)[^\n]*$"
+# A line without a year needs the sign after the word: wrapped sentences can begin with "copyright" or "(c)".
+_COPYRIGHT = (r"(?m)^[^\p{L}\p{N}\n]*((copyright|\(c\)|©)[^\n]*([0-9]{4}|year|yyyy)"
+              r"|copyright[ \t]*(\(c\)|©)|©)[^\n]*$")
 _RESERVED = r"(?m)^[^\p{L}\p{N}\n]*all rights reserved[^\p{L}\p{N}\n]*$"
 _OTHER, _OTHER_IN_LINE = r"[^\p{L}\p{N}]+", r"[^\p{L}\p{N}\n]+"
 
@@ -62,7 +69,7 @@ WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWIS
 THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
 
 # Texts of public licences (their copyright lines are left out by the canonical form).
-LICENSES = [
+_BASE = [
     ("MIT", f"""MIT License
 
 Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
@@ -104,7 +111,83 @@ required.
 
 3. This notice may not be removed or altered from any source distribution."""),
 ]
-NOTICES = [
+_TITLES = {
+    "MIT": ["MIT License", "The MIT License", "The MIT License (MIT)", "MIT", "MIT Licensed", "Expat License"],
+    "ISC": ["ISC License", "The ISC License", "ISC", "ISC License (ISC)"],
+    "0BSD": ["BSD Zero Clause License", "Zero-Clause BSD", "Zero-Clause BSD License", "0BSD", "BSD 0-Clause License"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "The BSD 2-Clause License", "The 2-Clause BSD License", "BSD License",
+                     "The BSD License", "Simplified BSD License", 'BSD 2-Clause "Simplified" License', "FreeBSD License"],
+    "BSD-3-Clause": ["BSD 3-Clause License", "The BSD 3-Clause License", "The 3-Clause BSD License", "BSD License",
+                     "The BSD License", "New BSD License", "Modified BSD License", 'BSD 3-Clause "New" or "Revised" License'],
+    "Zlib": ["zlib License", "The zlib License", "zlib/libpng License", "The zlib/libpng License"],
+}
+#: Other usual wordings: (licence, what is replaced, by what).
+_WORDINGS = [
+    ("ISC", "copy, modify, and/or distribute", "copy, modify, and distribute"),
+    ("BSD", "SHALL THE COPYRIGHT HOLDER OR", "SHALL THE COPYRIGHT OWNER OR"),
+    ("BSD", "name of the copyright holder nor", "names of the copyright holders nor"),
+    ("BSD", "\n1. ", "\n* "),
+    ("Zlib", "\n1. ", "\n* "),
+]
+
+
+def _wordings(name: str, text: str) -> list[str]:
+    """The text under every usual title and without one, in every combination of the usual wordings."""
+    title = text.split("\n", 1)[0]
+    found = [text.split("\n", 1)[1] if title in _TITLES[name] else text]
+    for start, old, new in _WORDINGS:
+        if name.startswith(start) and old in found[0]:
+            both = [(old, new)] if not old.startswith("\n") else [(f"\n{n}. ", new) for n in (1, 2, 3)]
+            found += [reduce(lambda t, w: t.replace(*w), both, f"\n{f}")[1:] for f in found]
+    return [head + f for f in found for head in ["", *(t + "\n" for t in _TITLES[name] if t != title), f"{title}\n"]
+            if head != f"{title}\n" or title in _TITLES[name]]
+
+
+def _whole() -> list[tuple[str, str]]:
+    """(licence, text) of the files, whole and up to the end of their terms."""
+    found = []
+    for path in sorted((Path(__file__).parent / "license_texts").glob("*.txt")):
+        text = path.read_text("utf-8")
+        end = text.find("END OF TERMS AND CONDITIONS")
+        found += [(path.stem, text)] + ([(path.stem, text[:end]), (path.stem, text[:end] + "END OF TERMS AND CONDITIONS")]
+                                        if end > 0 else [])
+    return found
+
+
+LICENSES = _whole() + [(name, t) for name, text in _BASE for t in _wordings(name, text)]
+_NAMES = {
+    "MIT": ["MIT License", "MIT", "Expat License"], "ISC": ["ISC License"], "0BSD": ["Zero-Clause BSD License", "0BSD License"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "2-Clause BSD License", "Simplified BSD License"],
+    "BSD-3-Clause": ["BSD 3-Clause License", "3-Clause BSD License", "New BSD License", "Modified BSD License"],
+    "Zlib": ["zlib License"], "Unlicense": ["Unlicense"], "CC0-1.0": ["CC0 1.0", "CC0 1.0 Universal License"],
+    "Apache-2.0": ["Apache License, Version 2.0", "Apache License 2.0", "Apache License v2.0", "Apache 2.0 License", "Apache 2.0"],
+    "BSL-1.0": ["Boost Software License, Version 1.0", "Boost Software License 1.0"],
+    "EPL-2.0": ["Eclipse Public License, Version 2.0", "Eclipse Public License 2.0", "Eclipse Public License v2.0"],
+}
+for _id, _long, _short, _versions in [("GPL", "GNU General Public License", "GPL", ("1.0", "2.0", "3.0")),
+                                      ("LGPL", "GNU Lesser General Public License", "LGPL", ("2.1", "3.0")),
+                                      ("LGPL", "GNU Library General Public License", "LGPL", ("2.0",)),
+                                      ("AGPL", "GNU Affero General Public License", "AGPL", ("3.0",)),
+                                      ("GFDL", "GNU Free Documentation License", "GFDL", ("1.2", "1.3")),
+                                      ("MPL", "Mozilla Public License", "MPL", ("1.1", "2.0"))]:
+    for _v in _versions:
+        for _w in sorted({_v, _v.removesuffix(".0")}):
+            _NAMES.setdefault(f"{_id}-{_v}", []).extend(
+                [f"{_long}, version {_w}", f"{_long} v{_w}", f"{_long} {_w}", f"{_short} v{_w}", f"{_short}v{_w}", f"{_short} {_w}"])
+            _NAMES.setdefault(f"{_id}-{_v}-or-later", []).extend(
+                [f"{_long}, version {_w} or later", f"{_long}, version {_w} or any later version", f"{_short}v{_w} or later"])
+for _part, _words in [("BY", "Attribution"), ("BY-SA", "Attribution-ShareAlike"), ("BY-NC", "Attribution-NonCommercial"),
+                      ("BY-ND", "Attribution-NoDerivatives"), ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
+                      ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives")]:
+    for _v, _kind in [("1.0", "Generic"), ("2.0", "Generic"), ("2.5", "Generic"), ("3.0", "Unported"), ("4.0", "International")]:
+        _NAMES[f"CC-{_part}-{_v}"] = [f"CC {_part} {_v}", f"CC {_part} {_v} License"] + [
+            f"Creative Commons {_words} {_v}{x}" for x in ("", " License", f" {_kind}", f" {_kind} License")]
+_SENTENCES = [f"{start} under {the}{{}}" for start in (
+    "Released", "Licensed", "Distributed", "Available", "This work is licensed", "This project is licensed",
+    "This software is licensed", "This software is released") for the in ("", "the ")] + ["License: {}"]
+
+# One-line notices.
+_NOTICES = [
     ("MIT", "Released under the MIT License."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
@@ -112,6 +195,10 @@ NOTICES = [
     ("MIT", "SPDX-License-Identifier: MIT"),
     ("Apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
 ]
+NOTICES = _NOTICES + [(name, sentence.format(n)) for name, names in _NAMES.items() for n in names for sentence in _SENTENCES] + [
+    (name, f"SPDX-License-Identifier: {name}{x}") for name in _NAMES if not name.endswith("-or-later")
+    for x in ([""] if "GPL" not in name and "GFDL" not in name else ["", "-only"])] + [
+    (name, f"SPDX-License-Identifier: {name}") for name in _NAMES if name.endswith("-or-later") and "MPL" not in name]
 
 
 def with_canonical(rows: DataFrame, text: str) -> DataFrame:
@@ -134,22 +221,26 @@ def with_canonical(rows: DataFrame, text: str) -> DataFrame:
 
 
 def known(spark, texts) -> DataFrame:
-    """(digest, license), one row per digest."""
+    """(digest, license, first two words), one row per digest."""
     rows = with_canonical(spark.createDataFrame(texts, "license string, text string"), "text")
-    return rows.groupBy(F.sha2("__form", 256).alias("digest")).agg(F.min("license").alias("license"))
+    return rows.groupBy(F.sha2("__form", 256).alias("digest")).agg(
+        F.min("license").alias("license"), F.min(F.substring_index("__form", " ", 2)).alias("first"))
 
 
 def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", licenses=None, notices=None) -> DataFrame:
     """Per row: doc_id, digest, license (whole text), notices (comma-joined, of its lines), n_words."""
     spark = docs.sparkSession
     rows = with_canonical(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "text")
-    lines = [(r["digest"], r["license"]) for r in known(spark, notices or NOTICES).collect()]
-    table = F.create_map(*[F.lit(x) for pair in lines for x in pair])
-    of_line = F.transform(F.split("__lines", "\n"), lambda s: F.try_element_at(table, F.sha2(F.trim(s), 256)))
+    lines = known(spark, notices or NOTICES).collect()
+    table = F.map_from_arrays(*[F.split(F.lit("\n".join(r[c] for r in lines)), "\n") for c in ("digest", "license")])
+    # Only lines that begin as a notice does are looked up.
+    firsts = sorted({r["first"] for r in lines})
+    likely = F.filter(F.transform(F.split("__lines", "\n"), lambda s: F.trim(s)), lambda s: F.substring_index(s, " ", 2).isin(firsts))
+    of_line = F.transform(likely, lambda s: F.try_element_at(table, F.sha2(s, 256)))
     found = F.array_sort(F.array_distinct(F.filter(of_line, lambda x: x.isNotNull())))
     form = F.col("__form")
     words = F.when(form == "", F.lit(0)).otherwise(F.length(form) - F.length(F.replace(form, F.lit(" "), F.lit(""))) + 1)
     rows = rows.select("doc_id", F.sha2(form, 256).alias("digest"), words.cast("long").alias("n_words"), found.alias("found"))
-    return (rows.join(F.broadcast(known(spark, licenses or LICENSES)), "digest", "left")
+    return (rows.join(F.broadcast(known(spark, licenses or LICENSES).drop("first")), "digest", "left")
             .select("doc_id", "digest", "license",
                     F.when(F.size("found") > 0, F.array_join("found", ",")).alias("notices"), "n_words"))

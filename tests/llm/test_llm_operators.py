@@ -308,6 +308,22 @@ def test_licenses(spark, odd, empty):
     assert sorted(names) == sorted(n for n, _ in licenses.LICENSES)
 
 
+def test_licenses_usual_wordings(spark):
+    texts = dict(licenses._BASE)
+    mit, bsd = texts["MIT"].split("\n", 1)[1], texts["BSD-3-Clause"].split("\n", 1)[1]
+    apache, gpl = (open(f"{licenses.__file__[:-11]}license_texts/{n}.txt").read() for n in ("Apache-2.0", "GPL-2.0"))
+    rows = [("MIT", None, "The MIT License (MIT)\n\nCopyright (c) Microsoft Corporation.\n" + mit), ("MIT", None, mit),
+            ("MIT", None, "MIT License\n\nCopyright © The Authors\n\n" + mit), ("Apache-2.0", None, apache), ("GPL-2.0", None, gpl),
+            ("Apache-2.0", None, apache[:apache.index("END OF TERMS")]),
+            ("BSD-3-Clause", None, "Copyright (c) 2009 A\nAll rights reserved.\n" + bsd.replace("COPYRIGHT HOLDER OR", "COPYRIGHT OWNER OR")),
+            ("BSD-3-Clause", None, re.sub(r"\n[123]\. ", "\n * ", bsd)),
+            (None, "GPL-2.0", "x\nLicensed under the GNU General Public License, version 2.\ny"), (None, "CC-BY-4.0", "Licensed under CC BY 4.0."),
+            (None, "LGPL-2.1", "SPDX-License-Identifier: LGPL-2.1-only"), (None, None, "This work is licensed under other terms.\ncopyright notice")]
+    docs = spark.createDataFrame([(i, t) for i, (_, _, t) in enumerate(rows)], "doc_id long, text string")
+    got = {r.doc_id: (r.license, r.notices) for r in licenses.scan(docs).collect()}
+    assert [got[i] for i in range(len(rows))] == [(a, b) for a, b, _ in rows]
+
+
 def test_url_rules_and_templates(spark):
     rows = [(1, "http://A.Example.COM/en/1"), (2, "http://www.example.com/en/x?q"), (3, "http://x.www.example.com/en/"),
             (4, "https://a.net/es/1"), (5, "https://a.net/de/1"), (6, None), (7, "no scheme"), (8, "http://a.com"),
