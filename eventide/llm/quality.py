@@ -207,12 +207,14 @@ def sample(docs: DataFrame, labels: DataFrame, label: str = "quality", text: str
     texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("t")).join(F.broadcast(drawn), "id")
     sizes = {r["n"]: r["c"] for r in texts.groupBy("n").agg(F.max(F.length("t")).alias("c")).collect()}
     chars, kept = 0, []
-    for n in range(len(ids)):
+    for n, r in enumerate(ids):
+        if chars + (sizes.get(n) or 0) > max_chars:
+            continue
         chars += sizes.get(n) or 0
-        if n and chars > max_chars:
-            break
-        kept.append(n)
-    texts = texts.filter(F.col("n") < len(kept))
+        kept.append((r["id"], int(r["y"]), n))
+    if len(kept) < len(ids):
+        drawn = docs.sparkSession.createDataFrame(kept, "id long, y int, n int")
+        texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("t")).join(F.broadcast(drawn), "id")
 
     def make(values):
         doc, bucket = features([batches.text(v) for v in values], coder())

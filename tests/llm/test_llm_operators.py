@@ -171,6 +171,17 @@ def test_quality_held_out_and_odd(spark, odd, empty):
     assert quality.score(empty, model).count() == 0
 
 
+def test_quality_sample_skips_a_text_that_does_not_fit(spark):
+    """One long text early in the order does not end the sample."""
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    order = [r.doc_id for r in labels.filter(~langid.held_out(F.col("doc_id"), 5, 0))
+             .orderBy(F.xxhash64(F.lit("quality"), "doc_id"), "doc_id").collect()]
+    for place in (0, 1):
+        docs = spark.createDataFrame([(i, "ab cd " * (500 if i == order[place] else 5)) for i in range(60)], "doc_id long, text string")
+        rows, got = quality.sample(docs, labels, max_chars=2000)
+        assert len(rows) == len(got) == len(order) - 1 and set(got) == {0, 1}
+
+
 # ---- mixing ----------------------------------------------------------------
 
 def test_mixing_targets_limits_and_reruns(spark, odd, empty):
