@@ -233,3 +233,29 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every participant's perspective of every conversation."""
     from eventide.llm import chat
     return chat.dialogues(table(spark, sf_dir, "conversations"))
+
+
+_TERMS_OF = r"regexp_extract_all(translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{1}')"
+_OP13 = f"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, {_TERMS_OF.format("text", r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")} AS ts FROM documents),
+i AS (SELECT item_id, row_number() OVER () AS q, {_TERMS_OF.format("text", r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")} AS ts FROM benchmark),
+total AS (SELECT count(*) FILTER (len(ts) > 0) AS docs, sum(len(ts))::HUGEINT AS words FROM d),
+asked AS (SELECT q, term, count(*) AS times FROM (SELECT q, unnest(ts) AS term FROM i) GROUP BY ALL),
+held AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(ts) AS term FROM d)
+         WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+weighed AS (SELECT term, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+            FROM held, total GROUP BY term),
+norm AS (SELECT r, doc_id, (75 + (25 * len(ts)::HUGEINT * docs) // words)::BIGINT AS m FROM d, total WHERE len(ts) > 0),
+scored AS (SELECT q, r, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+           FROM held JOIN norm USING (r) JOIN asked USING (term) JOIN weighed USING (term) GROUP BY q, r),
+ranked AS (SELECT q, doc_id, score, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST) AS rank
+           FROM scored JOIN norm USING (r) WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked JOIN i USING (q) WHERE rank <= 20
+"""
+
+
+@register("op13_lexical", _OP13)
+def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Twenty best documents of every benchmark item."""
+    from eventide.llm import lexical
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
