@@ -259,3 +259,35 @@ def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Twenty best documents of every benchmark item."""
     from eventide.llm import lexical
     return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+_OP11 = f"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  {_TERMS_OF.format("coalesce(text, '')", r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")} AS ts FROM documents),
+o AS (SELECT r, lang, source, term, count(*) AS n FROM (SELECT r, lang, source, unnest(ts) AS term FROM d) GROUP BY ALL),
+kept AS (SELECT lang, term, sum(n) AS n FROM o GROUP BY ALL HAVING count(*) >= 10),
+g AS (SELECT DISTINCT lang, source FROM d),
+per AS (SELECT lang, source, term, sum(n) AS n FROM o GROUP BY ALL),
+c AS (SELECT lang, source, term, coalesce(per.n, 0) AS n FROM g JOIN kept USING (lang) LEFT JOIN per USING (lang, source, term)),
+total AS (SELECT lang, source, sum(n) AS words, count(*) AS v FROM c GROUP BY ALL),
+p AS (SELECT lang, source, term, n, 1 + (1000000000::HUGEINT * (n + 2)) // (words + 2 * v) AS p FROM c JOIN total USING (lang, source)),
+of_lang AS (SELECT lang, sum(n) AS words, count(*) AS v FROM kept GROUP BY ALL),
+q AS (SELECT lang, term, 1 + (1000000000::HUGEINT * (n + 2)) // (words + 2 * v) AS q FROM kept JOIN of_lang USING (lang)),
+both_ways AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+              FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+parts AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN both_ways w ON w.lang = a.lang AND w.source = a.source AND w.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (((p - q) * (p - q)) // (p + q))::BIGINT FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM parts)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
+
+@register("op11_divergence", _OP11)
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Divergence of every source of a language from every other, and its most overused terms."""
+    from eventide.llm import divergence
+    return divergence.audit(table(spark, sf_dir, "documents"))
