@@ -291,3 +291,11 @@ def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Divergence of every source of a language from every other, and its most overused terms."""
     from eventide.llm import divergence
     return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+@register("op12_pii")
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: base spans and those that the field adds."""
+    from eventide.llm import pii
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.scan(docs, pii.fit(docs), keep=["doc_id"])
