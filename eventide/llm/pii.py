@@ -381,9 +381,11 @@ def find(texts: list[str], field: Field | None) -> list[tuple[list[Span], list[S
 
 def fit(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", *, max_docs: int = 1500, max_chars: int = 10_000_000) -> Field | None:
     """The field learned from the base spans of a sample of texts with digits or ``@``."""
-    draw = F.xxhash64(F.lit("pii"), F.col(doc_id), F.length(text))
-    rows = (docs.filter(F.col(text).rlike("[0-9@]") & (F.length(text) <= max_chars // 200))
-            .select(F.col(text).alias("t"), draw.alias("u")).orderBy("u", "t").limit(max_docs).collect())
+    draw = F.pmod(F.xxhash64(F.lit("pii"), F.col(doc_id), F.length(text)), F.lit(1 << 30)) / float(1 << 30)
+    rows = docs.filter(F.col(text).rlike("[0-9@]") & (F.length(text) <= max_chars // 200))
+    n = rows.count()                              # so that tasks hand on no more than the sample
+    rows = (rows.select(F.col(text).alias("t"), draw.alias("u")).filter(F.col("u") < min(1.0, 1.3 * max_docs / max(n, 1)))
+            .orderBy("u", "t").limit(max_docs).collect())
     graphs, left = [], max_chars
     for r in rows:
         if len(r["t"]) <= left:
