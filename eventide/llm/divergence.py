@@ -206,7 +206,10 @@ def audit(docs: DataFrame, lang: str = "lang", source: str = "source", text: str
     one = (counted.join(side, "lang").filter("k <> b").groupBy("lang", F.col("k").alias("a"), "b")
            .agg(F.sum((differ("p", "other_zero") - differ("zero", "other_zero")) * F.col("times")).alias("value")))
     paths = (cells.groupBy("lang", "term").agg(F.sort_array(F.collect_list(F.struct("k", "n", "p", "zero"))).alias("path"))
-             .groupBy("lang", "path").agg(F.count(F.lit(1)).alias("times")).orderBy("lang", "path"))
+             .groupBy("lang", "path").agg(F.count(F.lit(1)).alias("times")))
+    # Neighbouring rows come together by the range of their first cells; a hash splits rows that share these.
+    head = F.transform(F.slice("path", 1, 4), lambda c: F.struct(c["k"], c["n"]))
+    paths = paths.repartitionByRange("lang", head, F.xxhash64("path")).sortWithinPartitions("lang", "path")
     both = pair_sums(paths).groupBy("lang", "a", "b").agg(F.sum("value").alias("value"))
     turned = lambda df: df.select("lang", F.col("b").alias("a"), F.col("a").alias("b"), "value")
     both, one = materialize(both, "divergence-pairs"), materialize(one, "divergence-one")
