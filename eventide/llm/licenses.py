@@ -1,6 +1,6 @@
 """License scans by canonical digest.
 
-A text is brought to a canonical form (lower case, no copyright lines,
+A text is brought to a canonical form (lower case, no copyright notices,
 equivalent spellings unified, punctuation and white space as single spaces) and the SHA-256
 of that form is looked up among the digests of known licence texts with a hash join.  Every
 line of a text is looked up in the same way among one-line licence notices.
@@ -9,8 +9,13 @@ The known texts are the short licences below with their usual titles and wording
 texts in ``license_texts``, also without the appendix after their terms.  A text with another
 wording, or with names of its own inside a sentence, has no licence here.
 
-DataFrame functions only.  The known digests are these fixed lists (a broadcast of that size).
-Null and empty texts have the digest of the empty text and no licence; repeated rows give repeated results.
+A copyright notice is removed with its line if that is short, else up to the terms or the sentence end after it, or alone;
+a text that is nothing but a notice keeps it, so only texts without words have the empty form.
+
+DataFrame functions only.  The known digests are these fixed lists (a broadcast of that size); of two licences with one
+canonical text the first by name is given.
+Null and empty texts have the digest of the empty text and no licence; repeated rows give repeated results; very long texts
+are taken whole; an empty table gives no rows; extra columns of any name are ignored.
 """
 
 from __future__ import annotations
@@ -33,10 +38,22 @@ EQUIVALENT = [
     ("realise", "realize"), ("recognise", "recognize"), ("signalling", "signaling"), ("sublicence", "sublicense"),
     ("utilisation", "utilization"), ("whilst", "while"), ("wilful", "willful"), ("https", "http"),
 ]
-# A line without a year needs the sign after the word: wrapped sentences can begin with "copyright" or "(c)".
-_COPYRIGHT = (r"(?m)^[^\p{L}\p{N}\n]*((copyright|\(c\)|©)[^\n]*([0-9]{4}|year|yyyy)"
-              r"|copyright[ \t]*(\(c\)|©)|©)[^\n]*$")
-_RESERVED = r"(?m)^[^\p{L}\p{N}\n]*all rights reserved[^\p{L}\p{N}\n]*$"
+# A copyright notice: the word or sign, and a year soon after.  Without a year the sign must follow the word:
+# wrapped sentences can begin with "copyright" or "(c)".
+_NOTICE = (r"(?:(?:copyright|\(c\)|©)[^\n]{0,200}?(?:[0-9]{4}|year|yyyy)|copyright[ \t]*(?:\(c\)|©)|©)")
+_START = r"^[^\p{L}\p{N}\n]*"
+# How the terms begin that may follow a notice in the same line.
+_OPENINGS = ["permission is hereby granted", "permission to use", "redistribution and use", "this software is provided",
+             "licensed under", "released under", "distributed under"]
+#: (pattern, number of the groups that stay): a notice up to the terms after it; a whole line of notice length; in longer
+#: lines the sentence, or else just the notice.
+_REMOVED = [
+    (rf"({_START}(?:[^\n]{{0,60}}?[^\p{{L}}\p{{N}}\n])?){_NOTICE}[^\n]{{0,120}}?\b({'|'.join(_OPENINGS)})", 2),
+    (rf"{_START}{_NOTICE}[^\n]{{0,200}}(\n|\z)", 1),
+    (rf"{_START}{_NOTICE}[^\n]{{0,80}}?\.[ \t]", 0),
+    (rf"{_START}{_NOTICE}", 0),
+    (rf"{_START}all rights reserved[^\p{{L}}\p{{N}}\n]*(\n|\z)", 1),
+]
 _OTHER, _OTHER_IN_LINE = r"[^\p{L}\p{N}]+", r"[^\p{L}\p{N}\n]+"
 
 _WARRANTY = """THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT
@@ -151,6 +168,8 @@ def _whole() -> list[tuple[str, str]]:
         end = text.find("END OF TERMS AND CONDITIONS")
         found += [(path.stem, text)] + ([(path.stem, text[:end]), (path.stem, text[:end] + "END OF TERMS AND CONDITIONS")]
                                         if end > 0 else [])
+    if not found:
+        raise FileNotFoundError("the folder license_texts is not beside this module")
     return found
 
 
@@ -210,13 +229,17 @@ def with_canonical(rows: DataFrame, text: str) -> DataFrame:
     t = F.col("__t")
     steps = [F.lower(F.coalesce(F.col(text), F.lit(""))),
              F.when(reduce(Column.__or__, [t.contains(x) for x in ("copyright", "(c)", "©", "all rights reserved")]),
-                    F.regexp_replace(F.regexp_replace(t, _COPYRIGHT, " "), _RESERVED, " ")).otherwise(t),
+                    reduce(lambda c, r: F.regexp_replace(c, "(?dm)" + r[0], " ".join(["", *[f"${i}" for i in range(1, r[1] + 1)]]) or " "),
+                           _REMOVED, t)).otherwise(F.lit(None)),
+             F.when(t.rlike(r"[\p{L}\p{N}]"), t).otherwise(F.col("__whole")),
              F.regexp_replace(t, _OTHER_IN_LINE, " "),
              F.when(F.arrays_overlap(F.split(F.translate(t, "\n", " "), " "), F.array(*[F.lit(a) for a, _ in EQUIVALENT])),
                     reduce(lambda c, w: F.regexp_replace(c, rf"\b{w[0]}\b", w[1]), EQUIVALENT, t)).otherwise(t)]
-    for step in steps:
+    for i, step in enumerate(steps):
         rows = rows.withColumn("__t", step)
-    return (rows.withColumn("__form", F.trim(F.regexp_replace(t, "[ \n]+", " ")))
+        if i == 0:
+            rows = rows.withColumn("__whole", t)
+    return (rows.drop("__whole").withColumn("__form", F.trim(F.regexp_replace(t, "[ \n]+", " ")))
             .withColumnRenamed("__t", "__lines"))
 
 

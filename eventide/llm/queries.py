@@ -124,9 +124,14 @@ def _sql_text(s: str) -> str:
 def _sql_canonical(t: str) -> str:
     """The canonical form of licenses.with_canonical in DuckDB SQL."""
     from eventide.llm import licenses as L
-    t = f"lower(coalesce({t}, ''))"
-    for pattern in (L._COPYRIGHT, L._RESERVED, L._OTHER):
-        t = f"regexp_replace({t}, {_sql_text(pattern)}, ' ', 'g')"
+    whole = removed = f"lower(coalesce({t}, ''))"
+    for pattern, groups in L._REMOVED:
+        kept = " ".join(["", *[f"\\{i}" for i in range(1, groups + 1)]]) or " "
+        removed = f"regexp_replace({removed}, {_sql_text('(?m)' + pattern)}, {_sql_text(kept)}, 'g')"
+    marked = " OR ".join(f"contains({whole}, '{x}')" for x in ("copyright", "(c)", "©", "all rights reserved"))
+    words = "'[\\p{L}\\p{N}]'"
+    t = f"CASE WHEN {marked} THEN CASE WHEN regexp_matches({removed}, {words}) THEN {removed} ELSE {whole} END ELSE {whole} END"
+    t = f"regexp_replace({t}, {_sql_text(L._OTHER)}, ' ', 'g')"
     t = f"trim({t})"
     for a, b in L.EQUIVALENT:
         t = f"regexp_replace({t}, '\\b{a}\\b', '{b}', 'g')"
@@ -164,31 +169,34 @@ def _op3_sql(rare: int = 5) -> str:
         f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN '{of(v, h, p)}'" for v, h, p in rules)
     seg = ("CASE WHEN regexp_matches(s, '^[0-9]+$') THEN '{n}' WHEN regexp_matches(s, '^[0-9a-fA-F-]{16,}$') THEN '{hex}' "
            "ELSE regexp_replace(s, '[0-9]+', '{n}', 'g') END")
+    unlike = ("coalesce({l} > 0 AND fl - l > 0 AND ({b} / {l} - (fb - b) / (fl - l)) * ({b} / {l} - (fb - b) / (fl - l)) "
+              "> 3.8416::DOUBLE * (({b} + (fb - b)) / ({l} + (fl - l))) * (1 - ({b} + (fb - b)) / ({l} + (fl - l))) "
+              "* (1 / {l} + 1 / (fl - l)), false)")
     return f"""
-WITH hp AS (
+WITH RECURSIVE hp AS (
   SELECT page_id, translate(coalesce(regexp_extract(url, '{U._URL}', 1), ''), '{U.UPPER}', '{U.LOWER}') AS host,
          coalesce(regexp_extract(url, '{U._URL}', 2), '') AS path FROM pages),
 rows0 AS (
   SELECT *, CASE {when(lambda v, h, p: h + p)} END AS rule, CASE {when(lambda v, h, p: v)} END AS rv,
          list_filter(string_split(path, '/'), lambda s: s <> '') AS parts FROM hp),
-r AS (SELECT *, array_to_string(list_transform(parts[1:{U.DEPTH}], lambda s: {seg})
-                || CASE WHEN len(parts) > {U.DEPTH} THEN ['**'] ELSE [] END, '/') AS t FROM rows0),
+r AS (SELECT *, array_to_string(list_transform(parts, lambda s: {seg}), '/') AS t FROM rows0),
 seen AS (SELECT host, t, count(*) AS n, count(rule) AS l, count(*) FILTER (rv = 'block') AS b FROM r GROUP BY ALL),
 paths AS (SELECT 'h:' || host AS scope, * EXCLUDE (host) FROM seen
           UNION ALL SELECT 'all', t, sum(n), sum(l), sum(b) FROM seen GROUP BY t),
-steps AS (
-  SELECT scope, t, n, l, b, i AS d, string_split(t, '/')[i] AS seg,
-         coalesce(array_to_string(string_split(t, '/')[1:i - 1], '/'), '') AS parent
-  FROM (SELECT *, unnest(range(1, len(string_split(t, '/')) + 1)) AS i FROM paths WHERE t <> '')),
-nodes AS (SELECT scope, parent, seg, sum(n) AS n, sum(l)::DOUBLE AS l, sum(b)::DOUBLE AS b FROM steps GROUP BY ALL),
-fam AS (SELECT scope, parent, sum(l) AS fl, sum(b) AS fb FROM nodes GROUP BY ALL),
-node AS (
-  SELECT scope, parent, seg, CASE WHEN n < {rare} OR (l >= {rare} AND fl - l >= {rare}
-      AND (b / l - (fb - b) / (fl - l)) * (b / l - (fb - b) / (fl - l))
-          <= 3.8416::DOUBLE * (fb / fl) * (1 - fb / fl) * (1 / l + 1 / (fl - l))) THEN '*' ELSE seg END AS g
-  FROM nodes JOIN fam USING (scope, parent)),
-tmpl AS (SELECT scope, t, string_agg(g, '/' ORDER BY d) AS template FROM steps JOIN node USING (scope, parent, seg) GROUP BY ALL),
-named AS (SELECT paths.*, coalesce(template, '') AS template FROM paths LEFT JOIN tmpl USING (scope, t)),
+anywhere AS (SELECT i - 1 AS d, string_split(t, '/')[i] AS seg, sum(l)::DOUBLE AS sl, sum(b)::DOUBLE AS sb
+             FROM (SELECT *, unnest(range(1, len(string_split(t, '/')) + 1)) AS i FROM seen WHERE t <> '') GROUP BY ALL),
+tree AS (
+  SELECT scope, t, n, l, b, string_split(t, '/') AS segs, 0::BIGINT AS d, '' AS prefix FROM paths WHERE t <> ''
+  UNION ALL (
+    WITH here AS (SELECT *, segs[d + 1] AS seg FROM tree WHERE len(segs) > d),
+    nodes AS (SELECT scope, prefix, d, seg, sum(n) AS n, sum(l)::DOUBLE AS l, sum(b)::DOUBLE AS b FROM here GROUP BY ALL),
+    family AS (SELECT scope, prefix, sum(l) AS fl, sum(b) AS fb, count(*) AS kids FROM nodes GROUP BY ALL),
+    node AS (SELECT scope, prefix, seg, CASE WHEN kids = 1 THEN seg WHEN n < {rare} THEN CASE WHEN {unlike.format(l='sl', b='sb')} THEN seg ELSE '*' END
+               WHEN l >= {rare} AND fl - l >= {rare} AND NOT ({unlike.format(l='l', b='b')}) THEN '*' ELSE seg END AS g
+             FROM nodes JOIN family USING (scope, prefix) JOIN anywhere USING (d, seg))
+    SELECT scope, t, n, l, b, segs, d + 1, prefix || CASE WHEN d > 0 THEN '/' ELSE '' END || g FROM here JOIN node USING (scope, prefix, seg))),
+named AS (SELECT scope, t, n, l, b, prefix AS template FROM tree WHERE len(segs) = d
+          UNION ALL SELECT scope, t, n, l, b, '' FROM paths WHERE t = ''),
 pur AS (SELECT scope, template, sum(l)::DOUBLE AS tl, sum(b)::DOUBLE AS tb FROM named GROUP BY ALL),
 base AS (SELECT CASE WHEN sum(l) > 0 THEN sum(b)::DOUBLE / sum(l)::DOUBLE ELSE 0.0::DOUBLE END AS p FROM seen),
 overall AS (SELECT t, (tb + 2.0::DOUBLE * p) / (tl + 2.0::DOUBLE) AS pg FROM named JOIN pur USING (scope, template), base WHERE scope = 'all'),

@@ -3,20 +3,28 @@
 A page whose host and path fit a rule gets the rule's verdict; such pages are
 also the labels.  Every other page is judged by its path template.  Path segments are
 generalised (digit runs, hexadecimal ids) and form a tree per host, and one over all hosts.
-In each tree a branch becomes a wildcard if it is rare (fewer than ``rare`` pages: a
-variable segment), or if its share of blocked pages does not differ from that of its labelled
-siblings (two-proportion test at 1.96).  A template's blocked share is smoothed towards
+
+The trees are merged level by level.  Branches of a node that are alike become one wildcard
+branch, and the next level is counted below the merged branch, so ``u/alice/spam`` and ``u/bob/spam`` meet
+at ``u/*/spam``.  A branch with at least ``rare`` pages is alike if it and its siblings have ``rare`` labelled pages
+each and their blocked shares do not differ (two-proportion test at 1.96).  A rarer one, a variable segment, is alike
+unless the test says that its share differs from its siblings'; its share is that of the same segment at
+the same level over all hosts.  A branch without siblings keeps its name.
+A template's blocked share is smoothed towards
 that of the same page's template over all hosts, which is smoothed towards the overall share;
 a template above ``most`` is rejected.
 
-DataFrame functions only.  Pages are pre-aggregated to (host, generalised path) before any tree work.
-Null urls or urls without ``://`` have empty host and path and the empty template.
-Paths deeper than ``DEPTH`` segments end in ``**``.  Repeated rows are counted and
-judged each.  Without labelled pages every share is 0, so nothing is rejected.
+DataFrame functions only.  Pages are pre-aggregated to (host, generalised path) before any tree work; there
+are as many levels as paths share segments, and a path alone below its node is finished at once.
+Null urls or urls without ``://`` have empty host and path and the empty template.  Repeated rows are counted and
+judged each; very long paths are taken whole; equally long rules go to the longer host.  Without labelled pages every share
+is 0, so nothing is rejected.  An empty table gives no rows; extra columns of any name are ignored.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from eventide.plans.lineage import materialize
@@ -24,7 +32,6 @@ from eventide.plans.lineage import materialize
 #: (verdict, host, path)
 RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
          ("block", "net", "/es/"), ("block", "net", "/fr/")]
-DEPTH = 8
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _URL = r"://([^/?#]*)([^?#]*)"
 
@@ -55,30 +62,47 @@ def segment(s: Column) -> Column:
 
 def general_path(path: Column) -> Column:
     """Generalised segments joined by ``/``."""
-    parts = F.filter(F.split(path, "/", -1), lambda s: s != "")
-    head = F.transform(F.slice(parts, 1, DEPTH), segment)
-    return F.array_join(F.when(F.size(parts) > DEPTH, F.concat(head, F.array(F.lit("**")))).otherwise(head), "/")
-
-
-def templates(paths: DataFrame, rare: int) -> DataFrame:
-    """(scope, t, template) for ``paths`` (scope, t, n, l, b: pages, labelled, blocked)."""
-    steps = (paths.filter("t <> ''").withColumn("segs", F.split("t", "/"))
-             .select("scope", "t", "n", "l", "b", "segs", F.posexplode("segs").alias("d", "seg"))
-             .withColumn("parent", F.array_join(F.expr("slice(segs, 1, d)"), "/")).drop("segs"))
-    nodes = steps.groupBy("scope", "parent", "seg").agg(*[F.sum(c).alias(c) for c in ("n", "l", "b")])
-    family = nodes.groupBy("scope", "parent").agg(F.sum("l").alias("fl"), F.sum("b").alias("fb"))
-    node = nodes.join(family, ["scope", "parent"])
-    share = F.try_divide("fb", "fl")
-    rest = F.col("fl") - F.col("l")
-    gap = F.try_divide("b", "l") - F.try_divide(F.col("fb") - F.col("b"), rest)
-    alike = (F.col("l") >= rare) & (rest >= rare) & (
-        gap * gap <= F.lit(3.8416) * share * (F.lit(1.0) - share) * (F.try_divide(F.lit(1.0), F.col("l")) + F.try_divide(F.lit(1.0), rest)))
-    node = node.select("scope", "parent", "seg", F.when((F.col("n") < rare) | F.coalesce(alike, F.lit(False)), F.lit("*"))
-                       .otherwise(F.col("seg")).alias("g"))
-    named = (steps.select("scope", "t", "d", "seg", "parent").join(node, ["scope", "parent", "seg"])
-             .groupBy("scope", "t").agg(F.sort_array(F.collect_list(F.struct("d", "g"))).alias("gs"))
-             .select("scope", "t", F.array_join(F.col("gs.g"), "/").alias("template")))
-    return named.unionByName(paths.filter("t = ''").select("scope", "t", F.lit("").alias("template")).distinct())
+    return F.array_join(F.transform(F.filter(F.split(path, "/", -1), lambda s: s != ""), segment), "/")
+
+
+def unlike(l: Column, b: Column, rest_l: Column, rest_b: Column) -> Column:
+    """Whether two blocked shares (b of l pages) differ in a two-proportion test at 1.96; no pages: they do not."""
+    l, b, rest_l, rest_b = (c.cast("double") for c in (l, b, rest_l, rest_b))
+    one = F.lit(1.0)
+    gap, share = F.try_divide(b, l) - F.try_divide(rest_b, rest_l), F.try_divide(b + rest_b, l + rest_l)
+    return F.coalesce(gap * gap > F.lit(3.8416) * share * (one - share) * (F.try_divide(one, l) + F.try_divide(one, rest_l)),
+                      F.lit(False))
+
+
+def templates(paths: DataFrame, seen: DataFrame, rare: int) -> DataFrame:
+    """(scope, t, template) for ``paths`` (scope, t, n, l, b: pages, labelled, blocked); ``seen`` has them by host."""
+    sums = [F.sum(c).alias(c) for c in ("n", "l", "b")]
+    anywhere = materialize(seen.select("l", "b", F.posexplode(F.split("t", "/")).alias("d", "seg"))
+                           .groupBy("d", "seg").agg(F.sum("l").alias("sl"), F.sum("b").alias("sb")), "url-segments")
+    done = [paths.filter("t = ''").select("scope", "t", F.lit("").alias("template"))]
+    left = paths.filter("t <> ''").select("scope", "t", "n", "l", "b", F.split("t", "/").alias("segs"), F.lit("").alias("prefix"))
+    d = 0
+    while not left.isEmpty():
+        here = left.withColumn("seg", F.element_at("segs", d + 1))
+        nodes = here.groupBy("scope", "prefix", "seg").agg(*sums, F.count(F.lit(1)).alias("paths"))
+        family = nodes.groupBy("scope", "prefix").agg(F.sum("l").alias("fl"), F.sum("b").alias("fb"),
+                                                      F.count(F.lit(1)).alias("kids"), F.sum("paths").alias("paths"))
+        node = nodes.drop("paths").join(family, ["scope", "prefix"]).join(anywhere.filter(F.col("d") == d).drop("d"), "seg")
+        rest = (F.col("fl") - F.col("l"), F.col("fb") - F.col("b"))
+        wild = (F.when(F.col("kids") == 1, F.lit(False))
+                .when(F.col("n") < rare, ~unlike(F.col("sl"), F.col("sb"), *rest))
+                .otherwise((F.col("l") >= rare) & (rest[0] >= rare) & ~unlike(F.col("l"), F.col("b"), *rest)))
+        node = node.select("scope", "prefix", "seg", "paths", F.when(wild, F.lit("*")).otherwise(F.col("seg")).alias("g"))
+        alone = F.col("paths") == 1
+        step = here.join(node, ["scope", "prefix", "seg"]).select(
+            "scope", "t", "n", "l", "b", "segs", (alone | (F.size("segs") == d + 1)).alias("ended"),
+            F.concat(F.col("prefix"), F.lit("/") if d else F.lit(""),
+                     F.when(alone, F.array_join(F.slice("segs", d + 1, F.size("segs")), "/")).otherwise(F.col("g"))).alias("prefix"))
+        step = materialize(step, "url-level")
+        done.append(step.filter("ended").select("scope", "t", F.col("prefix").alias("template")))
+        left = step.filter("NOT ended").drop("ended")
+        d += 1
+    return reduce(DataFrame.unionByName, done)
 
 
 def judge(pages: DataFrame, rules=None, *, page_id: str = "page_id", url: str = "url", rare: int = 5,
@@ -91,7 +115,8 @@ def judge(pages: DataFrame, rules=None, *, page_id: str = "page_id", url: str =
     seen = materialize(seen, "url-paths")
     paths = seen.select(F.concat(F.lit("h:"), "host").alias("scope"), "t", "n", "l", "b").unionByName(
         seen.groupBy("t").agg(*[F.sum(c).alias(c) for c in ("n", "l", "b")]).select(F.lit("all").alias("scope"), "t", "n", "l", "b"))
-    named = materialize(paths.join(templates(paths, rare), ["scope", "t"]), "url-templates")
+    paths = materialize(paths, "url-scopes")
+    named = materialize(paths.join(templates(paths, seen, rare), ["scope", "t"]), "url-templates")
     total = seen.agg(F.sum("l").alias("l"), F.sum("b").alias("b")).first()
     base = F.lit(total["b"] / total["l"] if total["l"] else 0.0)
     purity = named.groupBy("scope", "template").agg(F.sum("l").alias("tl"), F.sum("b").alias("tb"))
