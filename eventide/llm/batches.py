@@ -18,6 +18,18 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def unused(columns: list[str], *names: str) -> list[str]:
+    """The names, with underscores put before them until no column (in any case) has them."""
+    taken = {c.lower() for c in columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 #: Rows of an Arrow batch (a few MB of text).
 BATCH_ROWS = 1000
 
@@ -55,7 +67,8 @@ def append(df: DataFrame, fields: list[tuple[str, str]], make: Callable[..., lis
                 arrays += [pa.array(v, type=_ARROW[t]) for v, (_, t) in zip(values, fields)]
                 yield pa.RecordBatch.from_arrays(arrays, names=out.fieldNames())
 
-    return small_batches(df).select(*[quoted(c) for c in sent]).mapInArrow(run, out)
+    # Sent under plain names: mapInArrow would read a dot in a name as a field of a struct.
+    return small_batches(df).select(*[quoted(c).alias(f"c{i}") for i, c in enumerate(sent)]).mapInArrow(run, out)
 
 
 def _list(column: pa.Array) -> list:

@@ -4,58 +4,56 @@ For each participant the dialogue is rendered with that speaker's turns as ``ass
 speakers' as ``user`` with their name, and system turns as they are.  The
 loss mask is the list of character spans of the speaker's own turns, each with its end mark.
 
-``dialogues`` cuts a dialogue into parts of ``TURNS`` rows by running position, so no row grows with a
+A dialogue is cut into parts of ``TURNS`` rows by running position, so no row grows with a
 long dialogue, also if its turn numbers repeat or are null; null conv_ids are one dialogue.
 Every part is rendered for every participant of the whole dialogue, so a participant's parts, put
 together in order, are the whole rendering, each turn once; spans count from the start of their part.
-Turns order by number (null first), role, then text; where more than ``TURNS`` different turns
-share one number, a digest of role and text comes before these two.
-``perspectives`` cuts by turn number instead (``TURNS`` consecutive numbers, null numbers a part of
-their own), so a part is as large as its repeated or null numbers make it, and renders a part only for
-those who speak in it.
-A null role speaks as ``unknown``, a null text is empty; repeated rows are repeated turns.
-``<|`` inside a text is written ``< |``, so a text cannot end its own turn.
+Turns order by number (null first), role, the first ``BEGINNING`` characters of the text, then its SHA-256, at every
+length (so what a distributed sort samples stays small).
+A null role speaks as ``unknown``, a null text is empty; repeated rows are repeated turns (so ties between them do not show);
+very long texts are rendered whole.
+``<|`` inside a text is written ``< |``, so a text cannot end its own turn.  A dialogue of system turns only has no
+participant, hence no row.  An empty table gives no rows; extra columns of any name are ignored.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from eventide.plans.broadcast import bounded_broadcast
 from eventide.plans.lineage import materialize
 
 TURNS = 256
-#: Groups that the parts of one dialogue are dealt over to meet its participants.
-SPLITS = 16
-#: Buckets that the different turns of one number are dealt over.
-SUBS = 4096
+#: Parts of one dialogue that meet its participants in one group.
+PARTS = 64
+BEGINNING = 32
+_ORDER = ["turn", "role", "begins", "digest"]
 SYSTEM = "system"
 _END = "<|im_end|>"
 
 
 def _rows(turns: DataFrame, conv_id: str, turn: str, role: str, text: str) -> DataFrame:
-    return turns.select(F.col(conv_id).alias("conv_id"), F.col(turn).alias("turn"),
+    rows = turns.select(F.col(conv_id).alias("conv_id"), F.col(turn).alias("turn"),
                         F.coalesce(F.col(role), F.lit("unknown")).alias("role"),
                         F.replace(F.coalesce(F.col(text), F.lit("")), F.lit("<|"), F.lit("< |")).alias("text"))
+    return rows.withColumns({"begins": F.substring("text", 1, BEGINNING), "digest": F.sha2("text", 256)})
 
 
-def perspectives(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role",
-                 text: str = "text") -> DataFrame:
-    """One row per dialogue part and participant: conv_id, part, participant, n_turns, text, loss_spans, loss_chars."""
-    rows = _rows(turns, conv_id, turn, role, text).withColumn("part", F.floor(F.col("turn") / TURNS).cast("long"))
-    parts = rows.groupBy("conv_id", "part").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
-    return render(with_speakers(parts))
+def _in_order() -> Column:
+    """The turns of a group in their order, as structs of turn, role and text."""
+    ordered = F.sort_array(F.collect_list(F.struct(*_ORDER, "text")))
+    return F.transform(ordered, lambda t: F.struct(t["turn"].alias("turn"), t["role"].alias("role"), t["text"].alias("text")))
 
 
 def dialogues(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role",
               text: str = "text") -> DataFrame:
-    """The rows of ``perspectives`` with parts of at most ``TURNS`` rows each, numbered from 0."""
+    """One row per dialogue part and participant: conv_id, part (from 0), participant, n_turns, text, loss_spans, loss_chars."""
     rows = _rows(turns, conv_id, turn, role, text)
     long = rows.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > TURNS)
     long = materialize(long.select(F.col("conv_id").alias("long_id")), "chat-long")
     side, same = bounded_broadcast(long), F.col("conv_id").eqNullSafe(F.col("long_id"))
     short = (rows.join(side, same, "left_anti").groupBy("conv_id")
-             .agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
+             .agg(_in_order().alias("turns"))
              .select("conv_id", F.lit(0).cast("long").alias("part"), "turns"))
     if long.isEmpty():
         return render(with_speakers(short))
@@ -66,33 +64,23 @@ def dialogues(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn", ro
 def long_parts(rows: DataFrame) -> DataFrame:
     """(conv_id, part, turns) of dialogues of any length.
 
-    Equal rows become one with their number; counts per (conv_id, turn, sub-bucket) are summed
-    along the dialogue, and a running sum inside a bucket is added.  No task sees a whole dialogue,
-    nor all turns of one number.
+    One distributed sort puts all turns in order; a turn's position is its number within its sorted partition plus
+    the sizes of the partitions before, less the position at which its dialogue begins.  No window runs over a
+    dialogue: the only one has a row per partition.
     """
-    rows = rows.groupBy("conv_id", "turn", "role", "text").agg(F.count(F.lit(1)).alias("n"))
-    sub = F.pmod(F.xxhash64("role", "text"), F.lit(SUBS)).cast("int")
-    rows = materialize(rows.withColumn("sub", sub), "chat-turns")
-    counts = rows.groupBy("conv_id", "turn", "sub").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("kinds"))
-    numbers = counts.groupBy("conv_id", "turn").agg(F.sum("n").alias("n"), F.sum("kinds").alias("kinds"))
-    before = lambda w: F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")
-    numbers = numbers.select(F.col("conv_id").alias("c"), F.col("turn").alias("t"), "kinds",
-                             before(Window.partitionBy("conv_id").orderBy("turn")).alias("begin"))
-    subs = counts.select("conv_id", "turn", "sub", before(Window.partitionBy("conv_id", "turn").orderBy("sub")).alias("inside"))
-    starts = subs.join(numbers, F.col("conv_id").eqNullSafe(F.col("c")) & F.col("turn").eqNullSafe(F.col("t")))
-    crowded = F.col("kinds") > TURNS
-    starts = starts.select("c", "t", F.col("sub").alias("s"), F.when(crowded, F.col("sub")).otherwise(-1).alias("bucket"),
-                           (F.col("begin") + F.when(crowded, F.col("inside")).otherwise(0)).alias("start"))
-    placed = rows.join(starts, F.col("conv_id").eqNullSafe(F.col("c")) & F.col("turn").eqNullSafe(F.col("t"))
-                       & (F.col("sub") == F.col("s")))
-    placed = placed.withColumn("at", F.col("start") + before(Window.partitionBy("conv_id", "turn", "bucket").orderBy("role", "text")))
-    first, last = F.col("at"), F.col("at") + F.col("n")
-    placed = placed.withColumn("part", F.explode(F.sequence(F.floor(first / TURNS), F.floor((last - 1) / TURNS))))
-    here = F.least(last, (F.col("part") + 1) * TURNS) - F.greatest(first, F.col("part") * TURNS)
-    parts = placed.groupBy("conv_id", "part").agg(F.sort_array(F.collect_list(
-        F.struct("at", F.struct("turn", "role", "text").alias("said"), here.cast("int").alias("times")))).alias("runs"))
-    return parts.select("conv_id", "part", F.flatten(
-        F.transform("runs", lambda r: F.array_repeat(r["said"], r["times"]))).alias("turns"))
+    # Equal turns are told apart by where they were read, so that many copies of one spread over partitions too.
+    rows = rows.withColumn("copy", F.monotonically_increasing_id()).orderBy("conv_id", *_ORDER, "copy")
+    rows = materialize(rows.drop("copy").withColumn("n", F.monotonically_increasing_id()), "chat-turns")
+    chunk, nth = F.shiftright("n", 33).alias("chunk"), F.col("n").bitwiseAND((1 << 33) - 1)
+    sizes = rows.groupBy(chunk).agg(F.count(F.lit(1)).alias("size"))
+    before = F.sum("size").over(Window.orderBy("chunk").rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
+    chunks = materialize(sizes.select(F.col("chunk").alias("c"), before.alias("before")), "chat-chunks")
+    placed = rows.select("*", chunk, nth.alias("nth")).join(F.broadcast(chunks), F.col("chunk") == F.col("c"))
+    placed = placed.select("conv_id", *_ORDER, "text", (F.col("before") + F.col("nth")).alias("place"))
+    begin = placed.groupBy(F.col("conv_id").alias("id")).agg(F.min("place").alias("begin"))
+    placed = placed.join(bounded_broadcast(materialize(begin, "chat-begins")), F.col("conv_id").eqNullSafe(F.col("id")))
+    part = F.floor((F.col("place") - F.col("begin")) / TURNS).cast("long")
+    return placed.groupBy("conv_id", part.alias("part")).agg(_in_order().alias("turns"))
 
 
 def with_speakers(parts: DataFrame) -> DataFrame:
@@ -101,10 +89,12 @@ def with_speakers(parts: DataFrame) -> DataFrame:
 
 
 def with_participants(parts: DataFrame, rows: DataFrame) -> DataFrame:
-    """Every part with every participant of its dialogue; the parts of one dialogue are dealt over ``SPLITS`` groups."""
+    """Every part with every participant of its dialogue, ``PARTS`` parts of one dialogue at a time."""
     people = rows.filter(F.col("role") != SYSTEM).select(F.col("conv_id").alias("c"), F.col("role").alias("participant")).distinct()
-    people = people.withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(SPLITS - 1))))
-    met = parts.join(people, F.col("conv_id").eqNullSafe(F.col("c")) & (F.pmod("part", F.lit(SPLITS)) == F.col("g")))
+    groups = (rows.groupBy(F.col("conv_id").alias("d")).agg(F.count(F.lit(1)).alias("turns_all"))
+              .select("d", F.explode(F.sequence(F.lit(0), F.floor((F.col("turns_all") - 1) / (TURNS * PARTS)).cast("int"))).alias("g")))
+    people = people.join(groups, F.col("c").eqNullSafe(F.col("d")))
+    met = parts.join(people, F.col("conv_id").eqNullSafe(F.col("c")) & (F.floor(F.col("part") / PARTS) == F.col("g")))
     return met.select("conv_id", "part", "turns", "participant")
 
 

@@ -6,15 +6,19 @@ with its borders marked (those at a border are its affixes), the word itself, an
 lexicon of words typical of one language.  Learned transitions tie
 neighbouring words, so switched passages get their own labels;
 forward-backward gives each word's posterior, and a text's
-language is the one with the largest mean posterior, which is the score.
-
-Training uses a bounded sample (``per_label`` spans of ``span`` words (500 of 48) for each of
-at most ``max_labels`` languages, drawn by hash over all labelled rows, spans at a hashed place of
-the text).  Spans of different languages are joined into switched sequences, so
+language is the one with the largest mean posterior, which is the score.  A posterior only weighs the learned
+languages against each other; whether a text is in any of them is told by its familiarity, the share of its
+character n-grams of three and four that the sample held, relative to that of labelled spans left out (about 1 for a
+text in a learned language).
+
+Training uses a bounded sample: ``per_label`` spans of ``span`` words (500 of 48) of every language, fewer where
+the languages are so many that they would exceed ``max_spans`` in all (at least one each), drawn by hash over all labelled
+rows, spans at a hashed place of the text.  Spans of different languages are joined into switched sequences, so
 the transitions between languages are learned too.  Everything else covers whole texts.
 
 Text null or without letters: ``und``, score 0.  No labelled row: every text
-is ``und``.  Equal means go to the smaller label.  Null labels are not learned from.
+is ``und``.  Equal means go to the smaller label.  Null labels are not learned from.  Repeated rows get equal results,
+very long texts are taken whole, an empty table gives no rows, and extra columns of any name are passed on.
 """
 
 from __future__ import annotations
@@ -23,26 +27,33 @@ import re
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from eventide.llm import batches
 from eventide.llm.batches import Remembered
 
 UNKNOWN = "und"
-LETTERS = re.compile(r"[^\W\d_]+")
+_WORDS = re.compile(r"[^\W\d_]+")
 BUCKETS = 1 << 16
 NGRAMS = 4
+#: n-grams from this length tell whether a text is in a learned language at all.
+FOREIGN = 3
 #: Words whose scores a worker remembers; the memory is emptied when full.
 REMEMBER = 120_000
 _P = np.uint64(0x9E3779B97F4A7C15)
 
 
 def words_of(text: str) -> list[str]:
-    return LETTERS.findall(text.lower())
+    """Runs of letters (Unicode category L) of the lower-cased text."""
+    words = _WORDS.findall(text.lower())
+    if all(map(str.isalpha, words)):
+        return words
+    # Numbers like ½ or ② count as word characters for the pattern, but are no letters.
+    return "".join(c if c.isalpha() else " " for w in words for c in (*w, " ")).split()
 
 
-def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(bucket of every feature, row of ``words`` it belongs to), ordered by row within each kind."""
+def word_features(words: list[str], least: int = 1, whole_words: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """(bucket of every feature, row of ``words`` it belongs to), ordered by row within each kind: n-grams from ``least``."""
     sizes = np.array([len(w) + 2 for w in words])
     points = np.frombuffer(("".join("\x02" + w + "\x03" for w in words)).encode("utf-32-le", "surrogatepass"),
                            dtype="<u4").astype(np.uint64)
@@ -56,9 +67,13 @@ def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if m <= 0:
             break
         h = (h[:m] * _P + points[n - 1:]) ^ (h[:m] >> np.uint64(29))
+        if n < least:
+            continue
         inside = np.arange(m) + n <= ends[row[:m]]
         buckets.append(_bucket(h[inside] + np.uint64(n)))
         rows.append(row[:m][inside])
+    if not whole_words:
+        return np.concatenate(buckets), np.concatenate(rows)
     place = (np.arange(len(points)) - start[row]).astype(np.uint64)
     whole = np.add.reduceat((points + np.uint64(7)) * (place * _P ^ np.uint64(0xD6E8FEB86659FD93)), start)
     buckets.append(_bucket(whole + np.uint64(99)))
@@ -81,6 +96,12 @@ class Crf:
     trans: np.ndarray                    # from x to
     start: np.ndarray
     lexicon: dict[str, int] = field(default_factory=dict)
+    seen: np.ndarray = field(default_factory=lambda: np.ones(BUCKETS, bool))    # of the sample's n-grams from FOREIGN on
+    usual: float = 1.0                                                          # familiarity of words left out
+
+    def see(self, words: list[str]) -> None:
+        self.seen = np.zeros(BUCKETS, bool)
+        self.seen[word_features(words, FOREIGN, False)[0]] = True
 
     def emissions(self, words: list[str]) -> np.ndarray:
         """Log scores, one row per word."""
@@ -92,6 +113,11 @@ class Crf:
             out[n] += self.lexicon_weight[k]
         return out
 
+    def familiar(self, words: list[str]) -> np.ndarray:
+        """Share of every word's longer n-grams that the sample held, whatever the language, over the usual share."""
+        buckets, rows = word_features(words, FOREIGN, False)
+        return np.bincount(rows, self.seen[buckets], len(words)) / np.bincount(rows, minlength=len(words)) / self.usual
+
 
 #: Words per block of the forward-backward scan.
 BLOCK = 64
@@ -217,7 +243,14 @@ def train(spans: list[tuple[str, list[str]]], rounds: int = 40, rate: float = 0.
             vv += 0.01 * (g * g - vv)
             p -= rate * (mm / (1 - 0.9 ** step)) / (np.sqrt(vv / (1 - 0.99 ** step)) + 1e-6)
     weight, lex_weight, trans, start = params
-    return Crf(labels, weight.astype(np.float32), lex_weight, trans, start, lexicon)
+    model = Crf(labels, weight.astype(np.float32), lex_weight, trans, start, lexicon)
+    # What is usual shows in spans left out: every tenth against the others.
+    kept, left = [w for i, (_, ws) in enumerate(spans) if i % 10 for w in ws], [w for _, ws in spans[::10] for w in ws]
+    if kept:
+        model.see(kept)
+        model.usual = max(float(model.familiar(left).mean()), 0.01)
+    model.see(words)
+    return model
 
 
 def _exp(scores: np.ndarray) -> np.ndarray:
@@ -225,16 +258,18 @@ def _exp(scores: np.ndarray) -> np.ndarray:
 
 
 def sample(rows: DataFrame, text: str = "text", label: str = "lang", doc_id: str = "doc_id", *,
-           per_label: int = 500, span: int = 48, max_labels: int = 64) -> list[tuple[str, list[str]]]:
-    """At most ``per_label * max_labels`` spans of labelled rows, spread over all of them by hash."""
+           per_label: int = 500, span: int = 48, max_spans: int = 32_000) -> list[tuple[str, list[str]]]:
+    """At most ``max_spans`` spans of labelled rows (or one per language), spread over all of them by hash."""
     rows = rows.filter(F.col(label).isNotNull() & F.col(text).isNotNull())
     n = rows.groupBy(F.col(label).alias("l")).agg(F.count(F.lit(1)).alias("n"))
-    top = [(r["l"], r["n"]) for r in n.orderBy(F.desc("n"), "l").limit(max_labels).collect()]
+    top = [(r["l"], r["n"]) for r in n.orderBy("l").collect()]
     if not top:
         return []
+    per_label = max(1, min(per_label, max_spans // len(top)))
     draw = F.pmod(F.xxhash64(F.lit("langid"), F.col(doc_id), F.length(text)), F.lit(1 << 30)) / float(1 << 30)
+    # Somewhat more than needed, so that no language falls short by chance.
     drawn = rows.filter(draw < F.try_element_at(F.create_map(
-        *[F.lit(x) for lab, c in top for x in (lab, min(1.0, 1.3 * per_label / c))]), F.col(label)))
+        *[F.lit(x) for lab, c in top for x in (lab, min(1.0, (1.3 * per_label + 20) / c))]), F.col(label)))
 
     def cut(texts, hashes):
         out = []
@@ -247,50 +282,51 @@ def sample(rows: DataFrame, text: str = "text", label: str = "lang", doc_id: str
     drawn = drawn.select(F.col(label).alias("l"), F.col(text).alias("t"), draw.alias("u"),
                          F.abs(F.hash(F.col(doc_id), F.length(text))).cast("long").alias("h"))
     got = batches.append(drawn, [("words", "string")], cut, ["t", "h"], ["l", "u"])
-    got = got.orderBy("u", "l", "words").limit(2 * per_label * len(top)).collect()
-    out, taken = [], dict.fromkeys((lab for lab, _ in top), 0)
-    for r in got:
-        if taken[r["l"]] < per_label:
-            taken[r["l"]] += 1
-            out.append((r["l"], r["words"].split(" ") if r["words"] else []))
-    return out
+    got = got.withColumn("nth", F.row_number().over(Window.partitionBy("l").orderBy("u", "words"))).filter(
+        F.col("nth") <= per_label).orderBy("u", "l", "words").collect()
+    return [(r["l"], r["words"].split(" ") if r["words"] else []) for r in got]
 
 
 def memory_of(model: Crf) -> Remembered:
-    """Exp scores of words, remembered by a worker."""
-    return Remembered(lambda words: _exp(model.emissions(words)), len(model.labels), np.float64, REMEMBER)
+    """Exp scores and familiarity of words, remembered by a worker."""
+    return Remembered(lambda words: np.column_stack([_exp(model.emissions(words)), model.familiar(words)]),
+                      len(model.labels) + 1, np.float64, REMEMBER)
 
 
-def label_texts(model: Crf, texts: list[str | None], memory: Remembered | None = None) -> tuple[list[str], list[float]]:
-    """(label, score) of every text."""
+def label_texts(model: Crf, texts: list[str | None],
+                memory: Remembered | None = None) -> tuple[list[str], list[float], list[float]]:
+    """(label, score, mean familiarity of the words) of every text."""
     memory = memory or memory_of(model)
     words = [words_of(t) if t else [] for t in texts]
     lengths = np.array([len(w) for w in words], dtype=np.int64)
-    labels, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
+    labels, scores, familiar = [UNKNOWN] * len(texts), [0.0] * len(texts), [0.0] * len(texts)
     full = np.flatnonzero(lengths)
     if len(full):
-        alpha, beta = forward_backward(memory.of([w for ws in words for w in ws]), lengths[full],
-                                       np.exp(model.trans), np.exp(model.start))
-        post = _norm(alpha * beta)
-        means = np.add.reduceat(post, np.cumsum(lengths[full]) - lengths[full], axis=0) / lengths[full][:, None]
-        for n, best, p in zip(full.tolist(), means.argmax(axis=1).tolist(), means.max(axis=1).tolist()):
-            labels[n], scores[n] = model.labels[best], min(p, 1.0)
-    return labels, scores
+        rows = memory.of([w for ws in words for w in ws])
+        alpha, beta = forward_backward(rows[:, :-1], lengths[full], np.exp(model.trans), np.exp(model.start))
+        first = np.cumsum(lengths[full]) - lengths[full]
+        post = np.column_stack([_norm(alpha * beta), rows[:, -1]])
+        means = np.add.reduceat(post, first, axis=0) / lengths[full][:, None]
+        known, means = means[:, -1], means[:, :-1]
+        for n, best, p, f in zip(full.tolist(), means.argmax(axis=1).tolist(), means.max(axis=1).tolist(), known.tolist()):
+            labels[n], scores[n], familiar[n] = model.labels[best], min(p, 1.0), f
+    return labels, scores, familiar
 
 
 def predict(docs: DataFrame, model: Crf | None, text: str = "text",
-            out: tuple[str, str] = ("lang_pred", "score"), keep: list[str] | None = None) -> DataFrame:
-    """``docs`` (or its columns ``keep``) with the predicted label and its score."""
+            out: tuple[str, ...] = ("lang_pred", "score"), keep: list[str] | None = None) -> DataFrame:
+    """``docs`` (or its columns ``keep``) with the predicted label, its score and, if a third name is given, the text's familiarity."""
     if model is None:
-        return docs.select(*(keep or docs.columns)).withColumns({out[0]: F.lit(UNKNOWN), out[1]: F.lit(0.0)})
+        return docs.select(*[batches.quoted(c) for c in keep or docs.columns]).withColumns(
+            {out[0]: F.lit(UNKNOWN), **{c: F.lit(0.0) for c in out[1:]}})
     memory: list[Remembered] = []
 
     def make(texts):
         if not memory:
             memory.append(memory_of(model))
-        return list(label_texts(model, [batches.text(t) for t in texts], memory[0]))
+        return list(label_texts(model, [batches.text(t) for t in texts], memory[0]))[:len(out)]
 
-    return batches.append(docs, [(out[0], "string"), (out[1], "double")], make, [text], keep)
+    return batches.append(docs, [(out[0], "string"), *[(c, "double") for c in out[1:]]], make, [text], keep)
 
 
 def held_out(doc_id: Column, folds: int, fold: int) -> Column:

@@ -48,7 +48,7 @@ _OPENINGS = ["permission is hereby granted", "permission to use", "redistributio
 #: (pattern, number of the groups that stay): a notice up to the terms after it; a whole line of notice length; in longer
 #: lines the sentence, or else just the notice.
 _REMOVED = [
-    (rf"({_START}(?:[^\n]{{0,60}}?[^\p{{L}}\p{{N}}\n])?){_NOTICE}[^\n]{{0,120}}?\b({'|'.join(_OPENINGS)})", 2),
+    (rf"({_START}(?:[^\n]{{0,60}}?[^\p{{L}}\p{{N}}\n])??){_NOTICE}[^\n]{{0,120}}?\b({'|'.join(_OPENINGS)})", 2),
     (rf"{_START}{_NOTICE}[^\n]{{0,200}}(\n|\z)", 1),
     (rf"{_START}{_NOTICE}[^\n]{{0,80}}?\.[ \t]", 0),
     (rf"{_START}{_NOTICE}", 0),

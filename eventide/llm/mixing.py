@@ -12,14 +12,17 @@ counts per (source, band, sub-bucket) are summed at two small levels and a
 row number is added inside each sub-bucket.  No task sees a whole source.
 
 Null text has size 0; a null source is a source of its own and sorts last;
-null ids order as the empty string; repeated rows are separate documents. Empty input gives no rows.
-A source without words has target 0 and is not taken.
+null ids order by their size; repeated rows are separate documents. Empty input gives no rows.
+A source without words has target 0 and is not taken.  Very long texts count whole.  Extra columns of any name are passed on; a
+column named as one of the results is an error, as it would be lost.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from eventide.llm.batches import quoted
+
 WORDS = r"[^\x20\x09-\x0D]+"
 
 
@@ -53,37 +56,41 @@ def targets(sizes: DataFrame, weights=(3, 1, 2), share: float = 1.5, limit: floa
         F.least("cap", F.col("free.level") * F.col("w")), F.col("cap")).alias("target"))
 
 
-def mix(docs: DataFrame, size: str = "size", source: str = "source", doc_id: str = "doc_id", *,
-        seed: str = "mix", **kw) -> DataFrame:
-    """``docs`` with source_size, target and copies (how often the mix takes the row)."""
-    text_id = F.coalesce(F.col(doc_id).cast("string"), F.lit(""))
-    key = F.coalesce(F.concat(F.lit("s"), F.col(source)), F.lit("n"))
-    bits = F.bin(F.col(size))
+def mix(docs: DataFrame, size: str = "size", source: str = "source", doc_id: str = "doc_id", *, seed: str = "mix",
+        out: tuple[str, str, str] = ("source_size", "target", "copies"), **kw) -> DataFrame:
+    """``docs`` with three columns named ``out``: source size, target and copies (how often the mix takes the row)."""
+    clash = {c.lower() for c in docs.columns} & {c.lower() for c in out}
+    if clash:
+        raise ValueError(f"columns {sorted(clash)} are there already: give other names as out")
+    # The row travels whole in one column, so no column of it can clash with those below.
+    rows = docs.select(F.struct(*[quoted(c) for c in docs.columns]).alias("row"), quoted(doc_id).alias("id"),
+                       quoted(source).alias("source"), quoted(size).alias("size"))
+    text_id = F.coalesce(F.col("id").cast("string"), F.lit(""))
+    bits = F.bin("size")
     band = F.concat(F.lpad(F.length(bits).cast("string"), 2, "0"), F.substring(bits, 1, 5))
-    digest = F.md5(F.concat(F.lit(seed + ":"), text_id))
-    docs = docs.drop("source_size", "target", "copies")
-    rows = docs.withColumns({"__key": key, "__band": band, "__sub": F.substring(digest, 1, 2), "__md5": digest})
+    # Rows without an id are dealt by their size.
+    digest = F.md5(F.concat(F.lit(seed + ":"), text_id, F.when(F.col("id").isNull(), F.col("size").cast("string")).otherwise("")))
+    rows = rows.withColumns({"key": F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n")), "band": band,
+                             "md5": digest}).withColumn("sub", F.substring("md5", 1, 2))
 
-    narrow = rows.select(F.col("__key").alias("key"), F.col(source).alias("source"), F.col(size).alias("size"),
-                         F.col("__band").alias("band"), F.col("__sub").alias("sub"))
-    counts = narrow.groupBy("key", "band", "sub").agg(F.count(F.lit(1)).alias("n"))
+    counts = rows.groupBy("key", "band", "sub").agg(F.count(F.lit(1)).alias("n"))
     in_band = Window.partitionBy("key", "band").orderBy("sub").rowsBetween(Window.unboundedPreceding, 0)
     in_key = Window.partitionBy("key").orderBy("band").rowsBetween(Window.unboundedPreceding, 0)
     bands = counts.groupBy("key", "band").agg(F.sum("n").alias("n")).select(
         "key", "band", (F.sum("n").over(in_key) - F.col("n")).alias("band_start"))
     subs = counts.withColumn("start", F.sum("n").over(in_band) - F.col("n")).drop("n")
-    starts = (subs.join(bands, ["key", "band"]).join(targets(narrow, **kw), "key")
-              .select("key", "band", "sub", (F.col("start") + F.col("band_start")).alias("__start"),
-                      "source_size", "target"))
+    starts = (subs.join(bands, ["key", "band"]).join(targets(rows, **kw), "key")
+              .select(F.col("key").alias("k"), F.col("band").alias("b"), F.col("sub").alias("s"),
+                      (F.col("start") + F.col("band_start")).alias("start"), "source_size", "target"))
 
-    inside = Window.partitionBy("__key", "__band", "__sub").orderBy(size, "__md5", doc_id)
-    rank = F.col("__start") + F.col("__row")
+    inside = Window.partitionBy("key", "band", "sub").orderBy("size", "md5", "id")
+    rank = F.col("start") + F.col("nth")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    offset = F.conv(F.substring(F.md5(F.concat(F.lit(seed + "/"), F.col("__key"))), 1, 4), 16, 10).cast("double") / 65536
-    crossed = (F.floor(F.col("__rate") * rank + F.col("__u"))
-               - F.floor(F.col("__rate") * (rank - 1) + F.col("__u")))
-    placed = rows.withColumn("__row", F.row_number().over(inside)).join(
-        starts, (F.col("__key") == F.col("key")) & (F.col("__band") == F.col("band")) & (F.col("__sub") == F.col("sub")))
-    return (placed.withColumns({"__rate": rate, "__u": offset})
-            .withColumn("copies", F.least(crossed, F.ceil("__rate")).cast("long"))
-            .select(*[F.col(f"`{c}`") for c in docs.columns], "source_size", "target", "copies"))
+    offset = F.conv(F.substring(F.md5(F.concat(F.lit(seed + "/"), F.col("key"))), 1, 4), 16, 10).cast("double") / 65536
+    crossed = F.floor(F.col("rate") * rank + F.col("u")) - F.floor(F.col("rate") * (rank - 1) + F.col("u"))
+    placed = rows.withColumn("nth", F.row_number().over(inside)).join(
+        starts, (F.col("key") == F.col("k")) & (F.col("band") == F.col("b")) & (F.col("sub") == F.col("s")))
+    return (placed.withColumns({"rate": rate, "u": offset})
+            .withColumn("copies", F.least(crossed, F.ceil("rate")).cast("long"))
+            .select(*[F.col("row").getField(c).alias(c) for c in docs.columns],
+                    *[F.col(a).alias(b) for a, b in zip(("source_size", "target", "copies"), out)]))

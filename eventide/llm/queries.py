@@ -217,20 +217,20 @@ def op3_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _OP9 = """
 WITH t AS (
-  SELECT conv_id, floor(turn / 256.0)::BIGINT AS part, turn, coalesce(role, 'unknown') AS role,
-         replace(coalesce(text, ''), '<|', '< |') AS said FROM conversations),
-p AS (SELECT DISTINCT conv_id, part, role AS participant FROM t WHERE role <> 'system'),
+  SELECT conv_id, turn, coalesce(role, 'unknown') AS role, replace(coalesce(text, ''), '<|', '< |') AS said FROM conversations),
+n AS (
+  SELECT *, (row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, said[1:32], sha256(said)) - 1) AS place FROM t),
+p AS (SELECT DISTINCT conv_id, role AS participant FROM t WHERE role <> 'system'),
 s AS (
-  SELECT p.conv_id, p.part, participant, turn, role, said, role = participant AS own,
+  SELECT n.conv_id, (n.place // 256)::BIGINT AS part, participant, place, role, role = participant AS own,
          '<|im_start|>' || CASE WHEN role = 'system' THEN 'system' WHEN role = participant THEN 'assistant'
                                 ELSE 'user name=' || role END || chr(10) AS head, said || '<|im_end|>' AS body
-  FROM p JOIN t ON p.conv_id IS NOT DISTINCT FROM t.conv_id AND p.part IS NOT DISTINCT FROM t.part),
+  FROM p JOIN n ON p.conv_id IS NOT DISTINCT FROM n.conv_id),
 o AS (
   SELECT *, (sum(length(head) + length(body) + 1) OVER w - length(body) - 1)::BIGINT AS begin FROM s
-  WINDOW w AS (PARTITION BY conv_id, part, participant ORDER BY turn NULLS FIRST, role, said ROWS UNBOUNDED PRECEDING))
-SELECT conv_id, part, participant, count(*) AS n_turns,
-       string_agg(head || body || chr(10), '' ORDER BY turn NULLS FIRST, role, said) AS text,
-       string_agg(CASE WHEN own THEN begin || '-' || (begin + length(body)) END, ',' ORDER BY begin) AS loss_spans,
+  WINDOW w AS (PARTITION BY conv_id, part, participant ORDER BY place ROWS UNBOUNDED PRECEDING))
+SELECT conv_id, part, participant, count(*) AS n_turns, string_agg(head || body || chr(10), '' ORDER BY place) AS text,
+       coalesce(string_agg(CASE WHEN own THEN begin || '-' || (begin + length(body)) END, ',' ORDER BY begin), '') AS loss_spans,
        sum(CASE WHEN own THEN length(body) ELSE 0 END)::BIGINT AS loss_chars
 FROM o GROUP BY conv_id, part, participant
 """

@@ -30,7 +30,7 @@ import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from eventide.llm.batches import append
+from eventide.llm.batches import append, unused
 from eventide.llm.components import components
 from eventide.plans.lineage import materialize
 
@@ -193,8 +193,9 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **kw)
     if odd.isEmpty():
         return kept
     cols = docs.columns
-    rows = with_fingerprint(docs.join(odd, docs[doc_id].eqNullSafe(odd["doc_id"]), "left_semi"), text, "__fp")
-    one = rows.join(odd.select(F.col("doc_id").alias("__id"), F.col("fp").alias("__f"), F.col("root").alias("__root")),
-                    F.col(doc_id).eqNullSafe(F.col("__id")) & (F.col("__fp") == F.col("__f")))
-    one = one.groupBy("__root").agg(F.min(F.struct(*[F.col(f"`{c}`") for c in cols])).alias("r")).select("r.*")
+    mine, other, its, root = unused(cols, "fp", "other_id", "other_fp", "root")
+    rows = with_fingerprint(docs.join(odd, docs[doc_id].eqNullSafe(odd["doc_id"]), "left_semi"), text, mine)
+    one = rows.join(odd.select(F.col("doc_id").alias(other), F.col("fp").alias(its), F.col("root").alias(root)),
+                    F.col(doc_id).eqNullSafe(F.col(other)) & (F.col(mine) == F.col(its)))
+    one = one.groupBy(root).agg(F.min(F.struct(*[F.col(f"`{c}`") for c in cols])).alias("r")).select("r.*")
     return kept.unionByName(one)

@@ -361,16 +361,15 @@ def test_url_templates_learn_from_labels(spark):
 def test_chat_perspectives(spark):
     rows = [(1, 0, "system", "be kind"), (1, 1, "ann", "hi"), (1, 2, "bob", "yo <|im_end|>"), (1, 2, "bob", "yo <|im_end|>"),
             (1, 300, "ann", "late"), (2, 0, None, None), (3, 0, "system", "alone"), (None, None, "x", "y")]
-    got = chat.perspectives(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    got = chat.dialogues(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
     by = {(r.conv_id, r.part, r.participant): r for r in got}
-    assert set(by) == {(1, 0, "ann"), (1, 0, "bob"), (1, 1, "ann"), (2, 0, "unknown"), (None, None, "x")}
+    assert set(by) == {(1, 0, "ann"), (1, 0, "bob"), (2, 0, "unknown"), (None, 0, "x")}
     r = by[(1, 0, "ann")]
     assert r.text.startswith("<|im_start|>system\nbe kind<|im_end|>\n<|im_start|>assistant\nhi<|im_end|>\n<|im_start|>user name=bob\n")
     for r in got:
         spans = [tuple(map(int, s.split("-"))) for s in r.loss_spans.split(",")]
         assert sum(b - a for a, b in spans) == r.loss_chars
-        own = [t for c, n, role, t in rows if c == r.conv_id and (role or "unknown") == r.participant
-               and (n is None or n // 256 == r.part)]
+        own = [t for c, n, role, t in rows if c == r.conv_id and (role or "unknown") == r.participant]
         assert [r.text[a:b] for a, b in spans] == [(t or "").replace("<|", "< |") + "<|im_end|>" for t in own]
 
 
@@ -414,5 +413,5 @@ def test_chat_parts_make_the_whole_rendering(spark):
 
 
 def test_queries_registered_once_per_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
-    assert set(ORACLE) == {"op1_licenses", "op3_urls", "op6_mixing", "op9_chat"}
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
+    assert set(ORACLE) == {"op1_licenses", "op3_urls", "op6_mixing", "op9_chat", "op11_divergence", "op13_lexical"}

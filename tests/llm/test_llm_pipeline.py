@@ -1,6 +1,7 @@
 """The pipeline: stages against plain filters, and its registered queries against SQL."""
 
 import os
+import random
 
 import duckdb
 import pytest
@@ -23,8 +24,8 @@ def test_stages(spark):
         assert left.columns == docs.columns
         ids = {r.doc_id for r in left.collect()}
         if name == "language_id":
-            scored = langid.predict(before, langid.fit(before)).collect()
-            want = {r.doc_id for r in scored if r.lang_pred != "und" and r.score >= 0.3}
+            scored = langid.predict(before, langid.fit(before), out=("lang_pred", "score", "familiar")).collect()
+            want = {r.doc_id for r in scored if r.lang_pred != "und" and r.familiar >= 0.65}
         elif name == "quality":
             model = quality.fit(before, spark.read.parquet(f"{SMALL}/labels.parquet"))
             want = {r.doc_id for r in quality.score(before, model).collect() if r.score >= 0.3}
@@ -44,6 +45,41 @@ def test_stages(spark):
     assert sorted(map(tuple, whole.select(*key).collect())) == sorted(map(tuple, tokens.select(*key).collect()))
 
 
+GREEK = "Η γρήγορη καφέ αλεπού πηδά πάνω από το τεμπέλικο σκυλί και φεύγει μακριά από το σπίτι"
+
+
+def test_language_stage_rejects_foreign_texts_only(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    rng = random.Random(1)
+    salad = " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(3, 10))) for _ in range(100))
+    foreign = [(-1, GREEK), (-2, salad), (-3, "Быстрая коричневая лиса прыгает через ленивую собаку"), (-4, "½ ② ²"), (-5, "日本語のテキスト")]
+    more = spark.createDataFrame([(i, t, None, "s", len(t)) for i, t in foreign], docs.schema)
+    kept = {r.doc_id for r in corpus_pipeline.language_id(spark, docs.unionByName(more), SMALL).collect()}
+    lettered = {r.doc_id for r in docs.collect() if any(c.isalpha() for c in r.text or "")}
+    assert kept == lettered
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    """Columns named as the stages name their own come through with their values, also beside very long texts."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    long = docs.filter("lang = 'en'").limit(1).select((F.lit(10 ** 6)).alias("doc_id"), F.repeat(F.concat("text", F.lit(" ")), 300).alias("text"),
+                                                      "lang", "source", "n_chars")
+    extra = ["key", "band", "sub", "target", "copies", "source_size", "__quality", "__lang", "__size", "__copy", "size", "copy", "score",
+             "lang_pred", "lang_score", "familiar", "quality_score", "row", "fp", "root", "md5", "id", "a.b", "n", "rate"]
+    docs = docs.unionByName(long)
+    for i, c in enumerate(extra):
+        docs = docs.withColumn(c, F.col("doc_id") * 100 + i)
+    docs = materialize(docs, "test-extra")
+    left = docs
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        left = materialize(stage(spark, left, SMALL), "test-extra")
+        assert left.columns == docs.columns
+    assert left.count() > 100
+    for r in left.collect():
+        assert [r[c] for c in extra] == [r.doc_id * 100 + i for i in range(len(extra))]
+    assert corpus_pipeline.STAGES[-1][1](spark, left, SMALL).count() == left.count()
+
+
 def test_stages_on_empty_and_null_rows(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     nulls = spark.createDataFrame([(None,) * 5] * 3, docs.schema)
@@ -55,7 +91,7 @@ def test_stages_on_empty_and_null_rows(spark):
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "labels", "pages", "conversations", "embeddings"):
+    for t in ("documents", "labels", "pages", "conversations", "embeddings", "benchmark"):
         if os.path.exists(f"{SMALL}/{t}.parquet"):
             con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SMALL}/{t}.parquet'")
     got = QUERIES[name](spark, SMALL)
