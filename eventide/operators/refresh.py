@@ -26,8 +26,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from eventide.functions.timefns import ts_literal
+from eventide.operators import parts
 from eventide.operators import rollups as R
 from eventide.operators.queries import in_window
+from eventide.plans.broadcast import bounded_broadcast
 from eventide.plans.lineage import materialize
 
 MANIFEST = "_manifest"
@@ -200,6 +202,48 @@ def refresh_dates(spark: SparkSession, store: str, name: str, events: DataFrame,
     return read_rollup(spark, store, name)
 
 
+# Unique keys of the date-keyed rollups.
+UNIQUE_KEYS = {
+    "stats_hourly": ("hour", "event_type", "country_code"), "stats_daily_users": ("date", "user_id"),
+    "stats_geo_events": ("date", "country_code", "event_type"), "daily_event_stats": ("date", "event_type", "country_code"),
+    "user_engagement_summary": ("user_id", "date"), "mv_hourly_stats": ("hour", "event_type"),
+}
+
+
+def write_days(spark: SparkSession, store: str, name: str, events: DataFrame, as_of,
+               options: Mapping[str, Mapping] | None = None) -> int:
+    """A date-keyed rollup published by day (see :mod:`eventide.operators.parts`), for :func:`refresh_changed`."""
+    df = _build(name, events, as_of, options or {})
+    return parts.write(spark, store, name, df, parts.day_part(F.col(DATE_KEY[name])), as_of, SORT_KEYS.get(name, ()))
+
+
+def refresh_changed(spark: SparkSession, store: str, name: str, events: DataFrame, dates: Sequence[str], as_of,
+                    options: Mapping[str, Mapping] | None = None) -> DataFrame:
+    """M2, copy-on-write by day: only days whose rows changed are written.
+
+    The given dates are recomputed in full (distinct counts do not add up) and compared with their stored rows
+    on the rollup's unique key.  Days without a change keep their folder in the next version, as do all
+    other days; sliding rollups let go of expired days without writing.  Returns one row per date
+    that has rows: day, new, changed, gone, same, written.
+    """
+    key, dates = DATE_KEY[name], sorted(set(str(d)[:10] for d in dates))
+    part = parts.day_part(F.col(key))
+    fresh = materialize(_build(name, on_dates(events, dates), as_of, options or {}), "refresh-days")
+    old = parts.read(spark, store, name, parts=dates)
+    diff = parts.row_changes(old, fresh.select(*old.columns), UNIQUE_KEYS[name])
+    kinds = ("new", "changed", "gone", "same")
+    report = diff.groupBy(part.alias("day")).agg(*[F.count_if(F.col("change") == k).alias(k) for k in kinds]).collect()
+    touched = [r["day"] for r in report if r["new"] or r["changed"] or r["gone"]]
+    expired = []
+    if name in SLIDING_DAYS:
+        days = (options or {}).get(name, {}).get("days", SLIDING_DAYS[name])
+        lo = str(date.fromisoformat(str(as_of)[:10]) - timedelta(days=days))
+        expired = [r["part"] for r in parts.version_rows(spark, store, name)[1:] if r["part"] != parts.NONE and r["part"] < lo]
+    parts.replace(spark, store, name, fresh.where(part.isin(touched)), [*touched, *expired], part, as_of, SORT_KEYS.get(name, ()))
+    return spark.createDataFrame([(r["day"], *[r[k] for k in kinds], r["day"] in touched) for r in report],
+                                 "day string, new long, changed long, gone long, same long, written boolean")
+
+
 def refresh_dates_in_place(spark: SparkSession, path: str, name: str, events: DataFrame, dates: Sequence[str],
                            as_of, options: Mapping[str, Mapping] | None = None,
                            partition_col: str = "day") -> DataFrame:
@@ -265,16 +309,36 @@ def file_stats(df: DataFrame) -> DataFrame:
                         F.count(F.lit(1)).alias("files"))
 
 
+def _current(m: DataFrame) -> DataFrame:
+    """(rollup, version, path, rows) of every rollup's current version, by the rule of :func:`current_version`."""
+    newest = F.struct("version", "refreshed_at", "path")
+    return m.groupBy("rollup").agg(F.max_by(F.struct("version", "path", "rows"), newest).alias("v")).select("rollup", "v.*")
+
+
+def folder_bytes(spark: SparkSession, path: str) -> DataFrame:
+    """(path, bytes) of the data files under ``path``, from the listing alone: no file is opened.
+
+    The binary file source is pruned to its listing columns, so contents are not read.
+    """
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(path))
+    return files.select("path", F.col("length").alias("bytes"))
+
+
 def inventory(spark: SparkSession, store: str, names: Sequence[str] | None = None) -> DataFrame:
-    """M5: rows and bytes of the current version of each rollup, largest first."""
-    m = _manifest(spark, store)
-    latest = m.groupBy("rollup").agg(F.max_by("path", "version").alias("path"))
+    """M5: rows and bytes of the current version of each rollup, largest first.
+
+    Rows come from the manifest, bytes from the file listing: no rollup is scanned.
+    """
+    schema, m = "rollup string, rows long, bytes long", _manifest(spark, store)
+    if m is None:
+        return spark.createDataFrame([], schema)
+    latest = _current(m)
     if names:
         latest = latest.where(F.col("rollup").isin(list(names)))
-    out = None
-    # One row per rollup in the manifest (a handful): each is measured by its
-    # own scan of the files' metadata.
-    for name, path in latest.collect():
-        row = file_stats(spark.read.parquet(path)).select(F.lit(name).alias("rollup"), "rows", "bytes")
-        out = row if out is None else out.unionByName(row)
-    return out.orderBy(F.desc("bytes"), "rollup")
+    # One row per rollup (a handful): its version's folder name is in the path of its files.
+    folders = latest.select("rollup", "rows", F.element_at(F.split("path", "/"), -1).alias("folder"))
+    files = folder_bytes(spark, store).select(F.element_at(F.split("path", "/"), -2).alias("folder"),
+                                              F.element_at(F.split("path", "/"), -3).alias("rollup"), "bytes")
+    sizes = files.groupBy("rollup", "folder").agg(F.sum("bytes").alias("bytes"))
+    out = bounded_broadcast(folders).join(sizes, ["rollup", "folder"], "left")
+    return out.select("rollup", "rows", F.coalesce("bytes", F.lit(0)).cast("long").alias("bytes")).orderBy(F.desc("bytes"), "rollup")

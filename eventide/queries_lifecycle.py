@@ -397,3 +397,52 @@ def m2b(spark, sf):
     M.write_partitioned(R.stats_daily_users(ev.where(F.col("event_time") < cut)), path, "date")
     dates = M.touched_dates(ev.where(F.col("event_time") >= cut))
     return M.refresh_dates_in_place(spark, path, "stats_daily_users", ev, dates, AS_OF).drop("day")
+
+
+# Hourly counts whose day 10 was first loaded with some events under a wrong type; day 11 is refreshed without a change.
+_WRONG = "CASE WHEN CAST(ts AS DATE) = DATE '2024-01-10' AND event_id % 3 = 0 THEN 'mistyped' ELSE event_type END"
+_HOURLY = ("SELECT date_trunc('hour', ts) AS hour, {t} AS event_type, count(*) AS event_count, "
+           "count(DISTINCT user_id) AS unique_users FROM events {w} GROUP BY 1, 2")
+_TWO_DAYS = "WHERE CAST(ts AS DATE) IN (DATE '2024-01-10', DATE '2024-01-11')"
+
+
+def _corrected(spark, sf):
+    store, ev = scratch_dir(spark, "rollup-days"), D.events(spark, sf)
+    wrong = (F.to_date("event_time") == F.lit("2024-01-10").cast("date")) & (F.col("id") % 3 == 0)
+    first = ev.withColumn("event_type", F.when(wrong, "mistyped").otherwise(F.col("event_type")))
+    M.write_days(spark, store, "mv_hourly_stats", first, AS_OF)
+    return store, M.refresh_changed(spark, store, "mv_hourly_stats", ev, ["2024-01-10", "2024-01-11"], AS_OF)
+
+
+@register("m2_refresh_changed_days",
+          f"WITH o AS ({_HOURLY.format(t=_WRONG, w=_TWO_DAYS)}), n AS ({_HOURLY.format(t='event_type', w=_TWO_DAYS)}), "
+          "j AS (SELECT strftime(coalesce(n.hour, o.hour), '%Y-%m-%d') AS day, o.hour AS ok, n.hour AS nk, "
+          "o.event_count = n.event_count AND o.unique_users = n.unique_users AS eq FROM o FULL JOIN n "
+          "ON o.hour = n.hour AND o.event_type = n.event_type) "
+          "SELECT day, count_if(ok IS NULL) AS new, count_if(ok IS NOT NULL AND nk IS NOT NULL AND NOT eq) AS changed, "
+          "count_if(nk IS NULL) AS gone, count_if(eq) AS same, count_if(eq IS NOT TRUE) > 0 AS written FROM j GROUP BY day")
+def m2_changed(spark, sf):
+    """Rows that a refresh of two days found new, changed, gone and the same."""
+    return _corrected(spark, sf)[1]
+
+
+@register("m2_refresh_changed_rows", _HOURLY.format(t="event_type", w=""))
+def m2_changed_rows(spark, sf):
+    """The whole rollup after the correction."""
+    from eventide.operators import parts
+    return parts.read(spark, _corrected(spark, sf)[0], "mv_hourly_stats")
+
+
+@register("m2_refresh_changed_folders",
+          "SELECT 2 AS version, count(DISTINCT CAST(ts AS DATE)) AS days, 1 AS days_written, count(*) AS rows FROM ("
+          + _HOURLY.format(t="event_type", w="") + ") h(ts, event_type, event_count, unique_users)")
+def m2_changed_folders(spark, sf):
+    """Of all days of the new version one is in a folder of its own; the others keep the first version's."""
+    from eventide.operators import parts
+    store = _corrected(spark, sf)[0]
+    m = parts.published(spark, store)
+    now = m.where("part IS NOT NULL AND version = 2")
+    before = m.where("part IS NOT NULL AND version = 1").select("path").withColumn("kept", F.lit(True))
+    return now.join(before, "path", "left").agg(
+        F.max("version").cast("int").alias("version"), F.count(F.lit(1)).alias("days"),
+        F.count_if(F.col("kept").isNull()).cast("int").alias("days_written"), F.sum("rows").alias("rows"))
