@@ -153,3 +153,90 @@ def d2i(spark, sf):
     second = S.sessionize(ev.where(F.col("event_time") >= cut), "4 hours", number_col="n", state=state)
     cols = ["id", "user_id", "event_time", "session_id"]
     return first.select(*cols).unionByName(second.select(*cols))
+
+
+def _without_some_users(ev):
+    """Every seventh event has no user, hence no country."""
+    known = F.col("id").cast("long") % 7 != 0
+    return ev.withColumns({c: F.when(known, F.col(c)) for c in ("user_id", "country_code") if c in ev.columns})
+
+
+_NULL_EV = ("ev0 AS (SELECT * REPLACE (CASE WHEN event_id % 7 <> 0 THEN user_id END AS user_id) FROM events)")
+_NULL_CTE = ("WITH " + _NULL_EV + ", " + cte(sessions=True).replace("FROM events e", "FROM ev0 e") + ", n AS (SELECT * REPLACE "
+             "(CASE WHEN user_id IS NOT NULL THEN session_id END AS session_id) FROM ev)")
+
+
+@register("d1_sessions_null_users",
+          f"{_NULL_CTE} SELECT session_id AS id, count(*) AS events_count FROM n WHERE session_id IS NOT NULL GROUP BY 1")
+def d1_null(spark, sf):
+    """Events without a user are in no session, so they make none."""
+    ev = S.sessionize(_without_some_users(D.events(spark, sf)), "4 hours")
+    return S.sessions(ev, page_view=PAGE_VIEW, click=CLICK, form_submit=FORM_SUBMIT).select("id", "events_count")
+
+
+@register("d2_late_events",
+          f"WITH {cte(sessions=True)} SELECT id, user_id, event_time, session_id FROM ev")
+def d2_late(spark, sf):
+    """Three loads, each spread over the whole time, end at the labels of one pass over all events."""
+    ev = D.events(spark, sf)
+    third = F.pmod(F.xxhash64("id"), F.lit(3))
+    stored = S.sessionize(ev.where(third == 0), "4 hours", number_col="number")
+    intervals = S.session_intervals(stored, "number")
+    for k in (1, 2):
+        new, intervals, moved = S.repair_sessions(intervals, ev.where(third == k), "4 hours")
+        stored = S.relabel(stored, moved).unionByName(new.select(*stored.columns))
+    return stored.select("id", "user_id", "event_time", "session_id")
+
+
+def _null_loads(spark, sf):
+    """Two loads with events without a user: labelled first load, state after it, labelled second load."""
+    from eventide.functions.timefns import ts_literal
+    ev = _without_some_users(D.events(spark, sf, country=True))
+    cut = ts_literal(SPLIT, ev.schema["event_time"].dataType)
+    first = S.sessionize(ev.where(F.col("event_time") < cut), "4 hours", number_col="n")
+    state = S.session_state(first, "n")
+    return first, state, S.sessionize(ev.where(F.col("event_time") >= cut), "4 hours", number_col="n", state=state)
+
+
+_NULL_USERS = ("WITH " + _NULL_EV + ", " + cte(country=True, sessions=True).replace("FROM events e", "FROM ev0 e") + ", n AS (SELECT * REPLACE "
+               "(CASE WHEN user_id IS NOT NULL THEN session_id END AS session_id) FROM ev), "
+               "u AS (SELECT user_id AS id, min(event_time) AS first_seen, max(event_time) AS last_seen, count(*) AS total_events, "
+               "count(DISTINCT session_id) AS total_sessions, arg_max(country_code, (event_time, id)) AS country_code FROM n {w} GROUP BY 1)")
+
+
+@register("d5_users_incremental",
+          _NULL_USERS.format(w=f"WHERE event_time >= {ts(SPLIT)}") + ", "
+          f"b AS (SELECT user_id AS id, count(DISTINCT session_id) AS before FROM n WHERE event_time < {ts(SPLIT)} GROUP BY 1), "
+          "a AS (SELECT user_id AS id, count(DISTINCT session_id) AS all_sessions FROM n GROUP BY 1) "
+          "SELECT u.id, first_seen, last_seen, total_events, CAST(a.all_sessions - coalesce(b.before, 0) AS BIGINT) AS total_sessions, "
+          "country_code FROM u JOIN a ON u.id IS NOT DISTINCT FROM a.id LEFT JOIN b ON u.id IS NOT DISTINCT FROM b.id")
+def d5_incremental(spark, sf):
+    """Users of the second load, the one without an id among them; sessions begun in it."""
+    _, state, second = _null_loads(spark, sf)
+    return S.users(second, number_col="n", state=state)
+
+
+_STORED = (_NULL_USERS.format(w="") + f" SELECT *, CASE WHEN first_seen < {ts(SPLIT)} THEN {ts(SPLIT)} ELSE {ts(AS_OF)} END AS created_at, "
+           f"CASE WHEN last_seen >= {ts(SPLIT)} THEN {ts(AS_OF)} ELSE {ts(SPLIT)} END AS updated_at FROM u")
+
+
+@register("d6_upsert_null_users", _STORED)
+def d6_null(spark, sf):
+    """Two loads upserted: one user without an id, as over all events."""
+    from eventide.functions.timefns import ts_literal
+    first, state, second = _null_loads(spark, sf)
+    cut = ts_literal(SPLIT, first.schema["event_time"].dataType)
+    stored = S.users(first, number_col="n").withColumn("created_at", cut).withColumn("updated_at", cut)
+    return S.upsert_users(stored, S.users(second, number_col="n", state=state), AS_OF)
+
+
+@register("d6_stored_users", _STORED)
+def d6_stored(spark, sf):
+    """Two loads merged into the stored dimension, bucket by bucket, and read back."""
+    from eventide.operators import parts
+    from eventide.session import scratch_dir
+    store = scratch_dir(spark, "users-store")
+    first, state, second = _null_loads(spark, sf)
+    S.store_users(spark, store, S.users(first, number_col="n"), SPLIT, buckets=16)
+    S.store_users(spark, store, S.users(second, number_col="n", state=state), AS_OF, buckets=16)
+    return parts.read(spark, store, S.USERS)
