@@ -446,3 +446,42 @@ def m2_changed_folders(spark, sf):
     return now.join(before, "path", "left").agg(
         F.max("version").cast("int").alias("version"), F.count(F.lit(1)).alias("days"),
         F.count_if(F.col("kept").isNull()).cast("int").alias("days_written"), F.sum("rows").alias("rows"))
+
+
+@register("s7_enrich_inner_subscript",
+          "WITH " + cte(sessions=True) + ", s AS (SELECT DISTINCT session_id AS id, user_id FROM ev WHERE id % 3 <> 0) "
+          "SELECT ev.id, ev.session_id, s.user_id, (['google', 'facebook', 'twitter'])[CAST(ev.id % 5 AS INTEGER) + 1] AS utm_source "
+          "FROM ev JOIN s ON s.id = ev.session_id")
+def s7_inner(spark, sf):
+    """Only events of known sessions; a column picked from a constant array by subscript (null outside it)."""
+    ev = D.events(spark, sf, sessions=True)
+    known = ev.where(F.col("id") % 3 != 0).select(F.col("session_id").alias("id"), "user_id").distinct()
+    out = I.enrich(ev.select("id", "session_id"), known, inherit=("user_id",), how="inner",
+                   derived={"utm_source": I.pick(["google", "facebook", "twitter"], F.col("id") % 5 + 1)})
+    return out.select("id", "session_id", "user_id", "utm_source")
+
+
+@register("s1_typed_csv_parquet", _BOUND_SQL + " UNION ALL " + _BOUND_SQL)
+def s1_formats(spark, sf):
+    """The same load from CSV and from Parquet files."""
+    raw = D.table(spark, sf, "events")
+    bound = I.bind(raw, {"id": "event_id", "event_time": "ts", "user_id": "user_id", "event_type": "event_type", "properties": "props"})
+    csv, parquet = scratch_dir(spark, "csv-load"), scratch_dir(spark, "parquet-load")
+    bound.write.mode("errorifexists").option("header", True).option("timestampFormat", I.TS_FORMAT).option("escape", '"').csv(csv)
+    bound.write.mode("errorifexists").parquet(parquet)
+    both = I.read_events(spark, csv, fmt="csv", escape='"').unionByName(I.read_events(spark, parquet))
+    return both.select("id", F.col("event_time").cast("timestamp_ntz").alias("event_time"), "user_id", "event_type", "properties")
+
+
+@register("s1_corrupt_records",
+          "SELECT event_id AS id, CASE WHEN event_id % 50 = 0 THEN '{\"id\": \"x' || event_id || '\", \"event_type\": 1' END AS broken "
+          "FROM events WHERE event_id % 50 <> 0 UNION ALL SELECT NULL, '{\"id\": \"x' || event_id || '\", \"event_type\": 1' FROM events "
+          "WHERE event_id % 50 = 0")
+def s1_corrupt(spark, sf):
+    """Records that do not fit keep their text; the others load."""
+    raw = D.table(spark, sf, "events")
+    line = F.when(F.col("event_id") % 50 == 0, F.concat(F.lit('{"id": "x'), F.col("event_id").cast("string"), F.lit('", "event_type": 1'))
+                  ).otherwise(F.to_json(F.struct(F.col("event_id").alias("id"), "event_type")))
+    path = scratch_dir(spark, "json-broken")
+    raw.select(line.alias("value")).write.mode("errorifexists").text(path)
+    return I.read_events(spark, path, fmt="json", corrupt="broken").select("id", "broken")

@@ -65,17 +65,17 @@ def with_defaults(df: DataFrame, as_of, properties_default: str = "{}") -> DataF
     return out
 
 
-def validate(df: DataFrame, *, not_null: Sequence[str] = tuple(NOT_NULL),
-             max_lengths: Mapping[str, int] = MAX_LENGTHS, key: Sequence[str] = tuple(PRIMARY_KEY),
-             time_range: tuple | None = None, partitions: DataFrame | None = None,
-             ts: str = "event_time") -> tuple[DataFrame, DataFrame]:
-    """Split a load into (accepted, rejected) — rejected rows carry
-    ``reasons`` (array of strings).
+def checked(df: DataFrame, *, not_null: Sequence[str] = tuple(NOT_NULL),
+            max_lengths: Mapping[str, int] = MAX_LENGTHS, key: Sequence[str] = tuple(PRIMARY_KEY),
+            time_range: tuple | None = None, partitions: DataFrame | None = None,
+            ts: str = "event_time", taken: DataFrame | None = None) -> DataFrame:
+    """S4 as one frame: every row of ``df`` with ``reasons`` (array of strings, empty if it is accepted).
 
     Rules: NOT NULL columns, maximum text lengths, key unique within the
     load (every copy of a repeated key is rejected), event time inside the
     known partitions — a range ``time_range=(lo, hi)`` or a ``partitions``
-    calendar (``partition_name`` column, one row per month, broadcast).  Key counts come from an aggregation
+    calendar (``partition_name`` column, one row per month, broadcast) — and key not among ``taken``
+    (rows with the key columns that were accepted before).  Key counts come from an aggregation
     (map-side combined) joined back, so a heavily repeated key is not
     funnelled through a window in one task.
     """
@@ -98,18 +98,33 @@ def validate(df: DataFrame, *, not_null: Sequence[str] = tuple(NOT_NULL),
     key = [k for k in key if k in cols]
     if key:
         alias = {k: f"_key{i}" for i, k in enumerate(key)}
-        dup = (df.groupBy(*[F.col(k).alias(a) for k, a in alias.items()])
-               .agg(F.count(F.lit(1)).alias("_copies")).where(F.col("_copies") > 1))
+        keys = df.select(*[F.col(k).alias(a) for k, a in alias.items()], F.lit(1).alias("_here"))
+        if taken is not None:
+            keys = keys.unionByName(taken.select(*[F.col(k).alias(a) for k, a in alias.items()], F.lit(0).alias("_here")))
+        n = F.count(F.lit(1))
+        # Keys of this load that occur more than once, or are taken.
+        dup = keys.groupBy(*alias.values()).agg(n.alias("_copies"), F.sum("_here").alias("_mine")).where("_copies > 1 AND _mine > 0")
         # Null-safe join so rows with a NULL key part match their copies too.
         cond = [F.col(k).eqNullSafe(F.col(a)) for k, a in alias.items()]
-        out = out.join(dup, cond, "left").drop(*alias.values())
+        out = out.join(dup, cond, "left").drop(*alias.values(), "_mine")
         checks.append(F.when(F.col("_copies").isNotNull(), F.lit("duplicate_key")))
     reasons = F.array_compact(F.array(*checks)) if checks else F.array().cast("array<string>")
     out = out.withColumn("reasons", reasons)
-    out = out.drop(*[c for c in ("_copies", "_known") if c in out.columns])
-    ok = out.where(F.size("reasons") == 0).drop("reasons")
-    bad = out.where(F.size("reasons") > 0)
-    return ok, bad
+    return out.drop(*[c for c in ("_copies", "_known") if c in out.columns])
+
+
+def validate(df: DataFrame, *, once: bool = False, **rules) -> tuple[DataFrame, DataFrame]:
+    """Split a load into (accepted, rejected) by the rules of :func:`checked`; rejected rows carry
+    ``reasons``.
+
+    Both sides evaluate the load when they are used.  With ``once`` the checked load is first written to the
+    shared folder, so that the load and its checks run one time for both.
+    """
+    out = checked(df, **rules)
+    if once:
+        from eventide.plans.lineage import materialize
+        out = materialize(out, "checked")
+    return out.where(F.size("reasons") == 0).drop("reasons"), out.where(F.size("reasons") > 0)
 
 
 # Point lookups by user (journey) and by session (session replay) skip row
@@ -179,16 +194,22 @@ def insert_rows(rows: DataFrame, path: str, as_of, schema: T.StructType = EVENT_
     return aligned
 
 
+def pick(values: Sequence[str], by: Column) -> Column:
+    """Element of a constant array at a one-based subscript; null outside it, as an array subscript gives."""
+    return F.get(F.array(*[F.lit(v) for v in values]), by.cast("int") - 1)
+
+
 def enrich(events: DataFrame, sessions: DataFrame, *, inherit: Sequence[str] = ("user_id", "device_type", "country_code"),
-           derived: Mapping[str, Column] | None = None, payload: Sequence[str] = ()) -> DataFrame:
+           derived: Mapping[str, Column] | None = None, payload: Sequence[str] = (), how: str = "left") -> DataFrame:
     """Events take user/device/country from their session (session value
-    wins when present), gain CASE-derived columns and a JSON payload built
+    wins when present), gain derived columns (CASE, :func:`pick`) and a JSON payload built
     from columns.  One join on session_id: the sessions side has one row per
     session, so Catalyst/AQE pick broadcast or a shuffle join by its size.
+    ``how='inner'`` leaves out events whose session is unknown.
     """
     s_cols = [c for c in inherit if c in sessions.columns]
     s = sessions.select(F.col("id").alias("_sid"), *[F.col(c).alias(f"_s_{c}") for c in s_cols])
-    j = events.join(s, events["session_id"] == s["_sid"], "left")
+    j = events.join(s, events["session_id"] == s["_sid"], how)
     out = j
     for c in s_cols:
         base = F.col(c) if c in events.columns else F.lit(None)
