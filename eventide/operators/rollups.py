@@ -326,16 +326,21 @@ def merge_uniques(df: DataFrame, keys: Sequence[str], sketch: str = "users_sketc
     return df.groupBy(*keys).agg(agg) if keys else df.agg(agg)
 
 
-def densify(counts: DataFrame, dim: DataFrame, start, end, *, date_col: str = "date",
+def densify(counts: DataFrame, dim: DataFrame, start=None, end=None, *, date_col: str = "date",
             key: str = "event_type", measures: Sequence[str] = ("count",), step: str = "1 day") -> DataFrame:
     """Calendar x dimension with missing cells = 0.
 
-    Each dimension row is expanded by a date sequence (a generator, no
-    cross join); the expansion has exactly the rows of the result.
+    The calendar runs from ``start`` to ``end``, by default from the first to the last date of ``counts`` (a scalar
+    subquery).  Each dimension row is expanded by a date sequence (a generator, no
+    cross join); the expansion has exactly the rows of the result.  Null keys are a key.
     """
-    start_c = start if isinstance(start, Column) else F.lit(str(start)).cast("date")
-    end_c = end if isinstance(end, Column) else F.lit(str(end)).cast("date")
-    grid = dim.select(key).distinct().withColumn(
-        date_col, F.explode(F.sequence(start_c, end_c, F.expr(f"INTERVAL {step}"))))
-    out = grid.join(counts, [date_col, key], "left")
-    return out.select(date_col, key, *[F.coalesce(F.col(m), F.lit(0)).cast("long").alias(m) for m in measures])
+    def bound(given, of):
+        if isinstance(given, Column):
+            return given
+        return F.lit(str(given)).cast("date") if given is not None else counts.agg(of(date_col)).scalar()
+
+    grid = dim.select(F.col(key).alias("_key")).distinct().withColumn(
+        "_date", F.explode(F.sequence(bound(start, F.min), bound(end, F.max), F.expr(f"INTERVAL {step}"))))
+    out = grid.join(counts, (F.col("_date") == F.col(date_col)) & F.col("_key").eqNullSafe(F.col(key)), "left")
+    return out.select(F.col("_date").alias(date_col), F.col("_key").alias(key),
+                      *[F.coalesce(F.col(m), F.lit(0)).cast("long").alias(m) for m in measures])

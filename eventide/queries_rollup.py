@@ -140,14 +140,14 @@ def rq6(spark, sf):
 
 @register("x9_densified_daily_types",
           "WITH c AS (SELECT CAST(ts AS DATE) AS date, event_type, count(*) AS count FROM events GROUP BY 1, 2), "
-          "g AS (SELECT CAST(d AS DATE) AS date, t.event_type FROM generate_series(DATE '2024-01-01', "
-          "DATE '2024-01-31', INTERVAL 1 DAY) s(d), (SELECT DISTINCT event_type FROM events) t) "
+          "b AS (SELECT min(date) AS lo, max(date) AS hi FROM c), d AS (SELECT unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS d FROM b), "
+          "g AS (SELECT CAST(d AS DATE) AS date, t.event_type FROM d, (SELECT DISTINCT event_type FROM events) t) "
           "SELECT g.date, g.event_type, CAST(coalesce(c.count, 0) AS BIGINT) AS count FROM g "
           "LEFT JOIN c ON c.date = g.date AND c.event_type = g.event_type")
 def x9(spark, sf):
     ev = _ev(spark, sf)
     counts = ev.groupBy(F.to_date("event_time").alias("date"), "event_type").agg(F.count(F.lit(1)).alias("count"))
-    return R.densify(counts, ev, "2024-01-01", "2024-01-31")
+    return R.densify(counts, ev)
 
 
 @register("m7_merged_unique_users",
@@ -172,3 +172,42 @@ def x7(spark, sf):
     ev = _ev(spark, sf)
     sub = restrict_to(ev, first_keys(ev, "user_id", 50), "user_id", bounded=True)
     return sub.groupBy("user_id").agg(F.count(F.lit(1)).alias("events"), F.min("event_time").alias("first_event"))
+
+
+def _hourly_bitmaps(spark, sf):
+    """Hourly bitmaps per type and country, of users numbered in two loads (stored and read back)."""
+    from eventide.operators import distinct as X
+    from eventide.plans.lineage import materialize
+    from eventide.session import scratch_dir
+    store, ev = scratch_dir(spark, "user-numbers"), _ev(spark, sf, country=True)
+    cut = F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
+    X.number_users(spark, store, ev.where(F.col("event_time") < cut), AS_OF, buckets=16)
+    numbers = X.number_users(spark, store, ev, AS_OF, buckets=16)
+    keys = {"hour": F.date_trunc("hour", "event_time").cast("timestamp_ntz"), "event_type": F.col("event_type"),
+            "country_code": F.col("country_code")}
+    return materialize(X.user_bitmaps(ev, keys, numbers), "hourly-bitmaps")
+
+
+@register("m7_exact_unique_users_7d",
+          f"SELECT count(DISTINCT user_id) AS unique_users FROM events WHERE ts >= {ts(LO_7D)}")
+def m7_exact_7d(spark, sf):
+    """True users of a week from the hourly rows alone."""
+    from eventide.operators import distinct as X
+    return X.merge_bitmaps(_hourly_bitmaps(spark, sf), [], where=F.col("hour") >= F.lit(LO_7D).cast("timestamp_ntz"))
+
+
+@register("m7_exact_daily_types",
+          "SELECT CAST(ts AS DATE) AS date, event_type, count(DISTINCT user_id) AS unique_users FROM events GROUP BY 1, 2")
+def m7_exact_daily(spark, sf):
+    """True users per day and type from the hourly rows."""
+    from eventide.operators import distinct as X
+    days = _hourly_bitmaps(spark, sf).withColumn("date", F.to_date("hour"))
+    return X.merge_bitmaps(days, ["date", "event_type"])
+
+
+@register("m7_exact_countries",
+          f"WITH {cte(country=True)} SELECT country_code, count(DISTINCT user_id) AS unique_users FROM ev GROUP BY 1")
+def m7_exact_countries(spark, sf):
+    """True users per country over all time."""
+    from eventide.operators import distinct as X
+    return X.merge_bitmaps(_hourly_bitmaps(spark, sf), ["country_code"])
