@@ -10,7 +10,8 @@ Semantics (those of JSONB containment):
   * array pattern: every pattern element is contained in *some* element
     of the document array (order and multiplicity ignored);
   * scalar pattern: type-checked equality — the string ``"true"`` does not
-    equal the boolean ``true``; numbers compare by value (``1`` = ``1.0``);
+    equal the boolean ``true``; numbers compare by value (``1`` = ``1.0``), plainly written ones of up to
+    38 digits by their exact digits, longer ones and those with an exponent as doubles;
   * a top-level document array also contains a bare scalar pattern;
   * NULL document -> NULL; malformed document -> false.
 """
@@ -18,6 +19,7 @@ Semantics (those of JSONB containment):
 from __future__ import annotations
 
 import json
+import re
 from decimal import Decimal
 from typing import Any
 
@@ -25,7 +27,12 @@ from pyspark.sql import Column, functions as F
 
 
 
+_PLAIN_KEY = re.compile(r"[A-Za-z0-9_ -]+")
+
+
 def _member(node: Column, key: str) -> Column:
+    if _PLAIN_KEY.fullmatch(key):
+        return F.try_variant_get(node, f'$["{key}"]', "variant")      # one field, no map of the whole object
     # A map lookup takes any key literally (quotes, backslashes, non-ASCII).
     return F.try_element_at(F.try_variant_get(node, "$", "map<string,variant>"), F.lit(key))
 
@@ -150,3 +157,22 @@ def json_text_eq(col: Column | str, key: str, value: str) -> Column:
     c = F.col(col) if isinstance(col, str) else col
     path = "$." + key if key.isidentifier() else "$['" + key.replace("'", "\\'") + "']"
     return F.get_json_object(c, path) == F.lit(value)
+
+
+def to_payload(df, col: str = "properties"):
+    """``df`` with a JSON text column as Variant, so that a store keeps it parsed (malformed text: null)."""
+    return df.withColumn(col, F.try_parse_json(F.col(col)))
+
+
+def member_eq(payload: str, key: str, value: Any) -> Column:
+    """``payload @> {key: value}`` for a stored Variant column and a scalar: no text is parsed."""
+    child = _member(F.col(payload), key)
+    return F.coalesce(child.isNotNull() & _scalar_eq(child, value), F.lit(False))
+
+
+def variant_contains(payload: str, pattern: Any) -> Column:
+    """``payload @> pattern`` for a stored Variant column (null payload: null)."""
+    if isinstance(pattern, str):
+        pattern = json.loads(pattern, parse_float=Decimal)
+    node = F.col(payload)
+    return F.when(node.isNull(), F.lit(None).cast("boolean")).otherwise(F.coalesce(_contains(node, pattern, top=True), F.lit(False)))

@@ -141,6 +141,15 @@ def list_partitions(df: DataFrame, ts: str = "event_time", month_col: str = MONT
     return inv.coalesce(1).sortWithinPartitions("partition_name")
 
 
+def partition_bytes(spark: SparkSession, path: str, month_col: str = MONTH_COL, prefix: str = PREFIX) -> DataFrame:
+    """P5 from the listing alone: (partition_name, files, total_size) of a stored table; no data file is opened."""
+    from eventide.operators.refresh import folder_bytes
+    month = F.regexp_extract("path", f"/{month_col}=([^/]+)/", 1)
+    inv = (folder_bytes(spark, path).where(month != "").groupBy(F.concat(F.lit(prefix), month).alias("partition_name"))
+           .agg(F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("total_size")))
+    return inv.coalesce(1).sortWithinPartitions("partition_name")
+
+
 def partition_ranking(inventory: DataFrame) -> DataFrame:
     """Non-empty partitions ranked by rows (the inventory has one row
     per month, so the ranking window is over a tiny table)."""

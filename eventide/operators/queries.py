@@ -46,14 +46,20 @@ def in_window(df: DataFrame, lo, hi=None, *, ts: str = "event_time", month_col:
     if hi is not None:
         cond = cond & (F.col(ts) < ts_literal(hi, typ))
     if month_col in df.columns:
-        lo_key = _month_of(lo, typ) if not isinstance(lo, Column) else None
-        if lo_key:
-            cond = cond & (F.col(month_col) >= F.lit(lo_key))
-        if hi is not None and not isinstance(hi, Column):
-            cond = cond & (F.col(month_col) <= F.lit(_month_of(hi, typ)))
+        cond = cond & (F.col(month_col) >= _month_bound(lo, typ))
+        if hi is not None:
+            cond = cond & (F.col(month_col) <= _month_bound(hi, typ))
     return df.where(cond)
 
 
+def _month_bound(bound, typ: T.DataType) -> Column:
+    """Month key of a bound.  That of a Column, e.g. a scalar subquery, is computed when the query runs: the
+    scan then prunes its months by the subquery's result, before it lists files."""
+    if isinstance(bound, Column):
+        return F.date_format(bound.cast(typ), "yyyy_MM")
+    return F.lit(_month_of(bound, typ))
+
+
 def trailing(df: DataFrame, as_of, span: str, until=None, **kw) -> DataFrame:
     return in_window(df, window_start(as_of, span), until, **kw)
 

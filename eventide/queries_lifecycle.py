@@ -485,3 +485,27 @@ def s1_corrupt(spark, sf):
     path = scratch_dir(spark, "json-broken")
     raw.select(line.alias("value")).write.mode("errorifexists").text(path)
     return I.read_events(spark, path, fmt="json", corrupt="broken").select("id", "broken")
+
+
+@register("p7_zoned_bound", "SELECT count(*) AS count FROM orders WHERE o_orderdate >= TIMESTAMP '2001-01-31 23:00:00'")
+def p7_zoned(spark, sf):
+    """A bound with a zone is an instant: one o'clock in its zone on the first of a month prunes from the month before."""
+    return Q.count_rows(Q.in_window(_stored_orders(spark, sf), "2001-02-01T00:00:00+01:00"))
+
+
+@register("p7_subquery_bound",
+          "SELECT count(*) AS count FROM orders WHERE o_orderdate >= (SELECT max(o_orderdate) - INTERVAL 12 MONTH FROM orders)")
+def p7_subquery(spark, sf):
+    """The last twelve months before the latest order: a bound known only when the query runs prunes months too."""
+    latest = D.table(spark, sf, "orders").agg(F.add_months(F.to_date(F.max("o_orderdate")), -12).cast("timestamp").alias("lo")).scalar()
+    return Q.count_rows(Q.in_window(_stored_orders(spark, sf), latest))
+
+
+@register("p5_bytes_from_listing",
+          "SELECT DISTINCT 'events_' || strftime(o_orderdate, '%Y_%m') AS partition_name, TRUE AS has_files, TRUE AS has_bytes FROM orders")
+def p5_listing(spark, sf):
+    """Partitions of the store with their size, from the file listing."""
+    path = scratch_dir(spark, "orders-store")
+    I.append_events(_orders_as_events(spark, sf), path)
+    found = P.partition_bytes(spark, path)
+    return found.select("partition_name", (F.col("files") > 0).alias("has_files"), (F.col("total_size") > 0).alias("has_bytes"))

@@ -179,3 +179,19 @@ def l4(spark, sf):
         # both parts zero: the guarded ratio is NULL, not an error
         "future order rate": (orders, far.cast("int"), F.lit(0)),
     })
+
+
+_HALF = "((b // {d} + 1) // 2)"
+_PRETTY = ("CASE WHEN b < 10240 THEN b || ' bytes' " + " ".join(
+    f"WHEN b // {512 * 1024 ** i} < 20479 THEN {_HALF.format(d=512 * 1024 ** i)} || ' {u}'" for i, u in enumerate(["kB", "MB", "GB"]))
+    + f" ELSE {_HALF.format(d=512 * 1024 ** 3)} || ' TB' END")
+
+
+@register("v9_report_sizes",
+          "WITH s AS (SELECT event_type AS metric, sum(octet_length(encode(props)) * event_id)::BIGINT AS b FROM events GROUP BY 1) "
+          f"SELECT 'DATA SIZE' AS section, metric, {_PRETTY} AS value FROM s")
+def v9_sizes(spark, sf):
+    """The report's size section (payload bytes per type, weighted so that several units occur)."""
+    ev = D.events(spark, sf)
+    sizes = ev.groupBy(F.col("event_type").alias("name")).agg(F.sum(F.octet_length("properties") * F.col("id")).alias("bytes"))
+    return V.report(ev, {"events": ev}, sizes=sizes).where(F.col("section") == "DATA SIZE")

@@ -108,3 +108,32 @@ def u5(spark, sf):
           f"WITH {cte()} SELECT * FROM ev WHERE properties->>'$.k' = '69'")
 def u6(spark, sf):
     return Q.u6_property_eq(D.events(spark, sf), "k", "69")
+
+
+@register("j1_contains_documents",
+          "SELECT event_id AS id FROM events WHERE event_type IN ('view', 'click') AND event_id % 5 = 3")
+def j1_documents(spark, sf):
+    """Containment in documents with members, arrays and objects in arrays, built from columns."""
+    from pyspark.sql import functions as F
+
+    from eventide.functions.jsonmatch import json_contains
+    n, kind = F.col("id") % 5, F.col("event_type")
+    doc = F.to_json(F.struct(
+        F.struct(n.alias("n"), F.lit(True).alias("on")).alias("in it"),
+        F.array(kind, F.lit("all")).alias("tags"),
+        F.array(F.struct(kind.alias("k"), n.cast("double").alias("v")), F.struct(F.lit("z").alias("k"), F.lit(0.5).alias("v"))).alias("list")))
+    ev = D.events(spark, sf).withColumn("doc", doc)
+    common = json_contains("doc", {"in it": {"n": 3, "on": True}, "tags": ["all"]})
+    either = json_contains("doc", {"tags": ["view"], "list": [{"v": 3}]}) | json_contains("doc", {"list": [{"v": 0.5, "k": "z"}, {"k": "click"}]})
+    return ev.where(common & either).select("id")
+
+
+@register("u6_stored_variant", "SELECT count(*) AS count, count(DISTINCT user_id) AS users FROM events WHERE props->>'$.k' = '69'")
+def u6_variant(spark, sf):
+    """The payload stored as Variant: the lookup reads one field of a parsed column."""
+    from pyspark.sql import functions as F
+
+    from eventide.functions.jsonmatch import member_eq, to_payload
+    from eventide.plans.lineage import materialize
+    stored = materialize(to_payload(D.events(spark, sf), "properties"), "variant-store")
+    return stored.where(member_eq("properties", "k", 69)).agg(F.count(F.lit(1)).alias("count"), F.count_distinct("user_id").alias("users"))
