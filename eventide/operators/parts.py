@@ -60,33 +60,39 @@ def version_rows(spark: SparkSession, store: str, name: str, version: int | None
     m = m.where(F.col("name") == name)
     if version is not None:
         m = m.where(F.col("version") == version)
-    top = m.where("part IS NULL").orderBy(F.desc("version"), F.desc("published_at"), F.desc("token")).limit(1).collect()
-    if not top:
-        return []
-    return m.where(F.col("token") == top[0]["token"]).orderBy(F.asc_nulls_first("part")).collect()
+    # A row per part of every version: the newest token is looked up in the same job.
+    newest = m.agg(F.max(F.struct("version", "published_at", "token")).alias("v")).select("v.token").scalar()
+    return sorted(m.where(F.col("token") == newest).collect(), key=lambda r: (r["part"] is not None, r["part"] or ""))
+
+
+def schema_of(rows: list) -> T.StructType:
+    return T.StructType.fromJson(json.loads(rows[0]["path"]))
 
 
 def read(spark: SparkSession, store: str, name: str, version: int | None = None,
-         parts: Iterable[str] | None = None) -> DataFrame:
-    """The table at a version (default: the newest), or some parts of it."""
-    rows = version_rows(spark, store, name, version)
+         parts: Iterable[str] | None = None, rows: list | None = None) -> DataFrame:
+    """The table at a version (default: the newest), or some parts of it.  ``rows``: its manifest rows, if known."""
+    rows = version_rows(spark, store, name, version) if rows is None else rows
     if not rows:
         raise FileNotFoundError(f"{name} has no such version in {store}")
     wanted = None if parts is None else set(parts)
     paths = [r["path"] for r in rows[1:] if wanted is None or r["part"] in wanted]
-    schema = T.StructType.fromJson(json.loads(rows[0]["path"]))
-    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+    return spark.read.schema(schema_of(rows)).parquet(*paths) if paths else spark.createDataFrame([], schema_of(rows))
 
 
-def write_parts(df: DataFrame, store: str, name: str, part: Column, version: int, sort: Sequence[str] = ()) -> list[tuple]:
-    """(part, path, rows) of ``df`` written to a fresh folder; skewed parts are written by several tasks."""
+def write_parts(df: DataFrame, store: str, name: str, part: Column, version: int, sort: Sequence[str] = (),
+                counts: dict[str, int] | None = None) -> list[tuple]:
+    """(part, path, rows) of ``df`` written to a fresh folder; skewed parts are written by several tasks.
+
+    ``counts``: rows per part, if they are known; else they are counted in the written files."""
     folder = f"{store}/{name}/v{version:06d}-{uuid.uuid4().hex[:8]}"
     out = df.withColumn(PART, part).hint("rebalance", F.col(PART)).sortWithinPartitions(PART, *sort)
     out.write.mode("errorifexists").partitionBy(PART).parquet(folder)
-    # Strings: a day would be read back as a date, a bucket as a number.
-    back = df.sparkSession.read.schema(T.StructType([*df.schema.fields, T.StructField(PART, T.StringType())])).parquet(folder)
-    return [(r[PART], f"{folder}/{PART}={r[PART]}", r["n"])
-            for r in back.groupBy(PART).agg(F.count(F.lit(1)).alias("n")).collect()]
+    if counts is None:
+        # Strings: a day would be read back as a date, a bucket as a number.
+        back = df.sparkSession.read.schema(T.StructType([*df.schema.fields, T.StructField(PART, T.StringType())])).parquet(folder)
+        counts = {r[PART]: r["n"] for r in back.groupBy(PART).agg(F.count(F.lit(1)).alias("n")).collect()}
+    return [(p, f"{folder}/{PART}={p}", n) for p, n in counts.items() if n]
 
 
 def publish(spark: SparkSession, store: str, name: str, version: int, parts: Iterable[tuple], schema: T.StructType, as_of=None) -> None:
@@ -107,15 +113,18 @@ def write(spark: SparkSession, store: str, name: str, df: DataFrame, part: Colum
 
 
 def replace(spark: SparkSession, store: str, name: str, rows: DataFrame, gone: Iterable[str], part: Column, as_of=None,
-            sort: Sequence[str] = ()) -> int:
-    """Publishes the next version: the parts ``gone`` leave, those of ``rows`` come, all others keep their folder."""
-    old = version_rows(spark, store, name)
+            sort: Sequence[str] = (), *, counts: dict[str, int] | None = None, old: list | None = None) -> int:
+    """Publishes the next version: the parts ``gone`` leave, those of ``rows`` come, all others keep their folder.
+
+    ``counts`` as in :func:`write_parts`; ``old``: manifest rows of the newest version, if known."""
+    old = version_rows(spark, store, name) if old is None else old
     if not old:
         raise FileNotFoundError(f"{name} has no version in {store}")
-    version, gone = old[0]["version"] + 1, set(gone)
-    schema = T.StructType.fromJson(json.loads(old[0]["path"]))
-    new = write_parts(rows.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields]),
-                      store, name, part, version, sort) if gone else []
+    version, gone, schema = old[0]["version"] + 1, set(gone), schema_of(old)
+    new = []
+    if gone and (counts is None or any(counts.values())):
+        aligned = rows.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
+        new = write_parts(aligned, store, name, part, version, sort, counts)
     stay = [(r["part"], r["path"], r["rows"]) for r in old[1:] if r["part"] not in gone]
     clash = {p[0] for p in new} & {p[0] for p in stay}
     if clash:

@@ -229,7 +229,8 @@ def refresh_changed(spark: SparkSession, store: str, name: str, events: DataFram
     key, dates = DATE_KEY[name], sorted(set(str(d)[:10] for d in dates))
     part = parts.day_part(F.col(key))
     fresh = materialize(_build(name, on_dates(events, dates), as_of, options or {}), "refresh-days")
-    old = parts.read(spark, store, name, parts=dates)
+    known = parts.version_rows(spark, store, name)
+    old = parts.read(spark, store, name, parts=dates, rows=known)
     diff = parts.row_changes(old, fresh.select(*old.columns), UNIQUE_KEYS[name])
     kinds = ("new", "changed", "gone", "same")
     report = diff.groupBy(part.alias("day")).agg(*[F.count_if(F.col("change") == k).alias(k) for k in kinds]).collect()
@@ -238,8 +239,10 @@ def refresh_changed(spark: SparkSession, store: str, name: str, events: DataFram
     if name in SLIDING_DAYS:
         days = (options or {}).get(name, {}).get("days", SLIDING_DAYS[name])
         lo = str(date.fromisoformat(str(as_of)[:10]) - timedelta(days=days))
-        expired = [r["part"] for r in parts.version_rows(spark, store, name)[1:] if r["part"] != parts.NONE and r["part"] < lo]
-    parts.replace(spark, store, name, fresh.where(part.isin(touched)), [*touched, *expired], part, as_of, SORT_KEYS.get(name, ()))
+        expired = [r["part"] for r in known[1:] if r["part"] != parts.NONE and r["part"] < lo]
+    counts = {r["day"]: r["new"] + r["changed"] + r["same"] for r in report if r["day"] in touched and r["day"] not in expired}
+    parts.replace(spark, store, name, fresh.where(part.isin(list(counts))), [*touched, *expired], part, as_of, SORT_KEYS.get(name, ()),
+                  counts=counts, old=known)
     return spark.createDataFrame([(r["day"], *[r[k] for k in kinds], r["day"] in touched) for r in report],
                                  "day string, new long, changed long, gone long, same long, written boolean")
 
