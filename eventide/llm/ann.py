@@ -12,11 +12,13 @@ to the k-th nearest code.
 The rotations are fitted on a bounded sample (``sample`` vectors in hash order).  The
 radius is the ``quantile`` of the code distances of true neighbours, found by brute force for
 ``probes`` queries over all rows.  Index and queries are dealt into
-blocks of bounded size and every pair of an index and a query block is one task group.
+blocks of bounded size and every pair of an index and a query block is one task group.  The queries being a fixed
+share of the rows, the pairs grow with the square of the table; blocks grow with it up to a bounded size.
 
 Vectors that are null, zero, hold null or non-finite components or do not
 have the commonest dimension (the larger on ties) take no part; neither do null ids.  An id counts once (of
-different vectors, the smallest); a query never finds its own id.
+different vectors, the smallest); a query never finds its own id.  An empty table gives no rows; extra columns of any
+name are ignored.
 """
 
 from __future__ import annotations
@@ -28,8 +30,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-#: Rows of an index block and of a query block.
+#: Least rows of an index block and of a query block, and bytes that a block of vectors grows to with the table.
 INDEX_ROWS, QUERY_ROWS = 8192, 1024
+INDEX_BYTES, QUERY_BYTES = 64 << 20, 8 << 20
 _SCHEMA = "query_id long, vec_id long, score double"
 
 
@@ -198,7 +201,11 @@ def search(vectors: DataFrame, every: int = 50, k: int = 5, *, vec_id: str = "ve
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     codes = learn(np.array([r["v"] for r in drawn]), rotations)
     radius = radius_for(rows, codes, is_query, probes, k, quantile)
-    index_blocks, query_blocks = -(-n // INDEX_ROWS), -(-n_queries // QUERY_ROWS)
+    # Large tables get larger blocks, up to a size in bytes, so that fewer copies of the index are sent.
+    width = 8 * len(drawn[0]["v"])
+    index_rows = max(INDEX_ROWS, min(n // 256, INDEX_BYTES // width))
+    query_rows = max(QUERY_ROWS, min(n_queries // 32, QUERY_BYTES // width))
+    index_blocks, query_blocks = -(-n // index_rows), -(-n_queries // query_rows)
     deal = lambda blocks, salt: F.pmod(F.xxhash64(F.lit(salt), "id"), F.lit(blocks)).cast("int")
     all_of = lambda blocks: F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     index = rows.select(deal(index_blocks, "i").alias("ib"), all_of(query_blocks).alias("qb"), "id", "v")
