@@ -52,8 +52,8 @@ def words_of(text: str) -> list[str]:
     return "".join(c if c.isalpha() else " " for w in words for c in (*w, " ")).split()
 
 
-def word_features(words: list[str], least: int = 1, whole_words: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """(bucket of every feature, row of ``words`` it belongs to), ordered by row within each kind: n-grams from ``least``."""
+def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(bucket of every feature, row of ``words`` it belongs to), ordered by row within each kind."""
     sizes = np.array([len(w) + 2 for w in words])
     points = np.frombuffer(("".join("\x02" + w + "\x03" for w in words)).encode("utf-32-le", "surrogatepass"),
                            dtype="<u4").astype(np.uint64)
@@ -67,13 +67,9 @@ def word_features(words: list[str], least: int = 1, whole_words: bool = True) ->
         if m <= 0:
             break
         h = (h[:m] * _P + points[n - 1:]) ^ (h[:m] >> np.uint64(29))
-        if n < least:
-            continue
         inside = np.arange(m) + n <= ends[row[:m]]
         buckets.append(_bucket(h[inside] + np.uint64(n)))
         rows.append(row[:m][inside])
-    if not whole_words:
-        return np.concatenate(buckets), np.concatenate(rows)
     place = (np.arange(len(points)) - start[row]).astype(np.uint64)
     whole = np.add.reduceat((points + np.uint64(7)) * (place * _P ^ np.uint64(0xD6E8FEB86659FD93)), start)
     buckets.append(_bucket(whole + np.uint64(99)))
@@ -100,23 +96,35 @@ class Crf:
     usual: float = 1.0                                                          # familiarity of words left out
 
     def see(self, words: list[str]) -> None:
+        buckets = word_features(words)[0]
         self.seen = np.zeros(BUCKETS, bool)
-        self.seen[word_features(words, FOREIGN, False)[0]] = True
+        self.seen[buckets[longer_ngrams(words, len(buckets))]] = True
 
     def emissions(self, words: list[str]) -> np.ndarray:
         """Log scores, one row per word."""
+        return self.scored(words)[0]
+
+    def familiar(self, words: list[str]) -> np.ndarray:
+        """Share of every word's longer n-grams that the sample held, whatever the language, over the usual share."""
+        return self.scored(words)[1]
+
+    def scored(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Log scores and familiarity of words, from the same features."""
         buckets, rows = word_features(words)
         out = np.stack([np.bincount(rows, self.weight[buckets, j], len(words)) for j in range(len(self.labels))], axis=1)
         got = [(n, self.lexicon[w]) for n, w in enumerate(words) if w in self.lexicon]
         if got:
             n, k = np.array(got).T
             out[n] += self.lexicon_weight[k]
-        return out
+        long = longer_ngrams(words, len(buckets))
+        known = np.bincount(rows[long], self.seen[buckets[long]], len(words))
+        return out, known / np.bincount(rows[long], minlength=len(words)) / self.usual
 
-    def familiar(self, words: list[str]) -> np.ndarray:
-        """Share of every word's longer n-grams that the sample held, whatever the language, over the usual share."""
-        buckets, rows = word_features(words, FOREIGN, False)
-        return np.bincount(rows, self.seen[buckets], len(words)) / np.bincount(rows, minlength=len(words)) / self.usual
+
+def longer_ngrams(words: list[str], features: int) -> slice:
+    """Place of the n-grams from FOREIGN on among the features of words: after the shorter ones, before the whole words."""
+    sizes = np.array([len(w) + 2 for w in words])
+    return slice(int(sum((sizes - n + 1).sum() for n in range(1, FOREIGN))), features - len(words))
 
 
 #: Words per block of the forward-backward scan.
@@ -289,8 +297,11 @@ def sample(rows: DataFrame, text: str = "text", label: str = "lang", doc_id: str
 
 def memory_of(model: Crf) -> Remembered:
     """Exp scores and familiarity of words, remembered by a worker."""
-    return Remembered(lambda words: np.column_stack([_exp(model.emissions(words)), model.familiar(words)]),
-                      len(model.labels) + 1, np.float64, REMEMBER)
+    def make(words):
+        scores, familiar = model.scored(words)
+        return np.column_stack([_exp(scores), familiar])
+
+    return Remembered(make, len(model.labels) + 1, np.float64, REMEMBER)
 
 
 def label_texts(model: Crf, texts: list[str | None],
