@@ -473,10 +473,12 @@ def s1_formats(spark, sf):
     return both.select("id", F.col("event_time").cast("timestamp_ntz").alias("event_time"), "user_id", "event_type", "properties")
 
 
+_BROKEN = "'{\"id\": \"x' || event_id || '\", \"event_type\": 1'"
+
+
 @register("s1_corrupt_records",
-          "SELECT event_id AS id, CASE WHEN event_id % 50 = 0 THEN '{\"id\": \"x' || event_id || '\", \"event_type\": 1' END AS broken "
-          "FROM events WHERE event_id % 50 <> 0 UNION ALL SELECT NULL, '{\"id\": \"x' || event_id || '\", \"event_type\": 1' FROM events "
-          "WHERE event_id % 50 = 0")
+          f"SELECT CASE WHEN event_id % 50 = 0 THEN 'none' ELSE CAST(event_id AS VARCHAR) END AS id, "
+          f"CASE WHEN event_id % 50 = 0 THEN {_BROKEN} ELSE '' END AS broken FROM events")
 def s1_corrupt(spark, sf):
     """Records that do not fit keep their text; the others load."""
     raw = D.table(spark, sf, "events")
@@ -484,7 +486,8 @@ def s1_corrupt(spark, sf):
                   ).otherwise(F.to_json(F.struct(F.col("event_id").alias("id"), "event_type")))
     path = scratch_dir(spark, "json-broken")
     raw.select(line.alias("value")).write.mode("errorifexists").text(path)
-    return I.read_events(spark, path, fmt="json", corrupt="broken").select("id", "broken")
+    back = I.read_events(spark, path, fmt="json", corrupt="broken")
+    return back.select(F.coalesce(F.col("id").cast("string"), F.lit("none")).alias("id"), F.coalesce("broken", F.lit("")).alias("broken"))
 
 
 @register("p7_zoned_bound", "SELECT count(*) AS count FROM orders WHERE o_orderdate >= TIMESTAMP '2001-01-31 23:00:00'")

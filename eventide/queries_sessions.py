@@ -208,15 +208,20 @@ _NULL_USERS = ("WITH " + _NULL_EV + ", " + cte(country=True, sessions=True).repl
           _NULL_USERS.format(w=f"WHERE event_time >= {ts(SPLIT)}") + ", "
           f"b AS (SELECT user_id AS id, count(DISTINCT session_id) AS before FROM n WHERE event_time < {ts(SPLIT)} GROUP BY 1), "
           "a AS (SELECT user_id AS id, count(DISTINCT session_id) AS all_sessions FROM n GROUP BY 1) "
-          "SELECT u.id, first_seen, last_seen, total_events, CAST(a.all_sessions - coalesce(b.before, 0) AS BIGINT) AS total_sessions, "
+          "SELECT coalesce(CAST(u.id AS VARCHAR), 'nobody') AS id, first_seen, last_seen, total_events, CAST(a.all_sessions - coalesce(b.before, 0) AS BIGINT) AS total_sessions, "
           "country_code FROM u JOIN a ON u.id IS NOT DISTINCT FROM a.id LEFT JOIN b ON u.id IS NOT DISTINCT FROM b.id")
 def d5_incremental(spark, sf):
     """Users of the second load, the one without an id among them; sessions begun in it."""
     _, state, second = _null_loads(spark, sf)
-    return S.users(second, number_col="n", state=state)
+    return _named(S.users(second, number_col="n", state=state))
 
 
-_STORED = (_NULL_USERS.format(w="") + f" SELECT *, CASE WHEN first_seen < {ts(SPLIT)} THEN {ts(SPLIT)} ELSE {ts(AS_OF)} END AS created_at, "
+def _named(users):
+    """The user without an id shown as 'nobody'."""
+    return users.withColumn("id", F.coalesce(F.col("id").cast("string"), F.lit("nobody")))
+
+
+_STORED = (_NULL_USERS.format(w="") + f" SELECT * REPLACE (coalesce(CAST(id AS VARCHAR), 'nobody') AS id), CASE WHEN first_seen < {ts(SPLIT)} THEN {ts(SPLIT)} ELSE {ts(AS_OF)} END AS created_at, "
            f"CASE WHEN last_seen >= {ts(SPLIT)} THEN {ts(AS_OF)} ELSE {ts(SPLIT)} END AS updated_at FROM u")
 
 
@@ -227,7 +232,7 @@ def d6_null(spark, sf):
     first, state, second = _null_loads(spark, sf)
     cut = ts_literal(SPLIT, first.schema["event_time"].dataType)
     stored = S.users(first, number_col="n").withColumn("created_at", cut).withColumn("updated_at", cut)
-    return S.upsert_users(stored, S.users(second, number_col="n", state=state), AS_OF)
+    return _named(S.upsert_users(stored, S.users(second, number_col="n", state=state), AS_OF))
 
 
 @register("d6_stored_users", _STORED)
@@ -239,4 +244,4 @@ def d6_stored(spark, sf):
     first, state, second = _null_loads(spark, sf)
     S.store_users(spark, store, S.users(first, number_col="n"), SPLIT, buckets=16)
     S.store_users(spark, store, S.users(second, number_col="n", state=state), AS_OF, buckets=16)
-    return parts.read(spark, store, S.USERS)
+    return _named(parts.read(spark, store, S.USERS))
