@@ -83,6 +83,15 @@ def test_events_without_user_make_no_session(spark):
     assert sum(r.sessions for r in S.campaign_report(S.sessions(df)).collect()) == 1
 
 
+def test_sessionize_reads_the_events_twice_and_no_more(spark):
+    """Once for the labels, once (three columns) for the state of the buckets; null users need no branch of their own."""
+    from eventide.plans.inspect import plan_text
+    from eventide.sources import driver as D
+    from tests.conftest import SF_SMALL
+    plan = plan_text(S.sessionize(D.events(spark, SF_SMALL), "4 hours"), "simple")
+    assert plan.count("FileScan parquet") == 2 and "Union" not in plan
+
+
 # ---- versioned parts ---------------------------------------------------------
 
 def hourly(rows):
