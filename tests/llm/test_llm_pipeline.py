@@ -1,10 +1,16 @@
 """The pipeline: stages against plain filters, and its registered queries against SQL."""
 
+import base64
 import os
 import random
+import re
+from collections import Counter
 
 import duckdb
+import public_tokenizers as P
 import pytest
+import tiktoken
+import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -80,6 +86,50 @@ def test_stages_keep_columns_of_any_name(spark):
     assert corpus_pipeline.STAGES[-1][1](spark, left, SMALL).count() == left.count()
 
 
+def plain_words(text):
+    return re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode())
+
+
+def plain_dedup(rows):
+    """Ids that stay: the smallest of every group of texts whose fingerprints link, by comparing all of them."""
+    fps = {}
+    for r in rows:
+        words = [w.lower() for w in plain_words(r.text)]
+        shingles = [b" ".join(words[i:i + 3]) for i in range(len(words) - 2)] or ([b" ".join(words)] if words else [])
+        h = [xxhash.xxh64_intdigest(x, 42) for x in shingles]
+        fps[r.doc_id] = sum(1 << i for i in range(64) if 2 * sum(x >> i & 1 for x in h) > len(h))
+    left, kept = set(fps), set()
+    while left:
+        group, todo = set(), [min(left)]
+        while todo:
+            i = todo.pop()
+            near = {j for j in left - group if (fps[i] ^ fps[j]).bit_count() <= 3}
+            group |= near
+            todo += near
+        kept.add(min(group))
+        left -= group
+    return kept
+
+
+def test_later_stages_against_plain_code(spark):
+    """Near-dedup by comparing all, the mix by its SQL on the stage's own input, encoding by tiktoken."""
+    docs = materialize(corpus_pipeline.quality_filter(spark, corpus_pipeline.language_id(
+        spark, spark.read.parquet(f"{SMALL}/documents.parquet"), SMALL), SMALL), "plain")
+    unique = materialize(corpus_pipeline.near_dedup(spark, docs, SMALL), "plain")
+    assert {r.doc_id for r in unique.collect()} == plain_dedup(docs.collect()) and unique.count() > 50
+    mixed = materialize(corpus_pipeline.mix_sources(spark, unique, SMALL), "plain")
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, source VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?, ?)", [(r.doc_id, r.text, r.source) for r in unique.collect()])
+    want = {i: n // size for i, size, n in con.execute(f"SELECT doc_id, size, taken FROM ({ORACLE['op6_mixing']})").fetchall() if n}
+    assert Counter(r.doc_id for r in mixed.collect()) == want
+    ranks = {base64.b64decode(t): int(n) for t, n in (line.split() for line in open(P.path("byte_bpe_multi_50k.tiktoken"), "rb") if line.strip())}
+    plain = tiktoken.Encoding("plain", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    texts = {r.doc_id: r.text for r in mixed.collect()}
+    for r in corpus_pipeline.encode(spark, mixed, SMALL).collect():
+        assert list(r.token_ids) == plain.encode_ordinary(texts[r.doc_id]) and r.n_tokens == len(r.token_ids)
+
+
 def test_stages_on_empty_and_null_rows(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     nulls = spark.createDataFrame([(None,) * 5] * 3, docs.schema)
